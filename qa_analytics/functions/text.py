@@ -31,11 +31,15 @@ def combined_text(title, summary) -> Column:
 
 
 def clean_text(col) -> Column:
-    """lower case; markup, addresses and everything but ASCII letters is deleted."""
+    """lower case; markup, addresses and everything but ASCII letters is deleted.
+
+    The first two patterns run only on texts that can match them.
+    """
     text = F.lower(text_or_empty(col))
-    for pattern in (TAG_PATTERN, r"http\S+|www\S+", r"[^a-zA-Z\s]"):
-        text = F.regexp_replace(text, pattern, "")
-    return text
+    text = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, TAG_PATTERN, "")).otherwise(text)
+    linked = F.contains(text, F.lit("http")) | F.contains(text, F.lit("www"))
+    text = F.when(linked, F.regexp_replace(text, r"http\S+|www\S+", "")).otherwise(text)
+    return F.regexp_replace(text, r"[^a-z\s]+", "")
 
 
 def words(col) -> Column:
@@ -50,12 +54,16 @@ def word_count(col) -> Column:
 
 def clean_tokens(col, stop_words=STOP_WORDS, split_forms=None) -> Column:
     """F2 without lemmas: cleaned tokens longer than two letters that are no stop words."""
-    text = clean_text(col)
-    for form, parts in (SPLIT_FORMS if split_forms is None else split_forms).items():
-        text = F.regexp_replace(text, rf"\b{form}\b", parts)
-    kept = F.filter(F.split(text, r"\s+"), lambda w: F.length(w) > 2)
+    tokens, forms = F.split(clean_text(col), r"\s+"), SPLIT_FORMS if split_forms is None else split_forms
+    if forms:
+        known = F.array(*[F.lit(f) for f in forms])
+        parts = F.create_map(*[c for f, p in forms.items() for c in (F.lit(f), F.split(F.lit(p), " "))])
+        taken_apart = F.flatten(F.transform(tokens, lambda w: F.coalesce(F.try_element_at(parts, w), F.array(w))))
+        tokens = F.when(F.arrays_overlap(tokens, known), taken_apart).otherwise(tokens)
     stop_words = list(stop_words)
-    return F.filter(kept, lambda w: ~w.isin(stop_words)) if stop_words else kept
+    if not stop_words:
+        return F.filter(tokens, lambda w: F.length(w) > 2)
+    return F.filter(tokens, lambda w: (F.length(w) > 2) & ~w.isin(stop_words))
 
 
 def body_summary(col, limit=500) -> Column:

@@ -64,25 +64,23 @@ def _terms(tokens):
 def term_frequencies(docs: DataFrame) -> DataFrame:
     """(source, term, tf, df); the row with a null term holds the number of documents.
 
-    A document's terms are sorted in its row, so the first of each run marks
-    the document and no shuffle by document is needed.
+    A document's terms are sorted in its row and each is put next to the one
+    before it, so the first of a run marks the document and no shuffle by
+    document is needed. The second array is one longer, which gives each
+    document one row without a term.
     """
-    ordered = docs.select("source", F.array_sort(_terms(F.col("tokens"))).alias("terms"))
-    marked = F.transform(
-        F.col("terms"),
-        lambda t, i: F.struct(
-            t.alias("term"), ((i == 0) | (F.get(F.col("terms"), i - 1) != t)).cast("int").alias("is_first")),
-    )
-    document = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(1).alias("is_first")))
+    ordered = docs.select("source", F.sort_array(_terms(F.col("tokens"))).alias("terms"))
+    shifted = F.concat(F.array(F.lit(None).cast("string")), "terms")
+    first_of_run = (~F.col("term").eqNullSafe(F.col("previous"))).cast("long")
     return (
-        ordered.select("source", F.inline(F.concat(document, marked)))
+        ordered.select("source", F.inline(F.arrays_zip("terms", shifted.alias("previous"))).alias("term", "previous"))
         .groupBy("source", "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.sum("is_first").alias("df"))
+        .agg(F.count(F.lit(1)).alias("tf"), F.sum(first_of_run).alias("df"))
     )
 
 
 def _vocabulary(stats: DataFrame, max_features) -> DataFrame:
-    """(source, term, idf, n): terms inside the document-frequency bounds, the most frequent ones kept."""
+    """(source, term, place, n, idf): terms inside the document-frequency bounds, the most frequent ones kept."""
     n = F.col("n")
     sizes = stats.where(F.col("term").isNull()).select("source", F.col("tf").alias("n"))
     min_df = F.greatest(F.lit(1), F.least(F.lit(2), F.floor(n * 0.1)))
@@ -96,25 +94,26 @@ def _vocabulary(stats: DataFrame, max_features) -> DataFrame:
     # The constant bound lets Spark cut each task's rows before the shuffle.
     kept = kept.withColumn("place", place).where(F.col("place") <= max(max_features.values()))
     return kept.where(F.col("place") <= limit[F.col("source")]).select(
-        "source", "term", "n", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+        "source", "term", "place", "n", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
 def keyword_scores(corpus: DataFrame, max_features=None, stop_words=STOP_WORDS, lemmas=None) -> DataFrame:
     """(source, term, score) of the whole vocabulary; empty when no term is inside the bounds."""
     docs = tokenised(corpus, stop_words, lemmas)
     stats = durable(term_frequencies(docs))
-    vocabulary = _vocabulary(stats, max_features or MAX_FEATURES)
+    vocabulary = F.broadcast(_vocabulary(stats, max_features or MAX_FEATURES))
     hits = (
         docs.select("source", "doc", F.explode(_terms(F.col("tokens"))).alias("term"))
-        .join(F.broadcast(vocabulary), ["source", "term"])
-        .groupBy("source", "doc", "term")
+        .join(vocabulary, ["source", "term"])
+        .groupBy("source", "doc", "place")
         .agg((F.count(F.lit(1)) * F.first("idf")).alias("weight"), F.first("n").alias("n"))
     )
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("source", "doc")))
-    return (
+    scores = (
         hits.withColumn("share", F.col("weight") / norm)
-        .groupBy("source", "term").agg((F.sum("share") / F.first("n")).alias("score"))
+        .groupBy("source", "place").agg((F.sum("share") / F.first("n")).alias("score"))
     )
+    return scores.join(vocabulary.select("source", "place", "term"), ["source", "place"]).select("source", "term", "score")
 
 
 def top_keywords(scores: DataFrame, limits=None) -> DataFrame:

@@ -48,20 +48,25 @@ def size_profile(df: DataFrame) -> DataFrame:
         F.coalesce(F.avg("size"), F.lit(0.0)).alias("avg_bytes"))
 
 
-def _type_name(value):
-    """type of a variant value; arrays are typed by their first element."""
-    schema = F.schema_of_variant(value)
-
-    def scalar(s):
-        name = F.when(s.startswith("DECIMAL"), "float").when(s.startswith("OBJECT"), "dict").when(
-            s.startswith("ARRAY"), "list")
-        for spark_name, label in TYPE_NAMES.items():
-            name = name.when(s == spark_name, label)
-        return name.otherwise(s)
-
-    first = F.try_variant_get(value, "$[0]", "variant")
-    inner = F.when(first.isNull(), "empty").otherwise(scalar(F.schema_of_variant(first)))
-    return F.when(schema.startswith("ARRAY"), F.concat(F.lit("Array["), inner, F.lit("]"))).otherwise(scalar(schema))
+def _scalar_name(schema):
+    name = F.when(schema.startswith("DECIMAL"), "float").when(schema.startswith("OBJECT"), "dict").when(
+        schema.startswith("ARRAY"), "list")
+    for spark_name, label in TYPE_NAMES.items():
+        name = name.when(schema == spark_name, label)
+    return name.otherwise(schema)
+
+
+def _typed(leaves):
+    """type names of variant values (arrays are typed by their first element) and example texts."""
+    first = F.try_variant_get("value", "$[0]", "variant")
+    described = leaves.withColumn("schema", F.schema_of_variant("value")).withColumn(
+        "inner", F.when(F.col("schema").startswith("ARRAY"), F.coalesce(F.schema_of_variant(first), F.lit("empty"))))
+    text = F.when(F.col("schema") == "STRING", shorten(F.try_variant_get("value", "$", "string")))
+    return described.select(
+        "field_path",
+        F.when(F.col("inner").isNotNull(), F.concat(F.lit("Array["), _scalar_name(F.col("inner")), F.lit("]")))
+        .otherwise(_scalar_name(F.col("schema"))).alias("type"),
+        F.coalesce(text, F.to_json("value")).alias("example"))
 
 
 def schema_profile(df: DataFrame, column, skip=("_id",)) -> DataFrame:
@@ -86,14 +91,8 @@ def schema_profile(df: DataFrame, column, skip=("_id",)) -> DataFrame:
             F.concat("path", F.lit(".")).alias("prefix"), F.col("value").alias("doc"))
         if level.isEmpty():
             break
-    kind = _type_name(F.col("value"))
-    text = F.when(
-        F.schema_of_variant("value") == "STRING", shorten(F.try_variant_get("value", "$", "string"))
-    ).otherwise(F.to_json("value"))
-    return (
-        leaves.select("field_path", kind.alias("type"), text.alias("example"))
-        .groupBy("field_path", "type").agg(F.count(F.lit(1)).alias("count"), F.min("example").alias("example"))
-    )
+    return _typed(leaves).groupBy("field_path", "type").agg(
+        F.count(F.lit(1)).alias("count"), F.min("example").alias("example"))
 
 
 def schema_summary(profile: DataFrame) -> DataFrame:

@@ -34,10 +34,12 @@ def text_polarity(corpus: DataFrame, lexicon: DataFrame, negations=NEGATIONS) ->
         lexicon.where(F.col("intensity").isNotNull()).select(F.col("word").alias("before"), "intensity"))
     docs = corpus.where(~is_blank(F.col("text"))).select(
         "source", "doc", sentiment_tokens(F.col("text")).alias("tokens"))
-    tokens = F.col("tokens")
-    placed = F.transform(tokens, lambda w, i: F.struct(
-        w.alias("word"), F.get(tokens, i - 1).alias("before"), F.get(tokens, i - 2).alias("before2")))
-    found = docs.select("source", "doc", F.inline(placed)).join(polar, "word").join(scaling, "before", "left")
+    gap = F.lit(None).cast("string")
+    # The shifted arrays are longer; the rows past the last word have no word and join nothing.
+    placed = F.arrays_zip("tokens", F.concat(F.array(gap), "tokens").alias("b1"),
+                          F.concat(F.array(gap, gap), "tokens").alias("b2"))
+    words = docs.select("source", "doc", F.inline(placed).alias("word", "before", "before2"))
+    found = words.join(polar, "word").join(scaling, "before", "left")
     scaled = F.greatest(F.lit(-1.0), F.least(
         F.lit(1.0), F.col("polarity") * F.coalesce("intensity", F.lit(1.0))))
     negated = F.col("before").isin(negations) | (

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.writes import upsert_authors
 from ..operators.filters import with_audit
 from ..schema import AUTHOR_SCHEMA
+from ..session import spread
 
 ORDERS_AS_OF = "2001-08-01"
 EVENTS_AS_OF = "2024-02-05"
@@ -67,7 +68,7 @@ def q_orders(spark, sf_dir) -> DataFrame:
 def q_docs(spark, sf_dir) -> DataFrame:
     """Documents as questions: the first line is the title, the whole rest the summary."""
     title = F.substring_index("text", "\n", 1)
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
         F.col("doc_id").alias("question_id"), title.alias("title"),
         F.substr("text", F.length(title) + 2).alias("summary"))
 

@@ -52,6 +52,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(scan: DataFrame, *keys) -> DataFrame:
+    """Use every core on a scan with too few pieces (one file, one row group).
+
+    For a plain table scan before work that is heavy per row. A scan that
+    already has a piece per core, as any large table does, is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
+
+
 # Largest side tables that are sent to every executor.
 BROADCAST_ROWS = 200_000
 

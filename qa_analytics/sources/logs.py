@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.text import strip
+
 # Outcome markers of the log lines.
 MARKERS = {"passed": "✅ RÉUSSI: ", "failed": "❌ ÉCHEC: ", "error": "🚫 ERREUR: ", "skipped": "⏭️  IGNORÉ: "}
 DURATION = r"Durée totale: ([0-9.]+) secondes"
@@ -31,20 +33,21 @@ def log_outcomes(lines: DataFrame, column="value") -> DataFrame:
     The name ends at the first parenthesis, except for skipped tests; a line
     without seconds has duration 0.
     """
-    line = F.col(column)
-    found = []
-    for outcome, marker in MARKERS.items():
-        tail = r"([^\n]+)" if outcome == "skipped" else r"([^(]+)(?:\(([0-9.]+)s\))?"
-        name = F.regexp_replace(F.regexp_extract(line, marker + tail, 1), r"^\s+|\s+$", "")
-        seconds = F.lit(None).cast("double") if outcome == "skipped" else (
-            F.regexp_extract(line, marker + tail, 2).try_cast("double"))
-        found.append(F.when(F.contains(line, F.lit(marker)), F.struct(
-            F.lit(outcome).alias("outcome"), name.alias("name"),
-            F.coalesce(seconds, F.lit(0.0)).alias("duration"))))
-    return lines.select(F.coalesce(*found).alias("r")).where(F.col("r").isNotNull()).select("r.*")
+    line, outcome, rest = F.col(column), F, F
+    for label, marker in MARKERS.items():
+        hit = F.contains(line, F.lit(marker))
+        outcome = outcome.when(hit, label)
+        rest = rest.when(hit, F.substr(line, F.locate(marker, line) + len(marker)))
+    marked = lines.select(outcome.alias("outcome"), rest.alias("rest")).where(F.col("outcome").isNotNull())
+    skipped, text = F.col("outcome") == "skipped", F.col("rest")
+    seconds = F.regexp_extract(text, r"^[^(]+\(([0-9.]+)s\)", 1).try_cast("double")
+    named = marked.where(F.when(skipped, text != "").otherwise(text.rlike(r"^[^(]")))
+    return named.select(
+        "outcome", strip(F.when(skipped, text).otherwise(F.substring_index(text, "(", 1))).alias("name"),
+        F.coalesce(F.when(~skipped, seconds), F.lit(0.0)).alias("duration"))
 
 
 def log_duration(lines: DataFrame, column="value") -> DataFrame:
     """one row with the total duration a log states, 0 without the line (the largest of several)."""
     stated = F.regexp_extract(F.col(column), DURATION, 1).try_cast("double")
-    return lines.agg(F.coalesce(F.max(stated), F.lit(0.0)).alias("total_duration"))
+    return lines.where(F.contains(F.col(column), F.lit("Durée totale"))).agg(F.coalesce(F.max(stated), F.lit(0.0)).alias("total_duration"))
