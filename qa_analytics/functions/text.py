@@ -30,16 +30,22 @@ def combined_text(title, summary) -> Column:
     return strip(F.concat_ws(" ", text_or_empty(title), text_or_empty(summary)))
 
 
-def clean_text(col) -> Column:
-    """lower case; markup, addresses and everything but ASCII letters is deleted.
+def once(col) -> Column:
+    """Evaluate an expensive expression once per row and go on with its value.
 
-    The first two patterns run only on texts that can match them.
+    A generated column is a barrier: filters on it, also those that later
+    generators bring along, are not pushed below it with a copy of the
+    expression. Usable as one column of a `select`.
     """
+    return F.explode(F.array(col))
+
+
+def clean_text(col) -> Column:
+    """lower case; markup, addresses and everything but ASCII letters is deleted."""
     text = F.lower(text_or_empty(col))
-    text = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, TAG_PATTERN, "")).otherwise(text)
-    linked = F.contains(text, F.lit("http")) | F.contains(text, F.lit("www"))
-    text = F.when(linked, F.regexp_replace(text, r"http\S+|www\S+", "")).otherwise(text)
-    return F.regexp_replace(text, r"[^a-z\s]+", "")
+    for pattern in (TAG_PATTERN, r"http\S+|www\S+", r"[^a-z\s]+"):
+        text = F.regexp_replace(text, pattern, "")
+    return text
 
 
 def words(col) -> Column:
@@ -52,9 +58,9 @@ def word_count(col) -> Column:
     return F.size(words(col))
 
 
-def clean_tokens(col, stop_words=STOP_WORDS, split_forms=None) -> Column:
-    """F2 without lemmas: cleaned tokens longer than two letters that are no stop words."""
-    tokens, forms = F.split(clean_text(col), r"\s+"), SPLIT_FORMS if split_forms is None else split_forms
+def kept_tokens(tokens, stop_words=STOP_WORDS, split_forms=None) -> Column:
+    """F2 on cleaned words: split forms are taken apart, then words of one or two letters and stop words go."""
+    forms = SPLIT_FORMS if split_forms is None else split_forms
     if forms:
         known = F.array(*[F.lit(f) for f in forms])
         parts = F.create_map(*[c for f, p in forms.items() for c in (F.lit(f), F.split(F.lit(p), " "))])
@@ -66,6 +72,16 @@ def clean_tokens(col, stop_words=STOP_WORDS, split_forms=None) -> Column:
     return F.filter(tokens, lambda w: (F.length(w) > 2) & ~w.isin(stop_words))
 
 
+def clean_words(col) -> Column:
+    """Cleaned text split at white space."""
+    return F.split(clean_text(col), r"\s+")
+
+
+def clean_tokens(col, stop_words=STOP_WORDS, split_forms=None) -> Column:
+    """F1 and F2 without lemmas."""
+    return kept_tokens(clean_words(col), stop_words, split_forms)
+
+
 def body_summary(col, limit=500) -> Column:
     """markup deleted, three entities decoded, cut to `limit` characters plus an ellipsis."""
     text = F.regexp_replace(text_or_empty(col), TAG_PATTERN, "")

@@ -11,9 +11,10 @@ source and is therefore broadcast, so only vocabulary hits are shuffled.
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.labels import KEYWORD_BANDS, band
-from ..functions.text import clean_tokens, combined_text, text_or_empty
+from ..functions.text import clean_words, combined_text, kept_tokens, once, text_or_empty
 from ..functions.word_lists import STOP_WORDS
 from ..session import durable, small_side
+from .filters import concat_batches
 
 # Vocabulary size and rows reported per source.
 MAX_FEATURES = {"title": 50, "summary": 50, "combined": 100}
@@ -37,7 +38,8 @@ def tokenised(corpus: DataFrame, stop_words=STOP_WORDS, lemmas: DataFrame = None
     `lemmas` is an optional (token, lemma) table; unlisted tokens stay. Only
     then are tokens taken out of their row, joined and put back in order.
     """
-    docs = corpus.select("source", "doc", clean_tokens(F.col("text"), stop_words).alias("tokens"))
+    docs = corpus.select("source", "doc", once(clean_words(F.col("text"))).alias("words"))
+    docs = docs.select("source", "doc", once(kept_tokens(F.col("words"), stop_words)).alias("tokens"))
     if lemmas is not None:
         table = small_side(lemmas.select(F.col("token"), F.col("lemma")).dropDuplicates(["token"]))
         docs = (
@@ -69,7 +71,7 @@ def term_frequencies(docs: DataFrame) -> DataFrame:
     document is needed. The second array is one longer, which gives each
     document one row without a term.
     """
-    ordered = docs.select("source", F.sort_array(_terms(F.col("tokens"))).alias("terms"))
+    ordered = docs.select("source", once(F.sort_array(_terms(F.col("tokens")))).alias("terms"))
     shifted = F.concat(F.array(F.lit(None).cast("string")), "terms")
     first_of_run = (~F.col("term").eqNullSafe(F.col("previous"))).cast("long")
     return (
@@ -80,28 +82,35 @@ def term_frequencies(docs: DataFrame) -> DataFrame:
 
 
 def _vocabulary(stats: DataFrame, max_features) -> DataFrame:
-    """(source, term, place, n, idf): terms inside the document-frequency bounds, the most frequent ones kept."""
+    """(source, term, place, n, idf): terms inside the document-frequency bounds, the most frequent ones kept.
+
+    One top-k per source, so no task sorts or holds more than `max_features` terms.
+    """
     n = F.col("n")
     sizes = stats.where(F.col("term").isNull()).select("source", F.col("tf").alias("n"))
     min_df = F.greatest(F.lit(1), F.least(F.lit(2), F.floor(n * 0.1)))
     max_df = F.when(n <= 5, 0.95).when(n <= 10, 0.9).otherwise(0.8) * n
-    kept = (
+    inside = (
         stats.where(F.col("term").isNotNull()).join(F.broadcast(sizes), "source")
         .where((F.col("df") >= min_df) & (F.col("df") <= max_df) & (max_df >= min_df))
     )
-    limit = F.create_map(*[F.lit(x) for item in max_features.items() for x in item])
+    kept = concat_batches([
+        inside.where(F.col("source") == source).orderBy(F.desc("tf"), "term").limit(limit)
+        for source, limit in max_features.items()
+    ])
     place = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("tf"), "term"))
-    # The constant bound lets Spark cut each task's rows before the shuffle.
-    kept = kept.withColumn("place", place).where(F.col("place") <= max(max_features.values()))
-    return kept.where(F.col("place") <= limit[F.col("source")]).select(
-        "source", "term", "place", "n", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    return kept.select("source", "term", place.alias("place"), "n", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def keyword_scores(corpus: DataFrame, max_features=None, stop_words=STOP_WORDS, lemmas=None) -> DataFrame:
-    """(source, term, score) of the whole vocabulary; empty when no term is inside the bounds."""
+def keyword_scores(corpus: DataFrame, max_features=MAX_FEATURES, stop_words=STOP_WORDS, lemmas=None) -> DataFrame:
+    """(source, term, score) of the whole vocabulary; empty when no term is inside the bounds.
+
+    `max_features` maps each source of the corpus to its vocabulary size.
+    """
     docs = tokenised(corpus, stop_words, lemmas)
     stats = durable(term_frequencies(docs))
-    vocabulary = F.broadcast(_vocabulary(stats, max_features or MAX_FEATURES))
+    # At most `max_features` rows per source; kept because the plan reads it twice.
+    vocabulary = F.broadcast(durable(_vocabulary(stats, max_features)))
     hits = (
         docs.select("source", "doc", F.explode(_terms(F.col("tokens"))).alias("term"))
         .join(vocabulary, ["source", "term"])
@@ -121,6 +130,7 @@ def top_keywords(scores: DataFrame, limits=None) -> DataFrame:
     limits = limits or TOP_KEYWORDS
     limit = F.create_map(*[F.lit(x) for item in limits.items() for x in item])
     place = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("score"), "term"))
+    # The scores are at most a vocabulary per source.
     return (
         scores.withColumn("rank", place.cast("long")).where(F.col("rank") <= limit[F.col("source")])
         .select("source", "rank", "term", "score", band(F.col("score"), KEYWORD_BANDS).alias("significance"))

@@ -69,27 +69,35 @@ def _typed(leaves):
         F.coalesce(text, F.to_json("value")).alias("example"))
 
 
+def _is_object(value):
+    return F.schema_of_variant(value).startswith("OBJECT")
+
+
+def _opened(fields: DataFrame, skip) -> DataFrame:
+    """Replace every object by its fields; other values stay, empty objects go."""
+    tvf = fields.sparkSession.tvf
+    opened = fields.withColumn("nested", _is_object(F.col("value")))
+    children = tvf.variant_explode_outer(F.when(F.col("nested"), F.col("value")).outer()).select(
+        F.col("key"), F.col("value").alias("child"))
+    rows = opened.lateralJoin(children).where(
+        F.when(F.col("nested"), F.col("key").isNotNull() & ~F.col("key").isin(skip)).otherwise(True))
+    return rows.select(
+        F.when(F.col("nested"), F.concat_ws(".", "field_path", "key")).otherwise(F.col("field_path")).alias("field_path"),
+        F.when(F.col("nested"), F.col("child")).otherwise(F.col("value")).alias("value"))
+
+
 def schema_profile(df: DataFrame, column, skip=("_id",)) -> DataFrame:
     """(field_path, type, count, example) over JSON documents of any depth.
 
-    Objects are opened level by level with `variant_explode`; the loop ends
-    when no document has an object left. The example is the smallest value as
-    text, shortened when it is a text.
+    Objects are opened level by level in one plan; a look for an object that
+    is still closed (it stops at the first) decides whether another level
+    follows. The example is the smallest value as text, shortened when it is a
+    text.
     """
-    level = df.select(F.lit("").alias("prefix"), F.parse_json(F.col(column)).alias("doc"))
-    skip, leaves = list(skip), None
+    leaves = df.select(F.lit(None).cast("string").alias("field_path"), F.parse_json(F.col(column)).alias("value"))
     while True:
-        level.createOrReplaceTempView("_qa_profile_level")
-        fields = df.sparkSession.sql(
-            "SELECT prefix, f.key, f.value FROM _qa_profile_level, LATERAL variant_explode(doc) AS f"
-        ).where(~F.col("key").isin(skip)).select(
-            F.concat("prefix", "key").alias("path"), "value",
-            F.schema_of_variant("value").startswith("OBJECT").alias("nested"))
-        found = fields.where(~F.col("nested")).select(F.col("path").alias("field_path"), "value")
-        leaves = found if leaves is None else leaves.unionByName(found)
-        level = fields.where("nested").select(
-            F.concat("path", F.lit(".")).alias("prefix"), F.col("value").alias("doc"))
-        if level.isEmpty():
+        leaves = _opened(leaves, list(skip))
+        if leaves.where(_is_object(F.col("value"))).isEmpty():
             break
     return _typed(leaves).groupBy("field_path", "type").agg(
         F.count(F.lit(1)).alias("count"), F.min("example").alias("example"))

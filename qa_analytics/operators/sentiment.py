@@ -8,7 +8,7 @@ thresholds, counts and means are exact.
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import sentiment_class
-from ..functions.text import is_blank, sentiment_tokens
+from ..functions.text import is_blank, once, sentiment_tokens
 from ..functions.values import percent
 from ..functions.word_lists import INTENSITY_WORDS, NEGATIONS, SENTIMENT_WORDS
 from ..session import small_side
@@ -33,7 +33,7 @@ def text_polarity(corpus: DataFrame, lexicon: DataFrame, negations=NEGATIONS) ->
     scaling = small_side(
         lexicon.where(F.col("intensity").isNotNull()).select(F.col("word").alias("before"), "intensity"))
     docs = corpus.where(~is_blank(F.col("text"))).select(
-        "source", "doc", sentiment_tokens(F.col("text")).alias("tokens"))
+        "source", "doc", once(sentiment_tokens(F.col("text"))).alias("tokens"))
     gap = F.lit(None).cast("string")
     # The shifted arrays are longer; the rows past the last word have no word and join nothing.
     placed = F.arrays_zip("tokens", F.concat(F.array(gap), "tokens").alias("b1"),

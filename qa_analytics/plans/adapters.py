@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.writes import upsert_authors
+from ..functions.text import once
 from ..operators.filters import with_audit
+from ..operators.writes import upsert_authors
 from ..schema import AUTHOR_SCHEMA
 from ..session import spread
 
@@ -158,6 +159,7 @@ def log_lines(spark, sf_dir) -> DataFrame:
         .when(kind == "error", F.concat(F.lit("🚫 ERREUR: "), name))
         .otherwise(F.concat(F.lit("⏭️  IGNORÉ: "), name))
     )
-    lines = events.select(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" - INFO - "), line).alias("value"))
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    lines = events.select(once(F.concat(stamp, F.lit(" - INFO - "), line)).alias("value"))
     total = events.agg(F.format_string("Durée totale: %.2f secondes", F.sum("value")).alias("value"))
     return lines.unionByName(total)

@@ -7,7 +7,7 @@ from ..functions.text import clean_text, clean_tokens, combined_text
 from ..operators import (
     filters, keywords, logs as log_ops, profile, quality, refresh, report, sentiment, stats, tags, temporal, writes,
 )
-from ..session import staging_path
+from ..session import spread, staging_path
 from ..sources import listings, logs as log_files, payloads, tables
 from ..streaming import ingest, windows
 from . import adapters as a
@@ -293,7 +293,8 @@ def cleaned_text(spark, d):
 
 
 def _keywords(spark, d, source):
-    return keywords.top_keywords(keywords.keyword_scores(keywords.question_texts(a.q_docs(spark, d), (source,))))
+    corpus = keywords.question_texts(a.q_docs(spark, d), (source,))
+    return keywords.top_keywords(keywords.keyword_scores(corpus, {source: keywords.MAX_FEATURES[source]}))
 
 
 @query
@@ -512,7 +513,8 @@ def _documents_as_json(spark, d):
     k = F.get_json_object("props", "$.k").cast("long")
     mixed = F.when(k < 50, k.cast("string")).otherwise(F.concat(F.lit('"'), k, F.lit('"')))
     listed = F.when(k < 30, "[]").when(k < 60, F.concat(F.lit("["), k, F.lit("]"))).otherwise('["a", 1]')
-    return a.table(spark, d, "events").select(F.concat(
+    events = spread(a.table(spark, d, "events").drop("ts", "value"), "event_id")
+    return events.select(F.concat(
         F.lit('{"_id": 1, "event_id": '), "event_id", F.lit(', "who": {"user": '), "user_id",
         F.lit(', "props": '), "props", F.lit('}, "mixed": '), mixed, F.lit(', "list": '), listed,
         F.lit(', "type": "'), "event_type", F.lit('", "none": null, "flag": true, "share": 0.5, "empty": {}}'),

@@ -41,27 +41,28 @@ RAW_CARD = (
 
 
 class _Element:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "classes", "children", "inside")
 
     def __init__(self, tag, attrs):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.inside = tag, attrs, [], None
+        self.classes = (attrs.get("class") or "").split()
 
     def descendants(self):
-        todo = self.children[::-1]
-        while todo:
-            node = todo.pop()
-            if isinstance(node, _Element):
-                yield node
-                todo.extend(node.children[::-1])
+        """All elements inside, in document order; remembered after the first call."""
+        if self.inside is None:
+            self.inside, todo = [], self.children[::-1]
+            while todo:
+                node = todo.pop()
+                if isinstance(node, _Element):
+                    self.inside.append(node)
+                    todo.extend(node.children[::-1])
+        return self.inside
 
     def all(self, tag, css=None):
-        return [
-            e for e in self.descendants()
-            if e.tag == tag and (css is None or css in (e.attrs.get("class") or "").split())
-        ]
+        return [e for e in self.descendants() if e.tag == tag and (css is None or css in e.classes)]
 
     def first(self, tag, css=None):
-        return next(iter(self.all(tag, css)), None)
+        return next((e for e in self.descendants() if e.tag == tag and (css is None or css in e.classes)), None)
 
     def text(self):
         """Stripped text pieces in document order, joined without a separator."""
