@@ -79,13 +79,13 @@ def first_rows(df: DataFrame, n, *order) -> DataFrame:
 
 
 def by_ids(df: DataFrame, ids: DataFrame, key="question_id") -> DataFrame:
-    """Rows whose key is listed; no listed key, no row."""
-    return df.join(ids.select(key), key, "left_semi")
+    """Rows whose key is listed; no listed key, no row. A key listed often is one row in the join."""
+    return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def not_in_ids(df: DataFrame, ids: DataFrame, key="question_id") -> DataFrame:
     """Rows whose key is not listed."""
-    return df.join(ids.select(key), key, "left_anti")
+    return df.join(ids.select(key).distinct(), key, "left_anti")
 
 
 def with_tags(df: DataFrame, tags, match="any", limit=1000) -> DataFrame:

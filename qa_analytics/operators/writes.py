@@ -38,8 +38,8 @@ def update_only_questions(existing: DataFrame, batch: DataFrame, as_of) -> DataF
 
 
 def append_only_questions(existing: DataFrame, batch: DataFrame, as_of) -> DataFrame:
-    """M3: unknown ids are added, known ones ignored."""
-    fresh = latest_per_key(not_in_ids(batch, existing)).select(*QUESTION_FIELDS)
+    """M3: unknown ids are added, known ones ignored. The batch is reduced to a row per id before the join."""
+    fresh = not_in_ids(latest_per_key(batch).select(*QUESTION_FIELDS), existing)
     return existing.unionByName(with_audit(fresh, as_of))
 
 
@@ -53,36 +53,48 @@ def effective_batch(existing: DataFrame, batch: DataFrame, mode) -> DataFrame:
     return by_ids(batch, existing) if mode == "update" else not_in_ids(batch, existing)
 
 
-def author_updates(batch: DataFrame) -> DataFrame:
-    """Per real author the rows of the batch and the values of the last one."""
-    return named_authors(batch).groupBy("author_name").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.max_by(F.struct(F.col("author_reputation").alias("reputation"),
-                          F.col("author_profile_url").alias("profile_url")), "seq").alias("last"),
-    )
+def author_updates(batch: DataFrame, existing: DataFrame = None, mode="upsert") -> DataFrame:
+    """Per real author the rows of the batch and the values of the last one.
+
+    With `existing` only rows that a run in `mode` stores count. They are
+    added up per question and author before that join, so a question that
+    repeats a lot is one row there.
+    """
+    rows = named_authors(batch).select(
+        "question_id", "author_name", F.lit(1).cast("long").alias("rows"), "seq",
+        F.struct(F.col("author_reputation").alias("reputation"), F.col("author_profile_url").alias("profile_url")).alias("last"))
+    if existing is not None and mode != "upsert":
+        rows = effective_batch(existing, _added_up(rows, "question_id", "author_name"), mode)
+    return _added_up(rows, "author_name").drop("seq")
+
+
+def _added_up(rows, *keys):
+    return rows.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), F.max_by("last", "seq").alias("last"), F.max("seq").alias("seq"))
 
 
-def _merged_authors(authors, batch, as_of, how) -> DataFrame:
+def _merged_authors(authors, updates, as_of, how) -> DataFrame:
     now, seen = as_timestamp(as_of), F.col("rows").isNotNull()
     pick = lambda new, old: F.when(seen, new).otherwise(F.col(old)).alias(old)
-    return authors.join(author_updates(batch), "author_name", how).select(
+    marked = authors.withColumn("_is_old", F.lit(True))
+    return marked.join(updates, "author_name", how).select(
         "author_name",
         pick(F.col("last.reputation"), "reputation"),
         pick(F.col("last.profile_url"), "profile_url"),
         pick(now, "last_seen"),
         (F.coalesce("question_count", F.lit(0)) + F.coalesce("rows", F.lit(0))).alias("question_count"),
-        (F.coalesce("first_seen", F.when(seen & F.col("_is_old").isNull(), now))).alias("first_seen"),
+        F.coalesce("first_seen", F.when(F.col("_is_old").isNull(), now)).alias("first_seen"),
     ).select(*AUTHOR_FIELDS)
 
 
-def upsert_authors(authors: DataFrame, batch: DataFrame, as_of) -> DataFrame:
+def upsert_authors(authors: DataFrame, batch: DataFrame, as_of, existing: DataFrame = None, mode="upsert") -> DataFrame:
     """M4: counts grow with every row, also of a question stored before; `first_seen` is set once."""
-    return _merged_authors(authors.withColumn("_is_old", F.lit(True)), batch, as_of, "full_outer")
+    return _merged_authors(authors, author_updates(batch, existing, mode), as_of, "full_outer")
 
 
-def update_only_authors(authors: DataFrame, batch: DataFrame, as_of) -> DataFrame:
+def update_only_authors(authors: DataFrame, batch: DataFrame, as_of, existing: DataFrame = None, mode="update") -> DataFrame:
     """M5: known authors only."""
-    return _merged_authors(authors.withColumn("_is_old", F.lit(True)), batch, as_of, "left")
+    return _merged_authors(authors, author_updates(batch, existing, mode), as_of, "left")
 
 
 def write_metrics(existing: DataFrame, authors: DataFrame, batch: DataFrame, mode) -> DataFrame:
@@ -92,12 +104,11 @@ def write_metrics(existing: DataFrame, authors: DataFrame, batch: DataFrame, mod
     repeated key is one row there. Only the first row of an unseen author is
     "new", its further rows are "updated".
     """
-    stored_rows = effective_batch(existing, batch, mode)
     zero = F.lit(0).cast("long")
     per_id = batch.groupBy("question_id").agg(F.count(F.lit(1)).alias("n"))
     attempted = per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("questions_attempted"))
     stored = effective_batch(existing, per_id, mode).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("questions_stored"))
-    per_author = named_authors(stored_rows).groupBy("author_name").agg(F.count(F.lit(1)).alias("n"))
+    per_author = author_updates(batch, existing, mode).select("author_name", F.col("rows").alias("n"))
     known = authors.select("author_name", F.lit(True).alias("known"))
     joined = per_author.join(known, "author_name", "left")
     is_new = F.col("known").isNull()

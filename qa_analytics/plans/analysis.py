@@ -5,17 +5,16 @@ from pyspark.sql import DataFrame
 from ..operators import keywords, quality, sentiment, stats, tags, temporal
 from ..operators.filters import analysis_scope, authors_of_questions, top_authors
 from ..operators.writes import (
-    WRITERS, effective_batch, touched_ids, update_only_authors, upsert_authors, write_metrics,
+    WRITERS, touched_ids, update_only_authors, upsert_authors, write_metrics,
 )
 
 
 def ingest(questions: DataFrame, authors: DataFrame, batch: DataFrame, mode, as_of) -> dict:
     """Next question and author snapshots, run counts and touched ids of a batch in one of the three modes."""
-    stored = effective_batch(questions, batch, mode)
     next_authors = update_only_authors if mode == "update" else upsert_authors
     return {
         "questions": WRITERS[mode](questions, batch, as_of),
-        "authors": next_authors(authors, stored, as_of),
+        "authors": next_authors(authors, batch, as_of, questions, mode),
         "metrics": write_metrics(questions, authors, batch, mode),
         "touched_ids": touched_ids(questions, batch, mode),
     }

@@ -140,8 +140,15 @@ def _unseen(batch: DataFrame, stored_ids: DataFrame) -> DataFrame:
 
 
 def _run(source, each_batch, checkpoint):
+    def with_batch_read_once(batch, batch_id):
+        batch.persist()
+        try:
+            each_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
+
     query = (
-        source.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+        source.writeStream.foreachBatch(with_batch_read_once).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
