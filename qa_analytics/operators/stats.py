@@ -38,13 +38,17 @@ def reputation_stats(authors: DataFrame) -> DataFrame:
 def activity_stats(authors: DataFrame) -> DataFrame:
     """Questions per author, authors in all, the most active one (first name on ties)."""
     counted = authors.select("author_name", F.coalesce("question_count", F.lit(0)).alias("question_count"))
-    most = counted.agg(
-        F.min(F.struct((-F.col("question_count")).alias("negated"), F.col("author_name"))).alias("best")
-    ).select(F.lit("question_count").alias("metric"), F.col("best.author_name").alias("most_active_author"))
-    return numeric_summary(counted, ["question_count"]).join(most, "metric").select(
+    best = F.min(F.struct((-F.col("question_count")).alias("negated"), F.col("author_name")))
+    most = counted.agg(best.alias("best")).select(F.col("best.author_name").alias("most_active_author"))
+    numbers = numeric_summary(counted, ["question_count"]).select(
         F.col("mean").alias("mean_questions_per_author"), F.col("median").alias("median_questions_per_author"),
-        "most_active_author", F.col("max").cast("long").alias("most_active_count"), F.col("total").alias("total_authors"),
+        F.col("max").cast("long").alias("most_active_count"), F.col("total").alias("total_authors"),
     )
+    # Two one-row results side by side.
+    both = numbers.unionByName(most, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in (
+        "mean_questions_per_author", "median_questions_per_author", "most_active_author", "most_active_count",
+        "total_authors")])
 
 
 def store_stats(questions: DataFrame, authors: DataFrame, analyses: DataFrame = None) -> DataFrame:

@@ -532,6 +532,12 @@ def schema_summary(spark, d):
         "field_path", "type", "count")
 
 
+@query
+def random_sample(spark, d):
+    sample = profile.random_sample(a.q_events(spark, d).select("question_id"), 100, seed=7)
+    return sample.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("question_id").alias("ids"))
+
+
 @query
 def table_inventory(spark, d):
     return profile.table_inventory({name: a.table(spark, d, name) for name in ALL_TABLES})

@@ -530,6 +530,7 @@ FROM (SELECT page_id, {_BODY.format('html')} AS body FROM pages)""",
 SELECT field_path, CASE WHEN count(DISTINCT type) = 1 THEN min(type)
   ELSE 'Mixte (' || string_agg(DISTINCT type, ', ' ORDER BY type) || ')' END AS type, count(*) AS count
 FROM fields GROUP BY field_path""",
+    "random_sample": "SELECT least(100, count(*)) AS rows, least(100, count(*)) AS ids FROM events",
     "table_inventory": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ALL_TABLES),
     "duplicate_keys": f"WITH {_STORE} SELECT question_id, count(*) AS count FROM incoming GROUP BY question_id HAVING count(*) > 1",

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.values import as_timestamp
+from ..functions.values import as_timestamp, nan_to_null
 from ..operators.filters import newest_first, top_authors
 from ..schema import AUTHOR_SCHEMA, STORED_QUESTION_SCHEMA
 
@@ -24,8 +24,10 @@ def write_snapshot(df: DataFrame, folder, version) -> str:
 
 
 def result_rows(result: DataFrame, table) -> DataFrame:
-    """One row with a bounded result table as JSON text and its row count."""
-    return result.agg(
+    """One row with a bounded result table as JSON text (P12: not-a-number is null) and its row count."""
+    clean = [
+        (nan_to_null(F.col(c)) if kind in ("double", "float") else F.col(c)).alias(c) for c, kind in result.dtypes]
+    return result.select(*clean).agg(
         F.to_json(F.sort_array(F.collect_list(F.struct(*result.columns)))).alias("results"),
         F.count(F.lit(1)).alias("result_rows"),
     ).select(F.lit(table).alias("table"), "results", "result_rows")

@@ -158,6 +158,8 @@ def test_analyse_whole_and_new_only(spark):
     assert [r.author_name for r in one["top_authors"].collect()] == ["B"]
     none = analyse(run["questions"], run["authors"], "2024-01-02", spark.createDataFrame([], "question_id long"))
     assert set(none) == {"status"} and none["status"].first().status == "skipped"
+    nothing = analyse(run["questions"].limit(0), run["authors"], "2024-01-02")
+    assert set(nothing) == {"status"}
 
 
 # ---- streams ----------------------------------------------------------------
@@ -271,4 +273,6 @@ def test_snapshots_and_exports(spark):
     export = tables.export_tables(questions, people, counts, "2024-02-01", max_questions=1)
     tables.export_json(export, f"{base}/export")
     assert [r.question_id for r in spark.read.json(f"{base}/export/questions").collect()] == [2]
+    odd = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
+    assert tables.result_rows(odd, "odd").first().results == '[{},{"v":1.0}]'
     assert tables.read_authors(spark, tables.write_snapshot(people, f"{base}/authors", 1)).count() == 1
