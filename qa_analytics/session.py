@@ -47,9 +47,15 @@ def staging_path(spark, name):
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared folder so that lost executors cost no recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write `df` to the shared folder and go on from the written table.
+
+    Lost executors then cost no recomputation, later steps read only the
+    columns they need, and Spark knows the size of the result.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(scan: DataFrame, *keys) -> DataFrame:
@@ -59,7 +65,7 @@ def spread(scan: DataFrame, *keys) -> DataFrame:
     already has a piece per core, as any large table does, is not shuffled.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(2 * cores, *keys)
 
 
 # Largest side tables that are sent to every executor.
