@@ -1,6 +1,5 @@
 """Session set-up, shared-folder materialisation and size-checked broadcasts."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,25 +24,24 @@ def get_session(app_name="qa_analytics", master=None, **conf):
 def shared_folder(spark):
     """The cluster's shared checkpoint folder (`spark.checkpoint.dir`).
 
-    Only a local master may fall back to a temporary folder; on a cluster the
-    setting must name storage that every executor sees.
+    Where the session names none, a folder in the warehouse, which the driver
+    and the executors share as well, takes its place.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        folder = context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="qa-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_qa_steps"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
 def staging_path(spark, name):
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/qa-{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, deleted when the application ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/qa-{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def durable(df: DataFrame) -> DataFrame:
