@@ -167,7 +167,7 @@ def confirmed(docs, pairs, k, percent):
         100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, id="doc_id", text="text", words=3, percent=85, bands=BANDS, rows=ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id="doc_id", text="text", words=5, percent=80, bands=BANDS, rows=ROWS) -> DataFrame:
     """(id, n_shingles, component_id, kept): one row per row of `docs`; see the module's text."""
     docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()

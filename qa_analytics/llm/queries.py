@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from . import minhash, quality
+from . import minhash, pii, quality
+from ..session import durable
 from .common import read
 
 QUERIES = {}
@@ -14,6 +15,16 @@ def query(fn):
     return fn
 
 
+@query
+def op8_personal_data(spark, d):
+    found = durable(pii.candidates(read(spark, d, "documents")).select("doc_id", "found"))
+    weights = pii.fit(*pii.reliabilities(found))
+    base = F.filter("found", lambda x: x["base"])
+    return found.select(
+        "doc_id", *(F.size(F.filter(base, lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(pii.listing(base), 256).alias("base_sha256"), pii.listing(pii.accepted(weights)).alias("spans"))
+
+
 @query
 def op9_quality_rules(spark, d):
     judged = quality.judge(read(spark, d, "documents"))
@@ -23,4 +34,4 @@ def op9_quality_rules(spark, d):
 
 @query
 def op10_minhash_near_dedup(spark, d):
-    return minhash.near_duplicates(read(spark, d, "documents"))
+    return minhash.near_duplicates(read(spark, d, "documents"), words=3, percent=85)
