@@ -1,8 +1,10 @@
 """The text operators applied to their whole tables, with production parameters."""
 
+import public_tokenizers
+
 from pyspark.sql import functions as F
 
-from . import minhash, pii, quality
+from . import minhash, mixing, packing, pii, pitman_yor, quality, token_counts
 from ..session import durable
 from .common import read
 
@@ -15,6 +17,32 @@ def query(fn):
     return fn
 
 
+@query
+def op1_length_packing(spark, d):
+    return packing.pack(read(spark, d, "documents"))
+
+
+@query
+def op2_source_mix(spark, d):
+    return mixing.taken(read(spark, d, "documents"))
+
+
+@query
+def op5_token_counts(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
+
+
+@query
+def op7_pitman_yor(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    aside = pitman_yor.held_out(F.col("doc_id"))
+    model, facts = pitman_yor.train(docs.where(~aside))
+    return pitman_yor.score(docs, model, facts).select(
+        "doc_id", aside.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op8_personal_data(spark, d):
     found = durable(pii.candidates(read(spark, d, "documents")).select("doc_id", "found"))
