@@ -4,7 +4,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, pii, pitman_yor, quality, token_counts
+from . import html_text, minhash, mixing, packing, pii, pitman_yor, quality, token_counts, url_rules
 from ..session import durable
 from .common import read
 
@@ -27,6 +27,23 @@ def op2_source_mix(spark, d):
     return mixing.taken(read(spark, d, "documents"))
 
 
+@query
+def op3_html_text(spark, d):
+    return html_text.extract(read(spark, d, "pages"))
+
+
+URL_RULES = (
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+@query
+def op4_url_rules(spark, d):
+    return url_rules.judge(read(spark, d, "pages"), read(spark, d, "labels"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op5_token_counts(spark, d):
     docs = read(spark, d, "documents").select("doc_id", "text")
