@@ -4,7 +4,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import html_text, minhash, mixing, packing, pii, pitman_yor, quality, token_counts, url_rules
+from . import graph_dedup, html_text, minhash, mixing, packing, pii, pitman_yor, quality, token_counts, url_rules
 from ..session import durable
 from .common import read
 
@@ -51,6 +51,11 @@ def op5_token_counts(spark, d):
     return counted.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
 
 
+@query
+def op6_graph_near_dedup(spark, d):
+    return graph_dedup.near_duplicates(read(spark, d, "embeddings"))
+
+
 @query
 def op7_pitman_yor(spark, d):
     docs = read(spark, d, "documents").select("doc_id", "text")
