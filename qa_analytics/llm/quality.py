@@ -14,6 +14,7 @@ loses nothing. Repeated rows are judged alike. Other columns pass through.
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.text import once
 from .common import SPACE, WORD, own
 
 # Phrases of notices and licence lines, and menu entries.
@@ -117,11 +118,11 @@ def judge(docs: DataFrame, text="text", max_lost=0.4, min_words=50, max_repeat_p
     enough = F.col("left_chars") >= (1 - max_lost) * F.col("chars")
     return step.select(
         "row.*",
-        F.struct(
+        once(F.struct(
             F.col("n").cast("long").alias("n_words"), F.col("chars").alias("word_chars"),
             F.col("symbols").cast("long").alias("n_symbols"),
             (F.size("lines") - F.size("single")).cast("long").alias("n_dup_lines"),
             F.col("repeats").cast("long").alias("n_repeat_words"), failed.alias("base_failed"),
             (~failed & enough).alias("kept"), F.size("left").cast("long").alias("n_lines_left"),
-            F.col("left_chars")).alias(quality),
+            F.col("left_chars"))).alias(quality),
         F.when(F.size("left") == F.size("lines"), F.col("t")).otherwise(F.array_join("left", "\n")).alias(clean))
