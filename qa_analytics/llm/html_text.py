@@ -118,7 +118,7 @@ class Page:
                 continue
             at, name = tag.end(), tag[2].lower()
             if tag[1]:
-                if waiting.get(name):
+                if waiting.get(name) and self.ends(open_, name):
                     while True:
                         last = names[open_.pop()]
                         waiting[last] -= 1
@@ -138,6 +138,15 @@ class Page:
                 open_.append(node)
                 waiting[name] = waiting.get(name, 0) + 1
 
+    def ends(self, open_, name):
+        """True if an end tag closes its element: that of an inline element does not reach over a block."""
+        if name in BLOCKS:
+            return True
+        for node in open_[:-64:-1]:
+            if self.names[node] == name or self.names[node] in BLOCKS:
+                return self.names[node] == name
+        return False
+
     def close(self, open_, waiting, name):
         """End the open elements that the start of `name` implies to end."""
         for i in range(len(open_) - 1, 0, -1):
