@@ -9,11 +9,13 @@ Method: one permutation puts every shingle hash into one of bands x rows bins
 and each bin keeps its smallest hash; empty bins borrow from a bin found by
 their own random order over all bins (optimal densification). Documents that
 agree in a whole band share a bucket. Equal sets are one class from the start,
-with the smallest id as representative. In each bucket the smallest
-representative is linked to the others (a star), and links are confirmed on
-the full sets. Where a bucket still holds several components, members outside
-its largest one become further centres, a bounded number per round, until
-every two members of a bucket are in one component or have been compared.
+with the smallest id as representative. In each bucket the representative with
+the most company in all its buckets (an original rather than one of its
+copies) is compared with the others: a star. Links are confirmed on the full
+sets. Where a bucket still holds several components, members outside its
+largest one become further centres, a number per bucket and round that grows
+by a fixed factor, until every two members of a bucket are in one component or
+have been compared.
 
 Sizes: signatures and buckets are tables; nothing is collected. A hot set is
 one class; hot buckets and centres meet only plain joins, whose large
@@ -34,7 +36,7 @@ from ..session import durable
 from .components import connected_components
 
 BANDS, ROWS = 42, 6
-CENTRES = 32
+CENTRES, GROWTH = 32, 4
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -154,12 +156,15 @@ def _few(batches, rows=256):
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def confirmed(docs, pairs, k, percent):
-    """The pairs (a, b) whose full sets are alike enough; `docs` has id and text."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def hash_sets(docs, k):
+    """(id, hashes) of the full shingle set of each row of `docs`."""
     hasher = _hasher(k)
-    sets = durable(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(
-        lambda batches: _few(hasher(batches)), f"id {docs.schema['id'].dataType.simpleString()}, hashes array<bigint>"))
+    return docs.select("id", "text").mapInArrow(
+        lambda batches: _few(hasher(batches)), f"id {docs.schema['id'].dataType.simpleString()}, hashes array<bigint>")
+
+
+def confirmed(pairs, sets, percent):
+    """The pairs (a, b) whose full sets are alike enough."""
     with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("of_b")), "b")
     with_a = with_b.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("of_a")), "a")
     shared = F.size(F.array_intersect("of_a", "of_b"))
@@ -167,6 +172,53 @@ def confirmed(docs, pairs, k, percent):
         100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b").distinct()
 
 
+def _star_links(members, docs, k, percent):
+    """(id, component) for all linked ids; `members` has the (key, id, size) rows of buckets with company."""
+    company = durable(members.groupBy("id").agg(F.sum("n").alias("score")))
+    sets = durable(hash_sets(docs.join(company, "id", "left_semi"), k))
+    open_ = durable(members.join(company, "id").select(
+        "key", "id", "size", "score", F.col("id").alias("component"), F.lit(False).alias("served")))
+    components, tested, centres_each, pool = None, None, 1, open_
+    while True:
+        slot = F.pmod(F.xxhash64("id"), F.lit(centres_each))
+        best = F.max(F.struct("score", "id", "size", "component"))
+        centres = durable(pool.groupBy("key", slot.alias("slot")).agg(best.alias("c")).select(
+            "key", F.col("c.id").alias("c_id"), F.col("c.size").alias("c_size"), F.col("c.component").alias("c_comp")))
+        if tested is not None and centres.isEmpty():
+            return components
+        alike = 100 * F.least("size", "c_size") >= percent * F.greatest("size", "c_size")
+        fresh = open_.join(centres, "key").where(alike & (F.col("component") != F.col("c_comp"))).select(
+            F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
+        fresh = durable(fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti"))
+        links = durable(confirmed(fresh, sets, percent))
+        tested = fresh if tested is None else tested.union(fresh)
+        components = _merged(components, links)
+        # Only buckets with several components stay open.
+        marked = open_.drop("component").join(components, "id", "left").join(
+            centres.select("key", F.col("c_id").alias("id"), F.lit(True).alias("now")), ["key", "id"], "left")
+        marked = durable(marked.select("key", "id", "size", "score", F.coalesce("component", "id").alias("component"),
+                                       (F.col("served") | F.col("now").isNotNull()).alias("served")))
+        largest = durable(marked.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+            F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select(
+            "key", F.col("most.component").alias("most")))
+        open_ = durable(marked.join(largest, "key"))
+        pool = open_.where("component != most and not served")
+        open_ = open_.drop("most")
+        centres_each = CENTRES if centres_each == 1 else centres_each * GROWTH
+
+
+def _merged(components, links):
+    """Component labels after more links."""
+    if components is None:
+        return durable(connected_components(links))
+    ends = links.join(components.withColumnRenamed("id", "a").withColumnRenamed("component", "ca"), "a", "left").join(
+        components.withColumnRenamed("id", "b").withColumnRenamed("component", "cb"), "b", "left")
+    moves = durable(connected_components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))))
+    moved = components.join(moves.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+    return durable(moved.select("id", F.coalesce("to", "component").alias("component")).union(
+        moves.join(components, "id", "left_anti")))
+
+
 def near_duplicates(docs: DataFrame, id="doc_id", text="text", words=5, percent=80, bands=BANDS, rows=ROWS) -> DataFrame:
     """(id, n_shingles, component_id, kept): one row per row of `docs`; see the module's text."""
     docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
@@ -175,55 +227,13 @@ def near_duplicates(docs: DataFrame, id="doc_id", text="text", words=5, percent=
         _signer(words, bands, rows), f"id {kind}, n_shingles long, k1 long, k2 long, bands array<bigint>"))
     full = signed.where("id is not null and n_shingles > 0")
     classes = durable(full.groupBy("k1", "k2", "n_shingles").agg(F.min("id").alias("rep")))
-    reps = full.join(
-        classes.select(F.col("rep").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi").select("id", "n_shingles", "bands")
-    members = reps.select("id", "n_shingles", F.explode("bands").alias("key"))
-    buckets = durable(members.groupBy("key").agg(
-        F.min("id").alias("centre"), F.max("id").alias("last"), F.min("n_shingles").alias("low"),
-        F.max("n_shingles").alias("high")).where("centre != last"))
-    members = durable(members.join(buckets.select("key", "centre"), "key"))
-    near = 100 * F.least("n_shingles", "c_n") >= percent * F.greatest("n_shingles", "c_n")
-
-    def pairs_of(centres, inside):
-        """Distinct (smaller id, larger id, key-free) pairs of members with the centres of their buckets."""
-        met = inside.join(centres, "key").where("id != c_id")
-        return met.where(near).select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
-
-    sizes = reps.select("id", "n_shingles")
-    centres = durable(
-        buckets.select("key", F.col("centre").alias("c_id"))
-        .join(sizes.select(F.col("id").alias("c_id"), F.col("n_shingles").alias("c_n")), "c_id").distinct())
-    tested = durable(pairs_of(centres, members))
-    served = centres.select("key", F.col("c_id").alias("id"))
-    links = durable(confirmed(docs, tested, words, percent))
-    while True:
-        comps = durable(connected_components(links))
-        labelled = durable(members.join(comps, "id", "left").select(
-            "key", "id", "n_shingles", F.coalesce("component", "id").alias("component")))
-        counts = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-        largest = durable(counts.groupBy("key").agg(
-            F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
-            .where("parts > 1").select("key", F.col("most.component").alias("most")))
-        outside = labelled.join(largest, "key").where("component != most").join(served, ["key", "id"], "left_anti")
-        centres = durable(
-            outside.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(CENTRES)).alias("slot"))
-            .agg(F.min(F.struct("id", "n_shingles", "component")).alias("c"))
-            .select("key", F.col("c.id").alias("c_id"), F.col("c.n_shingles").alias("c_n"),
-                    F.col("c.component").alias("c_comp")))
-        if centres.isEmpty():
-            break
-        inside = labelled.join(largest.select("key"), "key", "left_semi")
-        met = inside.join(centres, "key").where("component != c_comp").where(near)
-        fresh = durable(
-            met.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
-            .join(tested, ["a", "b"], "left_anti"))
-        served = durable(served.union(centres.select("key", F.col("c_id").alias("id"))))
-        if not fresh.isEmpty():
-            tested = durable(tested.union(fresh))
-            links = durable(links.union(confirmed(docs, fresh, words, percent)))
-    component = durable(classes.join(
-        comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
-        .select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component")))
+    reps = full.join(classes.select(F.col("rep").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
+    reps = reps.select("id", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
+    buckets = durable(reps.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members = durable(reps.join(buckets, "key").distinct())
+    components = _star_links(members, docs, words, percent)
+    component = durable(classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component")))
     out = signed.select("id", "n_shingles", "k1", "k2").join(component, ["k1", "k2", "n_shingles"], "left")
     comp = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(

@@ -172,8 +172,10 @@ def candidates(docs: DataFrame, text="text", name="found") -> DataFrame:
             _spans(k, True, F.filter(f"s_{k}", lambda m: _valid(k, m["s"]))) for k in KINDS))).alias("sure"),
         F.concat(*(_spans(k, False, F.col(f"l_{k}")) for k in KINDS)).alias("maybe"))
     free = F.filter("maybe", lambda x: ~F.exists("sure", lambda y: (y["at"] < x["to"]) & (x["at"] < y["to"])))
-    return step.select("row.*", F.when(F.size("maybe") == 0, F.col("sure")).otherwise(
-        F.array_sort(F.concat("sure", free))).alias(name))
+    # Columns of `docs` come in only after the last use of the names above.
+    step = step.select("row", F.when(F.size("maybe") == 0, F.col("sure")).otherwise(
+        F.array_sort(F.concat("sure", free))).alias("spans"))
+    return step.select("row.*", F.col("spans").alias(name))
 
 
 def reliabilities(found: DataFrame, name="found", rounds=30):

@@ -321,8 +321,8 @@ def _scorer(shared, contexts, whole):
                 hashes = np.array(vocabulary.hashes, np.uint64).view(np.int64)[numbers[rare]]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(np.bincount(text, minlength=n)), pa.array(np.bincount(owner, minlength=n)),
-                    pa.array(np.bincount(owner, base[place[known]], n)),
-                    pa.array(np.bincount(owner, logs[place[known], before[known]], n)),
+                    pa.array(np.bincount(owner, base[place[known]], n).astype(np.float64)),
+                    pa.array(np.bincount(owner, logs[place[known], before[known]], n).astype(np.float64)),
                     pa.ListArray.from_arrays(offsets, pa.array(hashes)),
                     pa.ListArray.from_arrays(offsets, pa.array(before[rare].astype(np.int16))),
                 ], names=["row", "n_tokens", "n_known", "base", "score", "rare", "ctxs"])
