@@ -82,11 +82,13 @@ def clean_tokens(col, stop_words=STOP_WORDS, split_forms=None) -> Column:
     return kept_tokens(clean_words(col), stop_words, split_forms)
 
 
-def body_summary(col, limit=500) -> Column:
-    """markup deleted, three entities decoded, cut to `limit` characters plus an ellipsis."""
+def body_summary(col, limit=None) -> Column:
+    """markup deleted, three entities decoded; with a limit cut to so many characters plus an ellipsis."""
     text = F.regexp_replace(text_or_empty(col), TAG_PATTERN, "")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
+    if limit is None:
+        return text
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("..."))).otherwise(text)
 
 

@@ -1,9 +1,14 @@
 """Numbers, dates and addresses."""
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import Column, functions as F
 
 # Weekday names, Monday first.
 WEEKDAY_NAMES = ["Lundi", "Mardi", "Mercredi", "Jeudi", "Vendredi", "Samedi", "Dimanche"]
+# Seconds of the first and the last moment that a timestamp can show.
+EPOCH_RANGE = (-62_135_596_800, 253_402_300_799)
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
 
 def as_timestamp(value) -> Column:
@@ -12,8 +17,8 @@ def as_timestamp(value) -> Column:
 
 
 def epoch_timestamp(col) -> Column:
-    """F7; a missing value is the epoch."""
-    return F.timestamp_seconds(F.coalesce(col, F.lit(0)))
+    """F7; a missing value, or one outside the years 1 to 9999, is the epoch."""
+    return F.timestamp_seconds(F.when(col.between(*EPOCH_RANGE), col).otherwise(F.lit(0).cast("long")))
 
 
 def whole_number(col) -> Column:
@@ -34,8 +39,19 @@ def id_from_path(col) -> Column:
 
 
 def absolute_url(col, base) -> Column:
-    """F9 for absolute addresses and rooted paths."""
-    return F.when(col.rlike(r"^https?://"), col).otherwise(F.concat(F.lit(base), col))
+    """an address seen on page `base`: with a scheme, with a host, rooted, relative, or just a query or fragment."""
+    parts = urlsplit(base)
+    origin = f"{parts.scheme}://{parts.netloc}"
+    folder = parts.path.rpartition("/")[0] + "/"
+    plain = F.regexp_replace(col, r"^(\./)+", "")
+    return (
+        F.when(col.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), col)
+        .when(F.startswith(col, F.lit("//")), F.concat(F.lit(f"{parts.scheme}:"), col))
+        .when(F.startswith(col, F.lit("/")), F.concat(F.lit(origin), col))
+        .when(col == "", F.lit(base))
+        .when(F.startswith(col, F.lit("?")), F.concat(F.lit(origin + parts.path), col))
+        .when(F.startswith(col, F.lit("#")), F.concat(F.lit(base.partition("#")[0]), col))
+        .otherwise(F.concat(F.lit(origin + folder), plain)))
 
 
 def abbreviated_number(col) -> Column:
@@ -43,7 +59,7 @@ def abbreviated_number(col) -> Column:
     text = F.lower(col)
 
     def scaled(letter, factor):
-        return (decimal_number(F.replace(text, F.lit(letter), F.lit(""))) * factor).cast("long")
+        return (decimal_number(F.replace(text, F.lit(letter), F.lit(""))) * factor).try_cast("long")
 
     value = (
         F.when(F.contains(text, F.lit("k")), scaled("k", 1000))
@@ -53,9 +69,14 @@ def abbreviated_number(col) -> Column:
     return F.coalesce(value, F.lit(0).cast("long"))
 
 
+def iso_text(col) -> Column:
+    """ISO date or date and time text to timestamp; anything else, a time alone included, is null."""
+    return F.when(col.rlike(ISO_TIME), col.try_cast("timestamp"))
+
+
 def iso_timestamp(col, as_of) -> Column:
     """ISO text to timestamp; unreadable or missing text gives `as_of`."""
-    return F.coalesce(col.try_cast("timestamp"), as_timestamp(as_of))
+    return F.coalesce(iso_text(col), as_timestamp(as_of))
 
 
 def days_before(as_of, days) -> Column:

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import is_blank
-from ..functions.values import as_timestamp
+from ..functions.values import as_timestamp, iso_text
 from ..schema import QUESTION_SCHEMA, UNKNOWN_AUTHOR
 from .ranking import with_position
 
@@ -29,8 +29,8 @@ def with_defaults(df: DataFrame) -> DataFrame:
 
 
 def valid_dates(df: DataFrame, text_column, name="publication_date") -> DataFrame:
-    """Parse a text date; rows without a readable date go."""
-    return df.withColumn(name, F.col(text_column).try_cast("timestamp")).where(F.col(name).isNotNull())
+    """Parse an ISO text date; rows without a readable date go."""
+    return df.withColumn(name, iso_text(F.col(text_column))).where(F.col(name).isNotNull())
 
 
 def matching(df: DataFrame, condition=None) -> DataFrame:
@@ -58,7 +58,7 @@ def with_audit(df: DataFrame, as_of) -> DataFrame:
     return df.withColumns({"stored_at": as_timestamp(as_of), "last_updated": as_timestamp(as_of)})
 
 
-def newest_first(df: DataFrame, limit=100, skip=0) -> DataFrame:
+def newest_first(df: DataFrame, limit, skip=0) -> DataFrame:
     """Newest rows first, id ascending on ties, undated rows last; `limit=None` keeps all.
 
     With `limit=None` no order is applied: a total order over an unbounded
@@ -88,8 +88,8 @@ def not_in_ids(df: DataFrame, ids: DataFrame, key="question_id") -> DataFrame:
     return df.join(ids.select(key).distinct(), key, "left_anti")
 
 
-def with_tags(df: DataFrame, tags, match="any", limit=1000) -> DataFrame:
-    """Any or all of the tags, newest first."""
+def with_tags(df: DataFrame, tags, match="any", limit=None) -> DataFrame:
+    """Rows with any or all of the tags; with a limit the newest ones."""
     wanted = F.array(*[F.lit(t) for t in tags]).cast("array<string>")
     if match == "any":
         hit = F.arrays_overlap(F.col("tags"), wanted)
@@ -100,8 +100,8 @@ def with_tags(df: DataFrame, tags, match="any", limit=1000) -> DataFrame:
     return newest_first(df.where(hit), limit)
 
 
-def in_date_range(df: DataFrame, start, end, limit=1000) -> DataFrame:
-    """P5: both ends included."""
+def in_date_range(df: DataFrame, start, end, limit=None) -> DataFrame:
+    """P5: both ends included; with a limit the newest rows."""
     return newest_first(
         df.where(F.col("publication_date").between(as_timestamp(start), as_timestamp(end))), limit
     )
@@ -172,13 +172,14 @@ def analysis_scope(questions: DataFrame, ids: DataFrame = None):
     `ids=None` means everything. An empty id set means nothing to analyse:
     the frame is empty and the status is `skipped`.
     """
-    spark = questions.sparkSession
     if ids is None:
         scoped, mode = questions, "all"
     else:
         scoped, mode = by_ids(questions, ids), "new-only"
-    status = "analysed" if scoped.select("question_id").limit(1).count() else "skipped"
-    return scoped, spark.range(1).select(F.lit(mode).alias("scope"), F.lit(status).alias("status"))
+    some = F.count(F.lit(1)) > 0
+    status = scoped.agg(some.alias("some")).select(
+        F.lit(mode).alias("scope"), F.when(F.col("some"), "analysed").otherwise("skipped").alias("status"))
+    return scoped, status
 
 
 def ranked(df: DataFrame, n, *order) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.labels import KEYWORD_BANDS, band
 from ..functions.text import clean_words, combined_text, kept_tokens, once, text_or_empty
 from ..functions.word_lists import STOP_WORDS
-from ..session import durable, small_side
+from ..session import durable
 from .filters import concat_batches
 
 # Vocabulary size and rows reported per source.
@@ -33,22 +33,22 @@ def question_texts(questions: DataFrame, sources=("title", "summary", "combined"
 
 
 def tokenised(corpus: DataFrame, stop_words=STOP_WORDS, lemmas: DataFrame = None) -> DataFrame:
-    """(source, doc, tokens) of documents that keep a token.
+    """(source, doc, row, tokens) of documents that keep a token; `row` tells repeated ids apart.
 
     `lemmas` is an optional (token, lemma) table; unlisted tokens stay. Only
     then are tokens taken out of their row, joined and put back in order.
     """
-    docs = corpus.select("source", "doc", once(clean_words(F.col("text"))).alias("words"))
-    docs = docs.select("source", "doc", once(kept_tokens(F.col("words"), stop_words)).alias("tokens"))
+    docs = corpus.select("source", "doc", F.monotonically_increasing_id().alias("row"), once(clean_words(F.col("text"))).alias("words"))
+    docs = docs.select("source", "doc", "row", once(kept_tokens(F.col("words"), stop_words)).alias("tokens"))
     if lemmas is not None:
-        table = small_side(lemmas.select(F.col("token"), F.col("lemma")).dropDuplicates(["token"]))
+        table = lemmas.select(F.col("token"), F.col("lemma")).dropDuplicates(["token"])
         docs = (
-            docs.select("source", "doc", F.posexplode("tokens").alias("pos", "token"))
+            docs.select("source", "doc", "row", F.posexplode("tokens").alias("pos", "token"))
             .join(table, "token", "left")
-            .groupBy("source", "doc")
+            .groupBy("source", "doc", "row")
             .agg(F.array_sort(F.collect_list(
                 F.struct("pos", F.coalesce("lemma", "token").alias("token")))).alias("placed"))
-            .select("source", "doc", F.col("placed.token").alias("tokens"))
+            .select("source", "doc", "row", F.col("placed.token").alias("tokens"))
             .withColumn("tokens", F.filter("tokens", lambda t: F.length(t) > 1))
         )
     return docs.where(F.size("tokens") > 0)
@@ -107,17 +107,18 @@ def keyword_scores(corpus: DataFrame, max_features=MAX_FEATURES, stop_words=STOP
 
     `max_features` maps each source of the corpus to its vocabulary size.
     """
-    docs = tokenised(corpus, stop_words, lemmas)
+    # Tokens are kept: the text is cleaned once, although both passes need it.
+    docs = durable(tokenised(corpus, stop_words, lemmas))
     stats = durable(term_frequencies(docs))
     # At most `max_features` rows per source; kept because the plan reads it twice.
     vocabulary = F.broadcast(durable(_vocabulary(stats, max_features)))
     hits = (
-        docs.select("source", "doc", F.explode(_terms(F.col("tokens"))).alias("term"))
+        docs.select("source", "doc", "row", F.explode(_terms(F.col("tokens"))).alias("term"))
         .join(vocabulary, ["source", "term"])
-        .groupBy("source", "doc", "place")
+        .groupBy("source", "doc", "row", "place")
         .agg((F.count(F.lit(1)) * F.first("idf")).alias("weight"), F.first("n").alias("n"))
     )
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("source", "doc")))
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("source", "doc", "row")))
     scores = (
         hits.withColumn("share", F.col("weight") / norm)
         .groupBy("source", "place").agg((F.sum("share") / F.first("n")).alias("score"))
@@ -128,10 +129,11 @@ def keyword_scores(corpus: DataFrame, max_features=MAX_FEATURES, stop_words=STOP
 def top_keywords(scores: DataFrame, limits=None) -> DataFrame:
     """The best terms of each source with rank and significance."""
     limits = limits or TOP_KEYWORDS
+    # A source without a limit keeps its whole vocabulary.
     limit = F.create_map(*[F.lit(x) for item in limits.items() for x in item])
     place = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("score"), "term"))
     # The scores are at most a vocabulary per source.
     return (
-        scores.withColumn("rank", place.cast("long")).where(F.col("rank") <= limit[F.col("source")])
+        scores.withColumn("rank", place.cast("long")).where(F.coalesce(F.col("rank") <= F.try_element_at(limit, F.col("source")), F.lit(True)))
         .select("source", "rank", "term", "score", band(F.col("score"), KEYWORD_BANDS).alias("significance"))
     )

@@ -17,12 +17,12 @@ TYPE_NAMES = {
 
 def _field_rows(df, fields, kind):
     present = [f for f in fields if f in df.columns]
-    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast(kind).alias("value")) for f in present])
+    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).try_cast(kind).alias("value")) for f in present])
     return df.select(F.inline(rows)).where(F.col("value").isNotNull()) if present else None
 
 
 def numeric_profile(df: DataFrame, fields=NUMERIC_FIELDS) -> DataFrame:
-    """(field, min, max, avg) of the fields the table has."""
+    """(field, min, max, avg) of the fields the table has; values that are no numbers are left out."""
     rows = _field_rows(df, fields, "double")
     if rows is None:
         return df.sparkSession.createDataFrame([], "field string, min double, max double, avg double")
@@ -92,14 +92,17 @@ def schema_profile(df: DataFrame, column, skip=("_id",)) -> DataFrame:
     Objects are opened level by level in one plan; a look for an object that
     is still closed (it stops at the first) decides whether another level
     follows. The example is the smallest value as text, shortened when it is a
-    text.
+    text. Texts that are no JSON count under an empty path as `unreadable`.
     """
-    leaves = df.select(F.lit(None).cast("string").alias("field_path"), F.parse_json(F.col(column)).alias("value"))
+    parsed = df.select(F.col(column).alias("doc"), F.try_parse_json(F.col(column)).alias("value"))
+    leaves = parsed.where(F.col("value").isNotNull()).select(F.lit(None).cast("string").alias("field_path"), "value")
     while True:
         leaves = _opened(leaves, list(skip))
         if leaves.where(_is_object(F.col("value"))).isEmpty():
             break
-    return _typed(leaves).groupBy("field_path", "type").agg(
+    broken = parsed.where(F.col("value").isNull() & F.col("doc").isNotNull()).select(
+        F.lit("").alias("field_path"), F.lit("unreadable").alias("type"), shorten(F.col("doc")).alias("example"))
+    return _typed(leaves).unionByName(broken).groupBy("field_path", "type").agg(
         F.count(F.lit(1)).alias("count"), F.min("example").alias("example"))
 
 

@@ -4,8 +4,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import refresh_flags
 from ..functions.values import percent, rate
-from .filters import by_ids, first_rows, named_authors
+from .filters import by_ids, first_rows, named_authors, not_in_ids
 from .ranking import batch_numbers
+from .writes import update_only_authors, update_only_questions
 
 
 def bulk_lookup(ids: DataFrame, snapshot: DataFrame, batch_size=100) -> DataFrame:
@@ -53,6 +54,27 @@ def refresh_batches(
     )
 
 
+def refreshed(existing: DataFrame, authors: DataFrame, snapshot: DataFrame, as_of, batch_size=100,
+              dry_run=False, failed: DataFrame = None) -> dict:
+    """M8: the next questions and authors of a refresh run and its counts per batch.
+
+    Known questions and authors take the snapshot's values; a batch with a
+    failed lookup and a dry run leave both as they are. `snapshot` has the
+    question columns plus `seq`.
+    """
+    counts = refresh_batches(existing, authors, snapshot, batch_size, dry_run=dry_run, failed=failed)
+    if dry_run:
+        return {"questions": existing, "authors": authors, "batches": counts}
+    if failed is not None:
+        numbers = batch_numbers(existing.select("question_id"), batch_size)
+        lost = by_ids(numbers, failed).select("batch_no").distinct()
+        snapshot = not_in_ids(snapshot, numbers.join(lost, "batch_no", "left_semi"))
+    return {
+        "questions": update_only_questions(existing, snapshot, as_of),
+        "authors": update_only_authors(authors, snapshot, as_of), "batches": counts,
+    }
+
+
 def refresh_rollup(batches: DataFrame, duration=None) -> DataFrame:
     """Totals over all batches and the success share; with a duration also the rate."""
     names = ("processed", "updated", "errors", "skipped", "authors_updated")

@@ -11,7 +11,6 @@ from ..functions.labels import sentiment_class
 from ..functions.text import is_blank, once, sentiment_tokens
 from ..functions.values import percent
 from ..functions.word_lists import INTENSITY_WORDS, NEGATIONS, SENTIMENT_WORDS
-from ..session import small_side
 
 
 def default_lexicon(spark) -> DataFrame:
@@ -22,30 +21,31 @@ def default_lexicon(spark) -> DataFrame:
 
 
 def text_polarity(corpus: DataFrame, lexicon: DataFrame, negations=NEGATIONS) -> DataFrame:
-    """(source, doc, polarity) of the texts that hold a sentiment word.
+    """(source, doc, polarity) of every text that is not blank; 0 without a sentiment word.
 
     A scaling word right before a sentiment word multiplies it (kept inside
     [-1, 1]); a negation before either turns it round and halves it. Texts are
-    taken apart inside their row and only lexicon words leave it.
+    taken apart inside their row; only lexicon words leave it, and the places
+    past the last word, which keep a text without any.
     """
     negations = list(negations)
-    polar = small_side(lexicon.where(F.col("polarity").isNotNull()).select("word", "polarity"))
-    scaling = small_side(
-        lexicon.where(F.col("intensity").isNotNull()).select(F.col("word").alias("before"), "intensity"))
+    polar = lexicon.where(F.col("polarity").isNotNull()).select("word", "polarity")
+    scaling = lexicon.where(F.col("intensity").isNotNull()).select(F.col("word").alias("before"), "intensity")
     docs = corpus.where(~is_blank(F.col("text"))).select(
-        "source", "doc", once(sentiment_tokens(F.col("text"))).alias("tokens"))
+        "source", "doc", F.monotonically_increasing_id().alias("row"), once(sentiment_tokens(F.col("text"))).alias("tokens"))
     gap = F.lit(None).cast("string")
-    # The shifted arrays are longer; the rows past the last word have no word and join nothing.
+    # The shifted arrays are longer, so each text has rows without a word past its last one.
     placed = F.arrays_zip("tokens", F.concat(F.array(gap), "tokens").alias("b1"),
                           F.concat(F.array(gap, gap), "tokens").alias("b2"))
-    words = docs.select("source", "doc", F.inline(placed).alias("word", "before", "before2"))
-    found = words.join(polar, "word").join(scaling, "before", "left")
+    words = docs.select("source", "doc", "row", F.inline(placed).alias("word", "before", "before2"))
+    found = words.join(polar, "word", "left").where("word is null or polarity is not null").join(scaling, "before", "left")
     scaled = F.greatest(F.lit(-1.0), F.least(
         F.lit(1.0), F.col("polarity") * F.coalesce("intensity", F.lit(1.0))))
     negated = F.col("before").isin(negations) | (
         F.col("intensity").isNotNull() & F.col("before2").isin(negations))
     score = F.when(F.coalesce(negated, F.lit(False)), scaled * -0.5).otherwise(scaled)
-    return found.groupBy("source", "doc").agg(F.avg(score).alias("polarity"))
+    return found.groupBy("source", "doc", "row").agg(
+        F.coalesce(F.avg(F.when(F.col("polarity").isNotNull(), score)), F.lit(0.0)).alias("polarity")).drop("row")
 
 
 def sentiment_summary(corpus: DataFrame, lexicon: DataFrame, negations=NEGATIONS) -> DataFrame:
@@ -53,21 +53,13 @@ def sentiment_summary(corpus: DataFrame, lexicon: DataFrame, negations=NEGATIONS
     kind = sentiment_class(F.col("polarity"))
     scored = text_polarity(corpus, lexicon, negations).groupBy("source").agg(
         F.count_if(kind == "positive").alias("positive"), F.count_if(kind == "negative").alias("negative"),
-        F.sum("polarity").alias("polarity"), F.lit(0).cast("long").alias("total"),
-    )
+        F.count_if(kind == "neutral").alias("neutral"), F.avg("polarity").alias("average"), F.count("*").alias("total"))
+    # A source whose texts are all blank still has its row.
+    sources = corpus.select("source").distinct()
     zero = F.lit(0).cast("long")
-    totals = corpus.groupBy("source").agg(
-        zero.alias("positive"), zero.alias("negative"), F.lit(0.0).alias("polarity"),
-        F.count_if(~is_blank(F.col("text"))).alias("total"),
-    )
-    both = scored.unionByName(totals).groupBy("source").agg(*[
-        F.sum(c).alias(c) for c in ("positive", "negative", "polarity", "total")
-    ])
-    return both.select(
-        "source", "positive", "negative",
-        (F.col("total") - F.col("positive") - F.col("negative")).alias("neutral"),
-        F.coalesce(F.try_divide("polarity", "total"), F.lit(0.0)).alias("average"), "total",
-    )
+    return sources.join(scored, "source", "left").select("source", *(
+        F.coalesce(c, F.lit(0.0) if c == "average" else zero).alias(c)
+        for c in ("positive", "negative", "neutral", "average", "total")))
 
 
 def sentiment_share(summary: DataFrame) -> DataFrame:

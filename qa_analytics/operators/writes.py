@@ -15,9 +15,10 @@ MODES = ("upsert", "update", "append-only")
 
 
 def latest_per_key(batch: DataFrame, key="question_id", seq="seq") -> DataFrame:
-    """The last row of each key; partial aggregation absorbs a key that repeats a lot."""
+    """The last row of each key; partial aggregation absorbs a key that repeats a lot. No `seq` comes before any."""
     others = [c for c in batch.columns if c not in (key, seq)]
-    last = batch.groupBy(key).agg(F.max_by(F.struct(*others), seq).alias("_last"))
+    arrival = F.struct(F.col(seq).isNotNull(), F.col(seq))
+    last = batch.groupBy(key).agg(F.max_by(F.struct(*others), arrival).alias("_last"))
     return last.select(key, "_last.*")
 
 

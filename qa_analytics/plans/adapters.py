@@ -6,7 +6,6 @@ from ..functions.text import once
 from ..operators.filters import with_audit
 from ..operators.writes import upsert_authors
 from ..schema import AUTHOR_SCHEMA
-from ..session import spread
 
 ORDERS_AS_OF = "2001-08-01"
 EVENTS_AS_OF = "2024-02-05"
@@ -69,7 +68,7 @@ def q_orders(spark, sf_dir) -> DataFrame:
 def q_docs(spark, sf_dir) -> DataFrame:
     """Documents as questions: the first line is the title, the whole rest the summary."""
     title = F.substring_index("text", "\n", 1)
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("question_id"), title.alias("title"),
         F.substr("text", F.length(title) + 2).alias("summary"))
 
@@ -80,11 +79,15 @@ def existing(spark, sf_dir) -> DataFrame:
 
 
 def as_incoming(questions: DataFrame) -> DataFrame:
-    """A later crawl: newer votes, and every purchase comes twice."""
-    recent = questions.where(F.col("publication_date") >= F.lit(INCOMING_FROM).cast("timestamp"))
+    """A later crawl of the recent questions."""
+    return as_versions(questions.where(F.col("publication_date") >= F.lit(INCOMING_FROM).cast("timestamp")))
+
+
+def as_versions(questions: DataFrame) -> DataFrame:
+    """Newer votes, and every purchase comes twice."""
     versions = F.when(
         F.get("tags", F.lit(0)) == "purchase", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = recent.withColumn("_version", F.explode(versions))
+    rows = questions.withColumn("_version", F.explode(versions))
     return rows.withColumns({
         "vote_count": F.col("vote_count") + F.when(F.col("_version") == 0, 1).otherwise(100),
         "seq": F.col("question_id") * 2 + F.col("_version"),
@@ -101,6 +104,22 @@ def authors0(spark, sf_dir) -> DataFrame:
     return upsert_authors(empty, existing(spark, sf_dir).withColumn("seq", F.col("question_id")), STORED_AT)
 
 
+def all_stored(spark, sf_dir) -> DataFrame:
+    """Every event as a stored question."""
+    return with_audit(q_events(spark, sf_dir), STORED_AT)
+
+
+def all_authors(spark, sf_dir) -> DataFrame:
+    """Authors of every event."""
+    empty = spark.createDataFrame([], AUTHOR_SCHEMA)
+    return upsert_authors(empty, all_stored(spark, sf_dir).withColumn("seq", F.col("question_id")), STORED_AT)
+
+
+def all_versions(spark, sf_dir) -> DataFrame:
+    """Every event as a crawled batch row; every purchase comes twice."""
+    return as_versions(q_events(spark, sf_dir))
+
+
 def payload_pages(spark, sf_dir, items=100) -> DataFrame:
     """Events as JSON response texts of `items` questions each."""
     q = q_events(spark, sf_dir)

@@ -24,12 +24,10 @@ def analyse(questions: DataFrame, authors: DataFrame, as_of, ids: DataFrame = No
             stop_words=keywords.STOP_WORDS, lemmas: DataFrame = None) -> dict:
     """All result tables, for every question or for the listed ids only.
 
-    Nothing to analyse gives just the status table. The tables are
+    Nothing to analyse gives the same tables, empty or zero. The tables are
     independent plans; each reads only the columns it needs.
     """
     scoped, status = analysis_scope(questions, ids)
-    if status.first()["status"] == "skipped":
-        return {"status": status}
     people = authors if ids is None else authors_of_questions(questions, authors, ids)
     corpus = keywords.question_texts(scoped)
     trends = tags.tag_trends(scoped, as_of)

@@ -7,13 +7,16 @@ from ..functions.text import clean_text, clean_tokens, combined_text
 from ..operators import (
     filters, keywords, logs as log_ops, profile, quality, refresh, report, sentiment, stats, tags, temporal, writes,
 )
-from ..session import spread, staging_path
+from ..session import staging_path
 from ..sources import listings, logs as log_files, payloads, tables
 from ..streaming import ingest, windows
-from . import adapters as a
+from . import adapters as a, analysis
 
 QUERIES = {}
 
+# Tables of an analysis that have rows whatever the input holds.
+ROLLED_UP = ("status", "date_range", "activity_peaks", "content_quality", "length_stats", "counter_stats", "tag_summary")
+
 ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
               "pages benchmark labels conversations").split()
 
@@ -133,7 +136,7 @@ def answer_stats(spark, d):
 
 @query
 def store_stats(spark, d):
-    return stats.store_stats(a.q_events(spark, d), a.authors0(spark, d))
+    return stats.store_stats(a.q_events(spark, d), a.all_authors(spark, d))
 
 
 @query
@@ -157,17 +160,17 @@ def phase_share(spark, d):
 
 @query
 def top_authors(spark, d):
-    return filters.top_authors(a.authors0(spark, d))
+    return filters.top_authors(a.all_authors(spark, d))
 
 
 @query
 def reputation_stats(spark, d):
-    return stats.reputation_stats(a.authors0(spark, d))
+    return stats.reputation_stats(a.all_authors(spark, d))
 
 
 @query
 def activity_stats(spark, d):
-    return stats.activity_stats(a.authors0(spark, d))
+    return stats.activity_stats(a.all_authors(spark, d))
 
 
 @query
@@ -183,7 +186,7 @@ def authors_of_questions(spark, d):
 
 @query
 def author_activity_band(spark, d):
-    return a.authors0(spark, d).select(
+    return a.all_authors(spark, d).select(
         "author_name", "question_count", activity_band(F.col("question_count")).alias("activity"))
 
 
@@ -399,7 +402,7 @@ def append_only_questions(spark, d):
 
 @query
 def latest_versions(spark, d):
-    return writes.latest_per_key(a.incoming(spark, d)).select("question_id", "vote_count", "tags")
+    return writes.latest_per_key(a.all_versions(spark, d)).select("question_id", "vote_count", "tags")
 
 
 @query
@@ -450,6 +453,25 @@ def refresh_flags(spark, d):
     return refresh.refresh_report(refresh.refresh_rollup(_refresh(spark, d), duration=29.2))
 
 
+def _refreshed(spark, d, **options):
+    return refresh.refreshed(a.existing(spark, d), a.authors0(spark, d), a.incoming(spark, d), a.WRITTEN_AT, **options)
+
+
+@query
+def refresh_questions(spark, d):
+    return _refreshed(spark, d)["questions"]
+
+
+@query
+def refresh_authors(spark, d):
+    return _refreshed(spark, d)["authors"]
+
+
+@query
+def refresh_dry_questions(spark, d):
+    return _refreshed(spark, d, dry_run=True)["questions"]
+
+
 @query
 def bulk_lookup(spark, d):
     found = refresh.bulk_lookup(a.existing(spark, d), writes.latest_per_key(a.incoming(spark, d)))
@@ -463,6 +485,14 @@ def payload_to_questions(spark, d):
     return payloads.payload_questions(payloads.parse_payloads(a.payload_pages(spark, d), "payload"))
 
 
+@query
+def payload_unreadable(spark, d):
+    """Every tenth page is cut off in the middle."""
+    pages = a.payload_pages(spark, d)
+    cut = F.when(F.col("page") % 10 == 0, F.expr("left(payload, 50)")).otherwise(F.col("payload"))
+    return payloads.unreadable_payloads(pages.select(cut.alias("payload")), "payload")
+
+
 @query
 def payload_newest(spark, d):
     capped = payloads.payload_questions(payloads.parse_payloads(a.payload_pages(spark, d), "payload"), 500)
@@ -474,6 +504,14 @@ def listing_extract(spark, d):
     return listings.listing_questions(a.listing_pages(spark, d), "https://example.com", a.EVENTS_AS_OF)
 
 
+@query
+def listing_unreadable(spark, d):
+    """Every tenth page holds a broken declaration that no parser reads."""
+    pages = a.listing_pages(spark, d)
+    broken = F.when(F.col("page_id") % 10 == 0, F.concat(F.lit("<![ bad"), "html")).otherwise(F.col("html"))
+    return listings.unreadable_pages(pages.select("page_id", broken.alias("html")))
+
+
 @query
 def page_links(spark, d):
     return listings.page_links(a.table(spark, d, "pages"))
@@ -487,8 +525,8 @@ def page_titles(spark, d):
 @query
 def page_body_summary(spark, d):
     return a.table(spark, d, "pages").select(
-        "page_id", payloads.body_summary(F.col("html")).alias("summary"),
-        F.length(payloads.body_summary(F.col("html"), 1 << 30)).alias("full_length"))
+        "page_id", payloads.body_summary(F.col("html"), 500).alias("summary"),
+        F.length(payloads.body_summary(F.col("html"))).alias("full_length"))
 
 
 # ---- profile ---------------------------------------------------------------
@@ -500,7 +538,7 @@ def numeric_profile(spark, d):
 
 @query
 def date_profile(spark, d):
-    return profile.date_profile(a.existing(spark, d), ["created_at", "publication_date", "stored_at"])
+    return profile.date_profile(a.all_stored(spark, d), ["created_at", "publication_date", "stored_at"])
 
 
 @query
@@ -513,7 +551,7 @@ def _documents_as_json(spark, d):
     k = F.get_json_object("props", "$.k").cast("long")
     mixed = F.when(k < 50, k.cast("string")).otherwise(F.concat(F.lit('"'), k, F.lit('"')))
     listed = F.when(k < 30, "[]").when(k < 60, F.concat(F.lit("["), k, F.lit("]"))).otherwise('["a", 1]')
-    events = spread(a.table(spark, d, "events").drop("ts", "value"), "event_id")
+    events = a.table(spark, d, "events").drop("ts", "value")
     return events.select(F.concat(
         F.lit('{"_id": 1, "event_id": '), "event_id", F.lit(', "who": {"user": '), "user_id",
         F.lit(', "props": '), "props", F.lit('}, "mixed": '), mixed, F.lit(', "list": '), listed,
@@ -526,6 +564,15 @@ def schema_profile(spark, d):
     return profile.schema_profile(_documents_as_json(spark, d), "doc").select("field_path", "type", "count")
 
 
+@query
+def schema_profile_unreadable(spark, d):
+    """Every tenth document is cut off."""
+    docs = _documents_as_json(spark, d).withColumn("n", F.get_json_object("doc", "$.event_id").cast("long"))
+    cut = F.when(F.col("n") % 10 == 0, F.expr("left(doc, 20)")).otherwise(F.col("doc"))
+    found = profile.schema_profile(docs.select(cut.alias("doc")), "doc")
+    return found.where("type = 'unreadable'").select("field_path", "type", "count")
+
+
 @query
 def schema_summary(spark, d):
     return profile.schema_summary(profile.schema_profile(_documents_as_json(spark, d), "doc")).select(
@@ -538,6 +585,16 @@ def random_sample(spark, d):
     return sample.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("question_id").alias("ids"))
 
 
+@query
+def sample_members(spark, d):
+    """Sampled ids that are in the table, and those that the same seed draws again."""
+    ids = a.q_events(spark, d).select("question_id")
+    first, again = (profile.random_sample(ids, 100, seed=11) for _ in range(2))
+    members = filters.by_ids(ids, first).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("members").alias("check"), "rows")
+    same = filters.by_ids(first, again).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("drawn again").alias("check"), "rows")
+    return members.unionByName(same)
+
+
 @query
 def table_inventory(spark, d):
     return profile.table_inventory({name: a.table(spark, d, name) for name in ALL_TABLES})
@@ -545,7 +602,7 @@ def table_inventory(spark, d):
 
 @query
 def duplicate_keys(spark, d):
-    return profile.duplicate_keys(a.incoming(spark, d), "question_id")
+    return profile.duplicate_keys(a.all_versions(spark, d), "question_id")
 
 
 # ---- logs ------------------------------------------------------------------
@@ -581,21 +638,47 @@ def slowest_tests(spark, d):
 def analysis_rows(spark, d):
     rows = tables.analysis_rows(
         {"top_tags": tags.tag_frequency(a.q_orders(spark, d))}, "comprehensive_trend_analysis", a.ORDERS_AS_OF,
-        a.q_orders(spark, d).count(), 0.0)
-    return rows.select(
-        "analysis_type", "analysis_date", "table", "results", "result_rows", "metadata.total_questions_analyzed")
+        a.q_orders(spark, d).agg(F.count(F.lit(1))).scalar(), 0.0)
+    return rows.select("analysis_type", "analysis_date", "table", "result", "metadata.total_questions_analyzed")
+
+
+@query
+def analysis_rows_nan(spark, d):
+    """A result table with values that are not numbers."""
+    share = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(0.5)
+    result = a.table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(
+        "event_type", "n", share.alias("share"))
+    return tables.result_rows(result, "shares")
+
+
+@query
+def exported_rows(spark, d):
+    """Saved result tables, read back from their JSON files."""
+    folder = staging_path(spark, "results")
+    tables.save_results({"tags": tags.tag_frequency(a.q_events(spark, d), limit=None)}, folder, "run")
+    return spark.read.schema("tag string, count long").json(f"{folder}/analysis_results_run/tags")
+
+
+@query
+def empty_analysis(spark, d):
+    """The result tables of an analysis without questions: the same names, nothing in them but the roll-ups' zeros."""
+    none = a.q_events(spark, d).where("question_id < 0")
+    results = analysis.analyse(none, a.all_authors(spark, d).limit(0), a.EVENTS_AS_OF)
+    return filters.concat_batches([
+        t.select(F.lit(n).alias("table")).agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows"))
+        for n, t in results.items() if n not in ROLLED_UP])
 
 
 @query
 def export_newest(spark, d):
-    q, people = a.q_events(spark, d), a.authors0(spark, d)
+    q, people = a.q_events(spark, d), a.all_authors(spark, d)
     return tables.export_tables(q, people, stats.store_stats(q, people), a.EVENTS_AS_OF)["questions"].select(
         "question_id", "title", "publication_date", "vote_count")
 
 
 @query
 def export_authors(spark, d):
-    q, people = a.q_events(spark, d), a.authors0(spark, d)
+    q, people = a.q_events(spark, d), a.all_authors(spark, d)
     return tables.export_tables(q, people, stats.store_stats(q, people), a.EVENTS_AS_OF)["authors"]
 
 
@@ -611,7 +694,7 @@ def report_common_tags(spark, d):
 
 @query
 def report_top_authors(spark, d):
-    return report.author_table(a.authors0(spark, d))
+    return report.author_table(a.all_authors(spark, d))
 
 
 @query

@@ -51,7 +51,16 @@ authors0 AS (
   SELECT author_name, arg_max(author_reputation, question_id) AS reputation,
     arg_max(author_profile_url, question_id) AS profile_url, TIMESTAMP '2024-01-21' AS last_seen,
     count(*) AS question_count, TIMESTAMP '2024-01-21' AS first_seen
-  FROM existing GROUP BY author_name)"""
+  FROM existing GROUP BY author_name),
+everyone AS (
+  SELECT author_name, arg_max(author_reputation, question_id) AS reputation,
+    arg_max(author_profile_url, question_id) AS profile_url, TIMESTAMP '2024-01-21' AS last_seen,
+    count(*) AS question_count, TIMESTAMP '2024-01-21' AS first_seen
+  FROM q_events GROUP BY author_name),
+versions AS (
+  SELECT * REPLACE (vote_count + 1 AS vote_count), question_id * 2 AS seq FROM q_events
+  UNION ALL
+  SELECT * REPLACE (vote_count + 100 AS vote_count), question_id * 2 + 1 AS seq FROM q_events WHERE tags[1] = 'purchase')"""
 
 _QUESTION_OUT = """question_id, title, url, summary, array_to_string(tags, ',') AS tags, author_name, author_reputation,
   author_profile_url, publication_date, view_count, vote_count, answer_count, stored_at, last_updated"""
@@ -368,7 +377,7 @@ SELECT strftime(min(publication_date), '%Y-%m-%dT%H:%M:%S.%f') AS start,
     "answer_stats": f"""WITH {_EVENTS} SELECT {_summary('answer_count', 'mean', 'median', 'max')[0]},
   {_summary('answer_count')[1]} AS unanswered_rate FROM q_events""",
     "store_stats": f"""WITH {_STORE}
-SELECT count(*) AS questions, (SELECT count(*) FROM authors0) AS authors, CAST(0 AS BIGINT) AS analyses,
+SELECT count(*) AS questions, (SELECT count(*) FROM everyone) AS authors, CAST(0 AS BIGINT) AS analyses,
   min(publication_date) AS first_date, max(publication_date) AS last_date FROM q_events""",
     "batch_distincts": f"""WITH {_EVENTS}
 SELECT count(DISTINCT author_name) FILTER (author_name <> '') AS unique_authors,
@@ -382,20 +391,20 @@ SELECT questions_attempted, questions_stored, authors_new, authors_updated,
     "phase_share": """SELECT event_type AS phase, round(sum(value), 6) AS seconds,
   round(sum(value) / (SELECT sum(value) FROM events) * 100, 6) AS share FROM events GROUP BY event_type""",
     # authors
-    "top_authors": f"WITH {_STORE} SELECT * FROM authors0 ORDER BY question_count DESC, author_name LIMIT 10",
-    "reputation_stats": f"WITH {_STORE} SELECT {_summary('reputation', 'mean', 'median', 'max', 'min')[0]} FROM authors0",
+    "top_authors": f"WITH {_STORE} SELECT * FROM everyone ORDER BY question_count DESC, author_name LIMIT 10",
+    "reputation_stats": f"WITH {_STORE} SELECT {_summary('reputation', 'mean', 'median', 'max', 'min')[0]} FROM everyone",
     "activity_stats": f"""WITH {_STORE}
 SELECT round(avg(question_count), 6) AS mean_questions_per_author,
   round(median(question_count), 6) AS median_questions_per_author,
-  (SELECT author_name FROM authors0 ORDER BY question_count DESC, author_name LIMIT 1) AS most_active_author,
-  max(question_count) AS most_active_count, count(*) AS total_authors FROM authors0""",
+  (SELECT author_name FROM everyone ORDER BY question_count DESC, author_name LIMIT 1) AS most_active_author,
+  max(question_count) AS most_active_count, count(*) AS total_authors FROM everyone""",
     "distinct_authors": f"""WITH {_EVENTS}
 SELECT DISTINCT author_name FROM q_events WHERE trim(author_name) <> '' AND author_name <> 'Unknown'""",
     "authors_of_questions": f"""WITH {_STORE}
 SELECT * FROM authors0 WHERE author_name IN (SELECT author_name FROM unseen)""",
     "author_activity_band": f"""WITH {_STORE}
 SELECT author_name, question_count, CASE WHEN question_count >= 10 THEN '🔥 Très actif'
-  WHEN question_count >= 5 THEN '⚡ Actif' ELSE '📝 Contributeur' END AS activity FROM authors0""",
+  WHEN question_count >= 5 THEN '⚡ Actif' ELSE '📝 Contributeur' END AS activity FROM everyone""",
     # retrieval
     "questions_page": f"""WITH {_EVENTS}
 SELECT question_id, publication_date, array_to_string(tags, ',') AS tags FROM q_events
@@ -406,14 +415,14 @@ SELECT question_id, title, vote_count, answer_count FROM q_events WHERE vote_cou
 SELECT question_id, title, publication_date FROM q_events WHERE question_id IN (SELECT question_id FROM incoming)""",
     "questions_any_tag": f"""WITH {_EVENTS}
 SELECT question_id, array_to_string(tags, ',') AS tags, publication_date FROM q_events
-WHERE list_has_any(tags, ['error', 'k7']) ORDER BY publication_date DESC, question_id LIMIT 1000""",
+WHERE list_has_any(tags, ['error', 'k7']) """,
     "questions_all_tags": f"""WITH {_EVENTS}
 SELECT question_id, array_to_string(tags, ',') AS tags, publication_date FROM q_events
-WHERE list_has_all(tags, ['error', 'k7']) ORDER BY publication_date DESC, question_id LIMIT 1000""",
+WHERE list_has_all(tags, ['error', 'k7']) """,
     "questions_date_range": f"""WITH {_ORDERS}
 SELECT question_id, publication_date, view_count FROM q_orders
 WHERE publication_date BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-03-01'
-ORDER BY publication_date DESC, question_id LIMIT 1000""",
+""",
     "question_ids": "SELECT event_id AS question_id FROM events",
     "first_last_question": f"""WITH {_EVENTS},
 f AS (SELECT question_id, publication_date FROM q_events ORDER BY publication_date, question_id LIMIT 1),
@@ -449,7 +458,8 @@ FROM corpus""",
     "keywords_combined": _keywords(["combined"], {"combined": 30}),
     "report_keywords": _keywords(["title", "summary", "combined"], {"title": 15, "summary": 15, "combined": 20}),
     "text_polarity": _POLARITY + """SELECT source, doc, round(polarity, 6) AS polarity,
-  CASE WHEN polarity > 0.1 THEN 'positive' WHEN polarity < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment FROM polar""",
+  CASE WHEN polarity > 0.1 THEN 'positive' WHEN polarity < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment
+FROM (SELECT source, doc, coalesce(polarity, 0.0) AS polarity FROM texts LEFT JOIN polar USING (source, doc))""",
     "sentiment_summary": _POLARITY + "SELECT * FROM summary",
     "sentiment_share": _POLARITY + ",\nshares AS (" + " UNION ALL ".join(
         f"SELECT source, '{c}' AS sentiment, {c} AS texts, round(CAST({c} AS DOUBLE) / total * 100, 6) AS share "
@@ -474,7 +484,7 @@ SELECT round(coalesce(avg(length(title)) FILTER (title <> ''), 0.0), 6) AS avera
 SELECT {_QUESTION_OUT} FROM existing WHERE question_id NOT IN (SELECT question_id FROM fresh)
 UNION ALL SELECT {_QUESTION_OUT} FROM fresh WHERE question_id IN (SELECT question_id FROM existing)""",
     "append_only_questions": _APPENDED,
-    "latest_versions": f"WITH {_STORE} SELECT question_id, vote_count, array_to_string(tags, ',') AS tags FROM fresh",
+    "latest_versions": f"WITH {_STORE} SELECT question_id, max(vote_count) AS vote_count, any_value(array_to_string(tags, ',')) AS tags FROM versions GROUP BY question_id",
     "upsert_authors": _authors("incoming", "FULL OUTER"),
     "update_only_authors": _authors("incoming", "LEFT"),
     "write_metrics": f"WITH {_METRICS} SELECT * FROM metrics",
@@ -497,7 +507,7 @@ SELECT question_id, CAST(batch_no AS BIGINT) AS batch_no, vote_count FROM batche
     # ingest
     "payload_to_questions": f"""WITH {_EVENTS}, shown AS (
   SELECT * REPLACE (date_trunc('second', publication_date) AS publication_date,
-    {_CUT.format(_PAYLOAD_BODY)} AS summary) FROM q_events)
+    {_PAYLOAD_BODY} AS summary) FROM q_events)
 SELECT {_PLAIN_OUT} FROM shown""",
     "payload_newest": f"""WITH {_EVENTS}
 SELECT question_id, date_trunc('second', publication_date) AS publication_date, vote_count FROM q_events
@@ -521,7 +531,7 @@ FROM (SELECT page_id, {_BODY.format('html')} AS body FROM pages)""",
         f"round(avg({c}), 6) AS avg FROM q_events" for c in ("view_count", "answer_count", "question_id")),
     "date_profile": f"WITH {_STORE} " + " UNION ALL ".join(
         f"SELECT '{c}' AS field, strftime(min({c}), '%Y-%m-%d %H:%M') AS oldest, strftime(max({c}), '%Y-%m-%d %H:%M') AS newest "
-        "FROM existing" for c in ("publication_date", "stored_at")),
+        "FROM (SELECT *, TIMESTAMP '2024-01-21' AS stored_at FROM q_events)" for c in ("publication_date", "stored_at")),
     "size_profile": """SELECT count(*) AS rows, round(CAST(sum(bytes) AS DOUBLE) / (1024 * 1024), 6) AS total_mb,
   round(avg(bytes), 6) AS avg_bytes FROM (SELECT strlen('{' || concat_ws(',', '"doc_id":' || doc_id,
   '"quality":' || quality, '"toxic":' || toxic) || '}') AS bytes FROM labels)""",
@@ -533,7 +543,7 @@ FROM fields GROUP BY field_path""",
     "random_sample": "SELECT least(100, count(*)) AS rows, least(100, count(*)) AS ids FROM events",
     "table_inventory": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ALL_TABLES),
-    "duplicate_keys": f"WITH {_STORE} SELECT question_id, count(*) AS count FROM incoming GROUP BY question_id HAVING count(*) > 1",
+    "duplicate_keys": f"WITH {_STORE} SELECT question_id, count(*) AS count FROM versions GROUP BY question_id HAVING count(*) > 1",
     # logs
     "log_outcomes": f"WITH {_OUTCOMES} SELECT * FROM outcomes",
     "log_rollup": _log_rollup("passed + failed + error + skipped"),
@@ -544,12 +554,28 @@ SELECT * FROM outcomes WHERE outcome IN ('passed', 'failed', 'error') ORDER BY d
     "analysis_rows": f"""WITH {_ORDERS},
 top AS (SELECT tag, count(*) AS n FROM (SELECT unnest(tags) AS tag FROM q_orders) GROUP BY tag ORDER BY n DESC, tag LIMIT 20)
 SELECT 'comprehensive_trend_analysis' AS analysis_type, TIMESTAMP '2001-08-01' AS analysis_date, 'top_tags' AS table,
-  '[' || string_agg('{{"tag":"' || tag || '","count":' || n || '}}', ',' ORDER BY tag) || ']' AS results,
-  count(*) AS result_rows, (SELECT count(*) FROM q_orders) AS total_questions_analyzed FROM top""",
+  '{{"tag":"' || tag || '","count":' || n || '}}' AS result, (SELECT count(*) FROM q_orders) AS total_questions_analyzed FROM top""",
+    "analysis_rows_nan": """SELECT 'shares' AS table, '{"event_type":"' || event_type || '","n":' || count(*)
+  || CASE WHEN event_type = 'error' THEN '' ELSE ',"share":0.5' END || '}' AS result FROM events GROUP BY event_type""",
+    "exported_rows": f"""WITH {_EVENTS}
+SELECT tag, count(*) AS count FROM (SELECT unnest(tags) AS tag FROM q_events) GROUP BY tag""",
+    "empty_analysis": "SELECT name AS table, CAST(0 AS BIGINT) AS rows FROM (SELECT unnest(["
+    "'trending_tags', 'top_tags', 'hourly_patterns', 'weekday_patterns', 'monthly_patterns', 'keywords', 'sentiment', "
+    "'top_authors', 'reputation_stats', 'activity_stats', 'most_common_tags']) AS name) WHERE (SELECT count(*) FROM events) >= 0",
+    "sample_members": "SELECT name AS check, (SELECT least(100, count(*)) FROM events) AS rows "
+    "FROM (SELECT unnest(['members', 'drawn again']) AS name)",
+    "payload_unreadable": """WITH pages AS (SELECT DISTINCT event_id // 100 AS page FROM events)
+SELECT count(*) AS pages, count(*) FILTER (page % 10 = 0) AS unreadable FROM pages""",
+    "listing_unreadable": "SELECT DISTINCT event_id // 50 AS page_id FROM events WHERE (event_id // 50) % 10 = 0",
+    "schema_profile_unreadable": "SELECT '' AS field_path, 'unreadable' AS type, count(*) AS count FROM events WHERE event_id % 10 = 0",
+    "refresh_questions": f"""WITH {_STORE}
+SELECT {_QUESTION_OUT} FROM existing WHERE question_id NOT IN (SELECT question_id FROM fresh)
+UNION ALL SELECT {_QUESTION_OUT} FROM fresh WHERE question_id IN (SELECT question_id FROM existing)""",
+    "refresh_authors": _authors("incoming", "LEFT"),
+    "refresh_dry_questions": f"WITH {_STORE} SELECT {_QUESTION_OUT} FROM existing",
     "export_newest": f"""WITH {_EVENTS}
-SELECT question_id, title, publication_date, vote_count FROM q_events
-ORDER BY publication_date DESC NULLS LAST, question_id LIMIT 10000""",
-    "export_authors": f"WITH {_STORE} SELECT * FROM authors0 ORDER BY question_count DESC, author_name LIMIT 1000",
+SELECT question_id, title, publication_date, vote_count FROM q_events""",
+    "export_authors": f"WITH {_STORE} SELECT * FROM everyone",
     "report_trending_tags": f"""WITH {_ORDER_TRENDS}
 SELECT row_number() OVER (ORDER BY growth_rate DESC, last_month DESC, tag) AS rank, tag, growth_rate, total_questions,
   last_week, last_month FROM trends ORDER BY rank LIMIT 15""",
@@ -559,7 +585,7 @@ SELECT row_number() OVER (ORDER BY count DESC, tag) AS rank, tag, count FROM cou
     "report_top_authors": f"""WITH {_STORE}
 SELECT row_number() OVER (ORDER BY question_count DESC, author_name) AS rank, author_name, reputation, question_count,
   CASE WHEN question_count >= 10 THEN '🔥 Très actif' WHEN question_count >= 5 THEN '⚡ Actif'
-    ELSE '📝 Contributeur' END AS activity FROM authors0 ORDER BY rank LIMIT 10""",
+    ELSE '📝 Contributeur' END AS activity FROM everyone ORDER BY rank LIMIT 10""",
     "report_counters": f"WITH {_EVENTS} " + " UNION ALL ".join(
         f"SELECT '{c}' AS metric, {_summary(c, 'mean', 'median', 'min', 'max', 'std')[0]}, "
         f"{_summary(c)[1]} AS zero_rate FROM q_events" for c in ("vote_count", "view_count", "answer_count")),

@@ -1,8 +1,8 @@
-"""Session set-up, shared-folder materialisation and size-checked broadcasts."""
+"""Session set-up and tables in the shared folder."""
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app_name="qa_analytics", master=None, **conf):
@@ -54,27 +54,3 @@ def durable(df: DataFrame) -> DataFrame:
     path = staging_path(spark, "step")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame, *keys) -> DataFrame:
-    """Use every core on a scan with too few pieces (one file, one row group).
-
-    For a plain table scan before work that is heavy per row. A scan that
-    already has a piece per core, as any large table does, is not shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(2 * cores, *keys)
-
-
-# Largest side tables that are sent to every executor.
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, max_rows=BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side table whose row count is checked first.
-
-    A larger table comes back without a hint and is joined by a shuffle
-    (adaptive execution splits skewed partitions).
-    """
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1))).first()[0]
-    return F.broadcast(df) if seen <= max_rows else df

@@ -5,6 +5,7 @@ into raw strings. All typing is done by Column expressions afterwards.
 """
 
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -30,13 +31,15 @@ AUTHOR_BOX = "s-user-card--link"
 USER_CARD = "s-user-card"
 TIME = "relativetime"
 
+CARDS_AT_ONCE = 512
+
 VOID_TAGS = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source track wbr".split())
 
 RAW_CARD = (
     "page_id long, title string, href string, summary string, tags array<string>, "
     "stats array<struct<title:string,number:string>>, author_name string, author_href string, "
-    "reputation string, asked_at string"
+    "reputation string, asked_at string, unreadable boolean"
 )
 
 
@@ -83,20 +86,24 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = _Element("", {})
         self.open = [self.root]
+        self.waiting = Counter()
 
     def handle_starttag(self, tag, attrs):
         element = _Element(tag, dict(attrs))
         self.open[-1].children.append(element)
         if tag not in VOID_TAGS:
             self.open.append(element)
+            self.waiting[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.open[-1].children.append(_Element(tag, dict(attrs)))
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
+        # An end tag without an open element costs nothing.
+        while self.waiting[tag]:
+            last = self.open.pop().tag
+            self.waiting[last] -= 1
+            if last == tag:
                 return
 
     def handle_data(self, data):
@@ -144,14 +151,20 @@ def _card_fields(card):
 
 def _read_cards(batches):
     columns = [c.split()[0] for c in RAW_CARD.split(", ")]
+    rows = []
     for pages in batches:
-        rows = []
         for page_id, html in zip(pages["page_id"], pages["html"]):
-            for card in _tree(html).all("div", CARD):
-                fields = _card_fields(card)
-                if fields:
-                    rows.append({"page_id": page_id, **fields})
-        yield pd.DataFrame(rows, columns=columns)
+            try:
+                cards = [_card_fields(card) for card in _tree(html).all("div", CARD)]
+            except (AssertionError, ValueError):
+                # The standard parser gives up on some broken declarations: the page is marked, the others go on.
+                rows.append({**dict.fromkeys(columns), "page_id": page_id, "tags": [], "stats": [], "unreadable": True})
+                continue
+            rows.extend({"page_id": page_id, "unreadable": False, **fields} for fields in cards if fields)
+            if len(rows) >= CARDS_AT_ONCE:
+                yield pd.DataFrame(rows, columns=columns)
+                rows = []
+    yield pd.DataFrame(rows, columns=columns)
 
 
 def raw_cards(pages: DataFrame) -> DataFrame:
@@ -160,6 +173,11 @@ def raw_cards(pages: DataFrame) -> DataFrame:
     return with_cards.mapInPandas(_read_cards, RAW_CARD)
 
 
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """Ids of the pages with cards that the parser gave up on."""
+    return raw_cards(pages).where("unreadable").select("page_id")
+
+
 def _counter(kinds, not_kinds=()):
     """the last readable number among the stats items of a kind; 0 without one."""
 
@@ -182,7 +200,7 @@ def listing_questions(pages: DataFrame, base_url, as_of) -> DataFrame:
 
     `as_of` replaces a missing or unreadable date.
     """
-    cards = raw_cards(pages)
+    cards = raw_cards(pages).where("not unreadable")
     typed = cards.select(
         id_from_path(F.col("href")).alias("question_id"), "title",
         absolute_url(F.col("href"), base_url).alias("url"),

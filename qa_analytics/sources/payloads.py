@@ -1,6 +1,6 @@
 """JSON payload ingest."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.text import body_summary
 from ..functions.values import epoch_timestamp
@@ -18,8 +18,20 @@ def parse_payloads(df: DataFrame, column) -> DataFrame:
     return df.select(F.from_json(F.col(column), PAYLOAD_SCHEMA).alias("payload")).select("payload.*")
 
 
-def payload_questions(payloads: DataFrame, max_questions=None) -> DataFrame:
-    """One flat question per item, newest first when capped; empty pages give nothing."""
+def unreadable_payloads(df: DataFrame, column) -> DataFrame:
+    """One row with the pages seen and those whose text is no readable payload."""
+    marked = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField("_broken", T.StringType())])
+    parsed = F.from_json(F.col(column), marked, {"columnNameOfCorruptRecord": "_broken"})
+    broken = F.col(column).isNull() | parsed["_broken"].isNotNull()
+    return df.select(broken.alias("broken")).agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if("broken").alias("unreadable"))
+
+
+def payload_questions(payloads: DataFrame, max_questions=None, summary_limit=None) -> DataFrame:
+    """One flat question per item, newest first when capped; empty pages give nothing.
+
+    Summaries are whole unless a `summary_limit` is asked for.
+    """
     item = payloads.select(F.explode("items").alias("i")).select("i.*")
     text = lambda path, default="": F.coalesce(F.col(path), F.lit(default))
     number = lambda path: F.coalesce(F.col(path), F.lit(0).cast("long"))
@@ -27,7 +39,7 @@ def payload_questions(payloads: DataFrame, max_questions=None) -> DataFrame:
         number("question_id").alias("question_id"),
         text("title").alias("title"),
         text("link").alias("url"),
-        body_summary(F.col("body")).alias("summary"),
+        body_summary(F.col("body"), summary_limit).alias("summary"),
         F.coalesce("tags", F.array().cast("array<string>")).alias("tags"),
         text("owner.display_name", UNKNOWN_AUTHOR).alias("author_name"),
         number("owner.reputation").alias("author_reputation"),

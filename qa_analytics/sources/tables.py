@@ -1,6 +1,6 @@
 """Stored tables: reading, versioned snapshots, exports and analysis rows."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import as_timestamp, nan_to_null
 from ..operators.filters import newest_first, top_authors
@@ -24,26 +24,27 @@ def write_snapshot(df: DataFrame, folder, version) -> str:
 
 
 def result_rows(result: DataFrame, table) -> DataFrame:
-    """One row with a bounded result table as JSON text (P12: not-a-number is null) and its row count."""
+    """The rows of a result table as JSON texts (P12: not-a-number is null)."""
     clean = [
         (nan_to_null(F.col(c)) if kind in ("double", "float") else F.col(c)).alias(c) for c, kind in result.dtypes]
-    return result.select(*clean).agg(
-        F.to_json(F.sort_array(F.collect_list(F.struct(*result.columns)))).alias("results"),
-        F.count(F.lit(1)).alias("result_rows"),
-    ).select(F.lit(table).alias("table"), "results", "result_rows")
+    return result.select(F.lit(table).alias("table"), F.to_json(F.struct(*clean)).alias("result"))
 
 
 def analysis_rows(results, analysis_type, as_of, total_questions, duration) -> DataFrame:
-    """Analysis rows with type, date, payload and filled metadata; `results` are bounded tables."""
+    """Analysis rows with type, date, payload and filled metadata, one per row of each result table.
+
+    `total_questions` is a number or a Column, such as a scalar subquery.
+    """
+    total = total_questions if isinstance(total_questions, Column) else F.lit(int(total_questions))
     rows = None
     for table, result in results.items():
         row = result_rows(result, table)
         rows = row if rows is None else rows.unionByName(row)
     return rows.select(
         F.lit(analysis_type).alias("analysis_type"), as_timestamp(as_of).alias("analysis_date"),
-        "table", "results", "result_rows",
+        "table", "result",
         F.struct(
-            F.lit(int(total_questions)).cast("long").alias("total_questions_analyzed"),
+            total.cast("long").alias("total_questions_analyzed"),
             F.lit(float(duration)).alias("analysis_duration"),
         ).alias("metadata"),
     )
@@ -60,8 +61,8 @@ def save_results(results, folder, run_stamp) -> None:
         result.write.mode("errorifexists").json(f"{folder}/analysis_results_{run_stamp}/{table}")
 
 
-def export_tables(questions, authors, stats, as_of, max_questions=10_000, max_authors=1_000):
-    """The row sets of a whole-store export."""
+def export_tables(questions, authors, stats, as_of, max_questions=None, max_authors=None):
+    """The row sets of a whole-store export; with limits the newest questions and the most active authors."""
     return {
         "questions": newest_first(questions, max_questions),
         "authors": top_authors(authors, max_authors),

@@ -18,7 +18,6 @@ from ..operators.filters import by_ids, not_in_ids, with_audit
 from ..operators.tags import tag_frequency
 from ..operators.writes import author_updates, latest_per_key
 from ..schema import AUTHOR_FIELDS, AUTHOR_SCHEMA, QUESTION_FIELDS, QUESTION_SCHEMA, STORED_QUESTION_SCHEMA
-from ..session import small_side
 
 _CHANGE_SCHEMA = T.StructType(STORED_QUESTION_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
 _AUTHOR_CHANGE_SCHEMA = T.StructType([
@@ -135,7 +134,7 @@ def _write_changes(store, batch_id, questions, authors, as_of):
 
 def _unseen(batch: DataFrame, stored_ids: DataFrame) -> DataFrame:
     """Rows of a (small) batch whose id the (large) store lacks: the store's ids are filtered, not shuffled."""
-    wanted = small_side(batch.select("question_id").distinct())
+    wanted = batch.select("question_id").distinct()
     return not_in_ids(batch, by_ids(stored_ids.select("question_id"), wanted))
 
 
