@@ -15,7 +15,8 @@ from . import adapters as a, analysis
 QUERIES = {}
 
 # Tables of an analysis that have rows whatever the input holds.
-ROLLED_UP = ("status", "date_range", "activity_peaks", "content_quality", "length_stats", "counter_stats", "tag_summary")
+ROLLED_UP = ("status", "date_range", "activity_peaks", "content_quality", "length_stats", "counter_stats", "tag_summary",
+             "activity_stats")
 
 ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
               "pages benchmark labels conversations").split()

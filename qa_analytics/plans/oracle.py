@@ -561,7 +561,7 @@ SELECT 'comprehensive_trend_analysis' AS analysis_type, TIMESTAMP '2001-08-01' A
 SELECT tag, count(*) AS count FROM (SELECT unnest(tags) AS tag FROM q_events) GROUP BY tag""",
     "empty_analysis": "SELECT name AS table, CAST(0 AS BIGINT) AS rows FROM (SELECT unnest(["
     "'trending_tags', 'top_tags', 'hourly_patterns', 'weekday_patterns', 'monthly_patterns', 'keywords', 'sentiment', "
-    "'top_authors', 'reputation_stats', 'activity_stats', 'most_common_tags']) AS name) WHERE (SELECT count(*) FROM events) >= 0",
+    "'top_authors', 'reputation_stats', 'most_common_tags']) AS name) WHERE (SELECT count(*) FROM events) >= 0",
     "sample_members": "SELECT name AS check, (SELECT least(100, count(*)) FROM events) AS rows "
     "FROM (SELECT unnest(['members', 'drawn again']) AS name)",
     "payload_unreadable": """WITH pages AS (SELECT DISTINCT event_id // 100 AS page FROM events)
