@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from . import graph_dedup, html_text, minhash, mixing, packing, pii, pitman_yor, quality, token_counts, url_rules
 from ..session import durable
 from .common import read
+from .oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {}
-ORACLE_SQL = {}
 
 
 def query(fn):
