@@ -9,31 +9,21 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import durable
 
-# monotonically_increasing_id() holds the partition above bit 33 and the row below.
-_ROW_BITS = 33
-
-
 def _sorted_with_slot(df: DataFrame, order) -> DataFrame:
-    placed = durable(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
-    return placed.select(
-        *df.columns,
-        F.shiftright("_slot", _ROW_BITS).alias("_part"),
-        (F.col("_slot") - F.shiftleft(F.shiftright("_slot", _ROW_BITS), _ROW_BITS)).alias("_row"),
-    )
+    """The sorted table with its partition and a number that rises inside each."""
+    return durable(df.orderBy(*order).select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_slot")))
 
 
 def with_position(df: DataFrame, *order, name="position") -> DataFrame:
     """0-based position of each row in a unique order."""
     placed = _sorted_with_slot(df, order)
-    offsets = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(
-        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
     # One row per shuffle partition, hence safe to order in one task and to broadcast.
-    offsets = offsets.select("_part", before.alias("_before"))
-    return placed.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_before") + F.col("_row")).alias(name)
-    )
+    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_slot").alias("_first"))
+    before = F.coalesce(
+        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = parts.select("_part", (before - F.col("_first")).alias("_shift"))
+    return placed.join(F.broadcast(offsets), "_part").select(*df.columns, (F.col("_slot") + F.col("_shift")).alias(name))
 
 
 def batch_numbers(ids: DataFrame, batch_size, key="question_id") -> DataFrame:
