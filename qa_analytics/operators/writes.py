@@ -25,7 +25,7 @@ def latest_per_key(batch: DataFrame, key="question_id", seq="seq") -> DataFrame:
 def upsert_questions(existing: DataFrame, batch: DataFrame, as_of) -> DataFrame:
     """M1: listed ids are replaced, audit columns included; new ids are added."""
     fresh = with_audit(latest_per_key(batch).select(*QUESTION_FIELDS), as_of)
-    return not_in_ids(existing, fresh).unionByName(fresh)
+    return not_in_ids(existing, batch).unionByName(fresh)
 
 
 def update_only_questions(existing: DataFrame, batch: DataFrame, as_of) -> DataFrame:
@@ -39,9 +39,16 @@ def update_only_questions(existing: DataFrame, batch: DataFrame, as_of) -> DataF
 
 
 def append_only_questions(existing: DataFrame, batch: DataFrame, as_of) -> DataFrame:
-    """M3: unknown ids are added, known ones ignored. The batch is reduced to a row per id before the join."""
-    fresh = not_in_ids(latest_per_key(batch).select(*QUESTION_FIELDS), existing)
-    return existing.unionByName(with_audit(fresh, as_of))
+    """M3: unknown ids are added, known ones ignored."""
+    return existing.unionByName(additions(existing, batch, as_of))
+
+
+def additions(existing: DataFrame, batch: DataFrame, as_of) -> DataFrame:
+    """The rows that an append-only run adds; a store that is a folder of files needs to write no more than these.
+
+    The batch is reduced to a row per id before the join.
+    """
+    return with_audit(not_in_ids(latest_per_key(batch).select(*QUESTION_FIELDS), existing), as_of)
 
 
 WRITERS = {"upsert": upsert_questions, "update": update_only_questions, "append-only": append_only_questions}

@@ -8,7 +8,7 @@ A streaming store is a folder of per-batch change files below a base:
 Each trigger writes its own batch folder with overwrite, so a retried batch
 replaces itself and counters are never applied twice. The current table is
 the newest base merged with the later batches when it is read; `compact` folds
-them, so a trigger's cost follows the batch and not the table.
+them. An upsert reads nothing of the store; an append reads its id column.
 """
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -81,19 +81,27 @@ def _read(spark, schema, paths):
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def _question_changes(spark, store, before=None) -> DataFrame:
+def _question_parts(spark, store, before=None):
+    """(questions of the base, changes after it)."""
     base, batches = _parts(spark, store, before)
-    changes = _read(spark, _CHANGE_SCHEMA, [f"{store}/changes/batch={n}/questions" for n in batches])
-    if base is None:
-        return changes
-    old = _read(spark, STORED_QUESTION_SCHEMA, [f"{store}/base/upto={base}/questions"])
-    return old.withColumn("batch_id", F.lit(-1).cast("long")).unionByName(changes)
+    return (_read(spark, STORED_QUESTION_SCHEMA, [] if base is None else [f"{store}/base/upto={base}/questions"]),
+            _read(spark, _CHANGE_SCHEMA, [f"{store}/changes/batch={n}/questions" for n in batches]))
+
+
+def stored_ids(spark, store, before=None) -> DataFrame:
+    """All ids of the store, one column of its files."""
+    old, changes = _question_parts(spark, store, before)
+    return old.select("question_id").unionByName(changes.select("question_id"))
 
 
 def current_questions(spark, store, before=None) -> DataFrame:
-    """The question table: the latest change of each id."""
-    return latest_per_key(_question_changes(spark, store, before), "question_id", "batch_id").select(
-        *STORED_QUESTION_SCHEMA.fieldNames())
+    """The question table: base rows without a change, and the latest change of every other id.
+
+    Only the changes are grouped; rows of the base just meet the changed ids.
+    """
+    old, changes = _question_parts(spark, store, before)
+    latest = latest_per_key(changes, "question_id", "batch_id").select(*STORED_QUESTION_SCHEMA.fieldNames())
+    return not_in_ids(old, changes).select(*STORED_QUESTION_SCHEMA.fieldNames()).unionByName(latest)
 
 
 def current_authors(spark, store, before=None) -> DataFrame:
@@ -132,10 +140,10 @@ def _write_changes(store, batch_id, questions, authors, as_of):
     ).write.mode("overwrite").parquet(f"{folder}/authors")
 
 
-def _unseen(batch: DataFrame, stored_ids: DataFrame) -> DataFrame:
+def _unseen(batch: DataFrame, known: DataFrame) -> DataFrame:
     """Rows of a (small) batch whose id the (large) store lacks: the store's ids are filtered, not shuffled."""
     wanted = batch.select("question_id").distinct()
-    return not_in_ids(batch, by_ids(stored_ids.select("question_id"), wanted))
+    return not_in_ids(batch, by_ids(known, wanted))
 
 
 def _run(source, each_batch, checkpoint):
@@ -168,7 +176,7 @@ def stream_append(source: DataFrame, store, checkpoint, as_of) -> None:
 
     def each_batch(batch, batch_id):
         spark = batch.sparkSession
-        new = _unseen(batch, _question_changes(spark, store, batch_id))
+        new = _unseen(batch, stored_ids(spark, store, batch_id))
         fresh = with_audit(latest_per_key(new).select(*QUESTION_FIELDS), as_of)
         _write_changes(store, batch_id, fresh, author_updates(new), as_of)
 
@@ -184,7 +192,7 @@ def stream_new_only(source: DataFrame, store, checkpoint, as_of, results) -> Non
 
     def each_batch(batch, batch_id):
         spark = batch.sparkSession
-        new = _unseen(batch, _question_changes(spark, store, batch_id))
+        new = _unseen(batch, stored_ids(spark, store, batch_id))
         fresh = with_audit(latest_per_key(new).select(*QUESTION_FIELDS), as_of)
         _write_changes(store, batch_id, fresh, author_updates(new), as_of)
         written = _read(spark, _CHANGE_SCHEMA, [f"{store}/changes/batch={batch_id}/questions"])

@@ -157,9 +157,24 @@ def test_analyse_whole_and_new_only(spark):
     assert {r.tag for r in one["most_common_tags"].collect()} == {"b", "c"}
     assert [r.author_name for r in one["top_authors"].collect()] == ["B"]
     none = analyse(run["questions"], run["authors"], "2024-01-02", spark.createDataFrame([], "question_id long"))
-    assert set(none) == {"status"} and none["status"].first().status == "skipped"
+    assert set(none) == set(every) and none["status"].first().status == "skipped"
+    assert none["top_tags"].count() == none["keywords"].count() == 0
     nothing = analyse(run["questions"].limit(0), run["authors"], "2024-01-02")
-    assert set(nothing) == {"status"}
+    assert set(nothing) == set(every)
+
+
+def test_refresh_applies_itself(spark):
+    old = stored(spark, *[question(i, "old") for i in range(1, 6)])
+    people = writes.upsert_authors(no_authors(spark), batch(spark, question(1, author="X")), "2024-01-01")
+    snapshot = batch(spark, *[question(i, "new", author="X", rep=70) for i in (2, 5, 9)])
+    run = refresh.refreshed(old, people, snapshot, "2024-02-01", batch_size=2)
+    assert {r.question_id: r.title for r in run["questions"].collect()} == {1: "old", 2: "new", 3: "old", 4: "old", 5: "new"}
+    assert run["authors"].first().reputation == 70
+    failed = spark.createDataFrame([(1,)], "question_id long")
+    run = refresh.refreshed(old, people, snapshot, "2024-02-01", batch_size=2, failed=failed)
+    assert {r.question_id for r in run["questions"].where("title = 'new'").collect()} == {5}
+    dry = refresh.refreshed(old, people, snapshot, "2024-02-01", batch_size=2, dry_run=True)
+    assert dry["questions"].where("title = 'new'").count() == 0 and dry["batches"].count() == 3
 
 
 # ---- streams ----------------------------------------------------------------
@@ -253,6 +268,11 @@ def test_stream_windows_equal_the_batch_counts(spark):
 
 # ---- tables -----------------------------------------------------------------
 
+def test_rows_without_arrival_order_come_before_any(spark):
+    rows = spark.createDataFrame([(1, "a", None), (1, "b", 3), (2, "c", None)], "question_id long, title string, seq long")
+    assert {r.question_id: r.title for r in writes.latest_per_key(rows).collect()} == {1: "b", 2: "c"}
+
+
 def test_snapshots_and_exports(spark):
     base = staging_path(spark, "test")
     questions = stored(spark, question(1), question(2, day=3))
@@ -263,7 +283,7 @@ def test_snapshots_and_exports(spark):
     counts = questions.groupBy("author_name").count()
     rows = tables.analysis_rows({"authors": counts}, "comprehensive_trend_analysis", "2024-02-01", 2, 1.5)
     row = rows.first()
-    assert (row.results, row.result_rows, row.metadata.total_questions_analyzed) == ('[{"author_name":"X","count":2}]', 1, 2)
+    assert (row.result, row.metadata.total_questions_analyzed) == ('{"author_name":"X","count":2}', 2)
     tables.append_analysis(rows, f"{base}/analysis")
     tables.append_analysis(rows, f"{base}/analysis")
     assert spark.read.parquet(f"{base}/analysis").count() == 2
@@ -274,5 +294,5 @@ def test_snapshots_and_exports(spark):
     tables.export_json(export, f"{base}/export")
     assert [r.question_id for r in spark.read.json(f"{base}/export/questions").collect()] == [2]
     odd = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
-    assert tables.result_rows(odd, "odd").first().results == '[{},{"v":1.0}]'
+    assert sorted(r.result for r in tables.result_rows(odd, "odd").collect()) == ['{"v":1.0}', "{}"]
     assert tables.read_authors(spark, tables.write_snapshot(people, f"{base}/authors", 1)).count() == 1
