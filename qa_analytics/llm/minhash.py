@@ -12,10 +12,14 @@ agree in a whole band share a bucket. Equal sets are one class from the start,
 with the smallest id as representative. In each bucket the representative with
 the most company in all its buckets (an original rather than one of its
 copies) is compared with the others: a star. Links are confirmed on the full
-sets. Where a bucket still holds several components, members outside its
-largest one become further centres, a number per bucket and round that grows
-by a fixed factor, until every two members of a bucket are in one component or
-have been compared.
+sets. Where a bucket still holds several components, the members outside its
+largest one become centres too: some per bucket at first, then all that are
+left, so every two members of a bucket end in one component or are compared.
+Two shortcuts spare most of these comparisons. Jaccard distance is a metric:
+members whose distances to the bucket's first centre differ by more than the
+limit cannot link. And the smallest `LOW` hashes of a set, the whole set of a
+short text, must be alike enough, by six standard errors where they are a
+sample. Only pairs that pass both are compared on their full sets.
 
 Sizes: signatures and buckets are tables; nothing is collected. A hot set is
 one class; hot buckets and centres meet only plain joins, whose large
@@ -36,7 +40,7 @@ from ..session import durable
 from .components import connected_components
 
 BANDS, ROWS = 42, 6
-CENTRES, GROWTH = 32, 4
+CENTRES, LOW, ERRORS = 32, 256, 6
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -137,9 +141,12 @@ def _hasher(k):
         for batch in batches:
             # One document at a time, so that long texts do not pile up.
             for i, text in enumerate(_texts(batch.column(1))):
-                found = shingle_hashes(text or b"", k, hashes).view(np.int64)
+                found = shingle_hashes(text or b"", k, hashes)
+                # One bit less for the sample, so that its order is the same for signed numbers.
+                low = (found[:LOW] >> np.uint64(1)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1), pa.array([found], pa.list_(pa.int64()))], names=["id", "hashes"])
+                    [batch.column(0).slice(i, 1), pa.array([found.view(np.int64)], pa.list_(pa.int64())),
+                     pa.array([low], pa.list_(pa.int64()))], names=["id", "hashes", "low"])
 
     return run
 
@@ -157,60 +164,94 @@ def _few(batches, rows=256):
 
 
 def hash_sets(docs, k):
-    """(id, hashes) of the full shingle set of each row of `docs`."""
+    """(id, hashes, low): the full shingle set of each row of `docs` and its smallest hashes."""
     hasher = _hasher(k)
     return docs.select("id", "text").mapInArrow(
-        lambda batches: _few(hasher(batches)), f"id {docs.schema['id'].dataType.simpleString()}, hashes array<bigint>")
+        lambda batches: _few(hasher(batches)),
+        f"id {docs.schema['id'].dataType.simpleString()}, hashes array<bigint>, low array<bigint>")
 
 
-def confirmed(pairs, sets, percent):
-    """The pairs (a, b) whose full sets are alike enough."""
+def compared(pairs, sets):
+    """(a, b, both, either): sizes of the intersection and the union of the full sets of each pair."""
     with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("of_b")), "b")
     with_a = with_b.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("of_a")), "a")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    return with_a.select("a", "b", shared.alias("i"), (F.size("of_a") + F.size("of_b")).alias("s")).where(
-        100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b").distinct()
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    out = with_a.select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("sum"))
+    out = out.withColumn("either", F.col("sum") - F.col("both"))
+    # An id with several texts counts by the pair of them that is most alike.
+    most = F.max(F.struct((F.col("both") / F.col("either")).alias("share"), "both", "either")).alias("m")
+    return out.groupBy("a", "b").agg(most).select("a", "b", "m.both", "m.either")
+
+
+def likely(low, other, percent):
+    """False if the smallest hashes of two sets show that the sets are too different."""
+    last = [F.when(F.size(x) == LOW, F.element_at(x, -1)) for x in (low, other)]
+    until = F.least(*last)  # null: both sets are there in full
+    both = F.size(F.array_intersect(low, other))
+    sizes = [F.when(until.isNull() | (F.element_at(x, -1) <= until), F.size(x)).otherwise(
+        F.size(F.filter(x, lambda v: v <= until))) for x in (low, other)]
+    either = sizes[0] + sizes[1] - both
+    share = percent / 100
+    slack = F.when(until.isNull(), 0.0).otherwise(ERRORS * (share * (1 - share)) ** 0.5 / F.sqrt(either))
+    return both >= (share - slack) * either - 1e-9
 
 
 def _star_links(members, docs, k, percent):
     """(id, component) for all linked ids; `members` has the (key, id, size) rows of buckets with company."""
     company = durable(members.groupBy("id").agg(F.sum("n").alias("score")))
     sets = durable(hash_sets(docs.join(company, "id", "left_semi"), k))
-    open_ = durable(members.join(company, "id").select(
-        "key", "id", "size", "score", F.col("id").alias("component"), F.lit(False).alias("served")))
-    components, tested, centres_each, pool = None, None, 1, open_
-    while True:
-        slot = F.pmod(F.xxhash64("id"), F.lit(centres_each))
-        best = F.max(F.struct("score", "id", "size", "component"))
-        centres = durable(pool.groupBy("key", slot.alias("slot")).agg(best.alias("c")).select(
-            "key", F.col("c.id").alias("c_id"), F.col("c.size").alias("c_size"), F.col("c.component").alias("c_comp")))
-        if tested is not None and centres.isEmpty():
-            return components
-        alike = 100 * F.least("size", "c_size") >= percent * F.greatest("size", "c_size")
-        fresh = open_.join(centres, "key").where(alike & (F.col("component") != F.col("c_comp"))).select(
-            F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
-        fresh = durable(fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti"))
-        links = durable(confirmed(fresh, sets, percent))
-        tested = fresh if tested is None else tested.union(fresh)
-        components = _merged(components, links)
+    open_ = members.join(company, "id").select("key", "id", "size", "score")
+    best = F.max(F.struct("score", "id", "size"))
+    centres = durable(open_.groupBy("key").agg(best.alias("c")).select(
+        "key", F.col("c.id").alias("c_id"), F.col("c.size").alias("c_size")))
+    open_ = durable(open_.join(centres, "key").withColumns({
+        "a": F.least("id", "c_id"), "b": F.greatest("id", "c_id"),
+        "alike": 100 * F.least("size", "c_size") >= percent * F.greatest("size", "c_size")}))
+    tested = durable(compared(open_.where("alike and id != c_id").select("a", "b").distinct(), sets))
+    links_of = lambda pairs: pairs.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
+    components = _merged(None, links_of(tested))
+    # Distance to the bucket's centre; null if sizes alone ruled a link out.
+    away = F.when(F.col("id") == F.col("c_id"), 0.0).otherwise(1 - F.col("both") / F.col("either"))
+    open_ = open_.join(tested, ["a", "b"], "left").select(
+        "key", "id", "size", "score", away.alias("away"), (F.col("id") == F.col("c_id")).alias("served"))
+    limit = 1 - percent / 100 + 1e-9
+    for slots in (CENTRES, None):
+        marked = durable(open_.join(components, "id", "left").select(
+            "key", "id", "size", "score", "away", "served", F.coalesce("component", "id").alias("component")))
         # Only buckets with several components stay open.
-        marked = open_.drop("component").join(components, "id", "left").join(
-            centres.select("key", F.col("c_id").alias("id"), F.lit(True).alias("now")), ["key", "id"], "left")
-        marked = durable(marked.select("key", "id", "size", "score", F.coalesce("component", "id").alias("component"),
-                                       (F.col("served") | F.col("now").isNotNull()).alias("served")))
         largest = durable(marked.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
             F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select(
             "key", F.col("most.component").alias("most")))
-        open_ = durable(marked.join(largest, "key"))
-        pool = open_.where("component != most and not served")
-        open_ = open_.drop("most")
-        centres_each = CENTRES if centres_each == 1 else centres_each * GROWTH
+        marked = durable(marked.join(largest, "key"))
+        pool = marked.where("component != most and not served")
+        if slots:
+            pool = pool.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot")).agg(
+                F.max(F.struct("score", "id", "size", "away", "component")).alias("c")).select("key", "c.*")
+        pool = durable(pool.select("key", "id", "size", "away", "component"))
+        if pool.isEmpty():
+            break
+        low = sets.select("id", "low")
+        centre = pool.join(low, "id").toDF(*(f"c_{c}" if c != "key" else c for c in ("id", "key", "size", "away", "component", "low")))
+        inside = marked.select("key", "id", "size", "away", "component").join(low, "id")
+        met = inside.join(centre, (inside["key"] == centre["key"]) & (F.col("component") != F.col("c_component"))
+                          & (100 * F.least("size", "c_size") >= percent * F.greatest("size", "c_size"))
+                          & F.coalesce(F.abs(F.col("away") - F.col("c_away")) <= limit, F.lit(True))
+                          & likely(F.col("low"), F.col("c_low"), percent))
+        fresh = durable(met.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct())
+        components = _merged(components, links_of(durable(compared(fresh, sets))))
+        now = pool.select("key", "id", F.lit(True).alias("now"))
+        open_ = marked.drop("component", "most").join(now, ["key", "id"], "left").withColumn(
+            "served", F.col("served") | F.col("now").isNotNull()).drop("now")
+    return components
 
 
 def _merged(components, links):
     """Component labels after more links."""
     if components is None:
         return durable(connected_components(links))
+    links = durable(links)
+    if links.isEmpty():
+        return components
     ends = links.join(components.withColumnRenamed("id", "a").withColumnRenamed("component", "ca"), "a", "left").join(
         components.withColumnRenamed("id", "b").withColumnRenamed("component", "cb"), "b", "left")
     moves = durable(connected_components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))))
