@@ -552,7 +552,7 @@ def _documents_as_json(spark, d):
     k = F.get_json_object("props", "$.k").cast("long")
     mixed = F.when(k < 50, k.cast("string")).otherwise(F.concat(F.lit('"'), k, F.lit('"')))
     listed = F.when(k < 30, "[]").when(k < 60, F.concat(F.lit("["), k, F.lit("]"))).otherwise('["a", 1]')
-    events = a.table(spark, d, "events").drop("ts", "value")
+    events = a.dealt(a.table(spark, d, "events").drop("ts", "value"), "event_id")
     return events.select(F.concat(
         F.lit('{"_id": 1, "event_id": '), "event_id", F.lit(', "who": {"user": '), "user_id",
         F.lit(', "props": '), "props", F.lit('}, "mixed": '), mixed, F.lit(', "list": '), listed,
