@@ -38,7 +38,7 @@ SAMPLE, SAMPLE_VALUES = 20_000, 8_000_000
 CELL, PART, MOST_CELLS = 1024, 4096, 2048
 MARGIN = 0.05
 CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
-BEAM, QUERIES, AUDITED, FLOOR = 24, 512, 256, 0.98
+BEAM, AT_ONCE, QUERIES, AUDITED, FLOOR, MISSED = 24, 16, 512, 256, 0.98, 0.001
 
 
 def unit(rows):
@@ -128,7 +128,7 @@ def search(x, lists, queries, low, beam):
     found = np.zeros((len(queries), n), bool)
     if not n:
         return found
-    padded, start = np.vstack([x, np.zeros((1, x.shape[1]))]), medoid(x)
+    start = medoid(x)
     for at in range(0, len(queries), QUERIES):
         q = queries[at:at + QUERIES]
         # Similarity of the nodes met so far; expanded nodes are taken out of `left`.
@@ -137,19 +137,25 @@ def search(x, lists, queries, low, beam):
         met[:, start] = left[:, start] = q @ x[start]
         active, turns = np.arange(len(q)), 0
         while len(active):
-            best = left[active].argmax(1)
-            value = left[active, best]
+            # One node at a time while the search is still on its way, several once it is in range.
+            some = min(1 if turns < beam else AT_ONCE, n)
+            best = np.argpartition(-left[active], some - 1, axis=1)[:, :some]
+            value = np.take_along_axis(left[active], best, 1)
             go = (value > -np.inf) & ((value >= low) | (turns < beam))
-            active, best = active[go], best[go]
             turns += 1
+            keep = go.any(1)
+            active, best, go = active[keep], best[keep], go[keep]
             if not len(active):
                 break
-            left[active, best] = -np.inf
-            next_ = links[best]
-            s = np.einsum("qd,qkd->qk", q[active], padded[next_])
-            fresh = (met[active[:, None], next_] == -np.inf) & (next_ < n)
-            a, b = np.nonzero(fresh)
-            met[active[a], next_[a, b]] = left[active[a], next_[a, b]] = s[a, b]
+            row, col = np.nonzero(go)
+            left[active[row], best[row, col]] = -np.inf
+            # Neighbours not met before, each once per query.
+            a, b = np.repeat(active[row], links.shape[1]), links[best[row, col]].ravel()
+            fresh = (b < n) & (met[a, b] == -np.inf)
+            pairs = np.unique(a[fresh] * np.int64(n + 1) + b[fresh])
+            a, b = pairs // (n + 1), pairs % (n + 1)
+            s = np.einsum("pd,pd->p", q[a], x[b])
+            met[a, b] = left[a, b] = s
         found[at:at + QUERIES] = met[:, :n] >= low
     return found
 
@@ -175,7 +181,7 @@ def _search(low):
         # Audit a bounded, evenly spread set of queries; widen until nothing is missed there.
         some, beam = np.unique(np.linspace(0, len(x) - 1, 64).astype(int)), BEAM
         truth = x[some] @ x[:n].T >= low
-        while beam < n and (truth & ~search(x[:n], lists, x[some], low, beam)).any():
+        while beam < n and (truth & ~search(x[:n], lists, x[some], low, beam)).sum() > MISSED * truth.sum():
             beam *= 2
         # A pair is counted in the first cell that its two vectors share.
         cells = np.unique(np.concatenate([np.asarray(c) for c in rows["cells"]]))
