@@ -92,7 +92,7 @@ class Page:
         self.read(text)
 
     def read(self, text):
-        open_, at, size = [0], 0, len(text)
+        open_, at, size, final = [0], 0, len(text), text.rfind(">")
         names, parts = self.names, self.parts
         waiting = {}  # number of open elements by name, so that stray end tags cost nothing
         while at < size:
@@ -109,6 +109,16 @@ class Page:
                     break
                 at = close + (3 if text.startswith("<!--", start) else 1)
                 continue
+            if after == "/":
+                first = text[start + 2:start + 3]
+                if not (first.isalpha() and first.isascii()):
+                    # An end tag without a name is a comment up to the next ">", and plain text if there is none.
+                    if start < final:
+                        at = text.find(">", start) + 1
+                    else:
+                        parts[open_[-1]].append("</")
+                        at = start + 2
+                    continue
             tag = (TAG.match(text, start) or PLAIN_TAG.match(text, start)) if after == "/" or after.isalpha() else None
             if tag is None:
                 if after == "/" or after.isalpha() and after.isascii():

@@ -35,3 +35,16 @@ def test_table_with_nulls_and_repeats(spark):
 def test_markup_that_never_closes_stays_fast():
     assert html_text.main_text("<p>" * 30_000 + "</b>" * 30_000 + "<" * 30_000).count("<") == 30_000
     assert html_text.main_text("<a href=\"x" * 3_000) == ""
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<p>one</>two</p><p>three", "onetwo\nthree"), ("<p>one</ p>two</p><p>three", "onetwo\nthree"),
+    ("<p>love </3 it</p><p>three", "love\nthree"), ("<p>one</p>a </3 b", "one\na </3 b"), ("<p>one</p></", "one\n</"),
+    ("<p>one</\u00e9>two", "onetwo")])
+def test_text_after_an_end_tag_without_a_name_stays(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_many_end_tags_without_a_name_stay_fast():
+    assert html_text.main_text("<p>x</p>" + "</ " * 100_000).count("</") == 100_000
+    assert html_text.main_text("</ >" * 100_000 + "x") == "x"
