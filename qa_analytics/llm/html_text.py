@@ -2,7 +2,8 @@
 
 Each page becomes a tree. Elements that are furniture by their name, role or
 class (menus, page headers, footers, sidebars, notices, adverts, forms, reader
-comments, scripts, styles) are left out. Every other node gets its composite
+comments, scripts, styles) are left out; a class or id does not leave out what
+holds the article or most of the text. Every other node gets its composite
 text density: characters per tag, lowered by the share of links in the node
 and in the body. The node with the largest sum of its children's densities is
 the content; the smallest density on its path from the body is the threshold,
@@ -47,13 +48,19 @@ CLOSED_BY = {
     "head": {"body"},
 }
 SCOPES = set("table ul ol dl div article section main aside nav footer header form body html blockquote select".split())
-# Words in a class or id that name furniture. The first kind counts however much text it has.
+# Words in a class or id that name furniture. Those of the first two kinds count only where every word of
+# the name is of one of the four kinds (`no-comments` and `social-history` are no furniture), those of the third anywhere.
 SURE = re.compile(
-    r"^(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|newsletter|subscribe|comment|comments|commentlist|"
-    r"commentary|disqus|replies|respond|breadcrumb\w*|pagination|pager|share|sharing|social|signup|login|popup|modal|notice|"
-    r"notification\w*|disclaimer)$")
+    r"^(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|newsletter|subscribe|breadcrumb\w*|pagination|"
+    r"pager|share|sharing|social|signup|login|popup|modal|notice|notification\w*|disclaimer)$")
+READERS = re.compile(r"^(?:comment|comments|commentlist|commentary|disqus|replies|respond)$")
 LIKELY = re.compile(
     r"^(?:nav\w*|menu\w*|sidebar\w*|footer|header|masthead|banner|related|recommended|widget\w*|toolbar|topbar|alert|rail)$")
+HOLDER = re.compile(
+    r"^(?:area|bar|block|body|bottom|box|button|buttons|container|content|form|group|icons|inner|item|left|link|links|list|outer|"
+    r"right|section|site|slot|thread|top|unit|wrap|wrapper|\d+|)$")
+# Share of the page's text from which an element named as furniture is the content: reader comments often outgrow it.
+MOST = {1: 0.5, 3: 0.95}
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
@@ -63,7 +70,10 @@ SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
 def _hint(attributes, name):
-    """2: furniture; 1: furniture unless it holds the article or most of the text; 0: neither."""
+    """2: furniture; 1 (3 for reader comments): furniture unless it holds the article or most of the text; 0: neither.
+
+    -1: an article or main element named as reader comments, which is not the article.
+    """
     hint = 0
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
@@ -75,12 +85,18 @@ def _hint(attributes, name):
         elif key == "role":
             if value.lower() in ROLES:
                 return 2
-        elif name not in ("body", "html", "article", "main"):
-            for word in SPLIT.split(value):
-                if SURE.match(word.lower()):
-                    return 2
-                if LIKELY.match(word.lower()):
-                    hint = 1
+        elif name not in ("body", "html"):
+            for own in value.split():
+                words = [word.lower() for word in SPLIT.split(own)]
+                if any(map(LIKELY.match, words)):
+                    hint = hint or 1
+                if all(any(kind.match(word) for kind in (SURE, READERS, LIKELY, HOLDER)) for word in words):
+                    if any(map(READERS.match, words)):
+                        hint = 3
+                    elif any(map(SURE.match, words)):
+                        hint = hint or 1
+    if name in ("article", "main"):
+        return -1 if hint == 3 else 0
     return hint
 
 
@@ -183,7 +199,8 @@ class Page:
         names, parents, n = self.names, self.parents, len(self.names)
         size = [sum(len(SPACES.sub("", p)) for p in own if isinstance(p, str)) for own in self.parts]
         # First pass: text below every node, and whether an article is there.
-        text, article = size[:], [name in ("article", "main") for name in names]
+        text = size[:]
+        article = [name in ("article", "main") and hint >= 0 for name, hint in zip(names, self.hints)]
         for i in range(n - 1, 0, -1):
             text[parents[i]] += text[i]
             article[parents[i]] |= article[i]
@@ -191,7 +208,7 @@ class Page:
         for i in range(1, n):
             up = parents[i]
             inside[i] = inside[up] or names[i] in ("article", "main")
-            likely = self.hints[i] == 1 and not article[i] and 2 * text[i] < text[0]
+            likely = self.hints[i] in MOST and not article[i] and text[i] < MOST[self.hints[i]] * text[0]
             out[i] = (out[up] or names[i] in FURNITURE or self.hints[i] == 2 or likely
                       or names[i] == "header" and not inside[i] and not article[i])
         # Second pass: characters, tags, link characters and link tags of what is left.

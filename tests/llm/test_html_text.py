@@ -48,3 +48,24 @@ def test_text_after_an_end_tag_without_a_name_stays(page, text):
 def test_many_end_tags_without_a_name_stay_fast():
     assert html_text.main_text("<p>x</p>" + "</ " * 100_000).count("</") == 100_000
     assert html_text.main_text("</ >" * 100_000 + "x") == "x"
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='post no-comments'>", "<div class='site has-ads'>", "<section id='social-history'>", "<div class=social>",
+    "<div id=content class='notice'>", "<div class=comments>"])
+@pytest.mark.parametrize("article", [f"<div><p>{PARA}</p><p>{PARA}</p></div>", f"<article><p>{PARA}</p><p>{PARA}</p></article>"])
+def test_a_wrapper_named_like_furniture_keeps_the_article(wrapper, article):
+    page = f"<body><nav><a href=/>home</a></nav>{wrapper}{article}</{wrapper[1:].split()[0]}><footer>us</footer></body>"
+    assert html_text.main_text(page) == f"{PARA}\n{PARA}"
+
+
+def test_one_word_of_a_compound_does_not_decide():
+    parts = "".join(f"<div class='post {c}'><p>{PARA}</p></div>" for c in ("no-comments", "has-ads", "noticeBoardHistory"))
+    assert html_text.main_text(f"<body><div>{parts}</div></body>") == f"{PARA}\n{PARA}\n{PARA}"
+
+
+def test_small_furniture_and_reader_comments_still_go():
+    small = "".join(f"<div class='{c}'>Small print</div>" for c in ("share", "social-share", "ad-container", "cookie-banner", "promoBox"))
+    talk = f"<div id=comments class='comments-area'><ol><li class=comment><article class='comment-body'><p>{PARA}</p></article></ol></div>"
+    page = f"<main><article><h1>Head</h1><p>{PARA}</p></article>{small}{talk * 3}</main>"
+    assert html_text.main_text(page) == f"Head\n{PARA}"
