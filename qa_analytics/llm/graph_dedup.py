@@ -61,11 +61,17 @@ def fit_centroids(x, k, rounds=8):
     return c
 
 
-def memberships(x, c, margin):
-    """For every vector a row of flags: its home cell and those whose border is near."""
+def distances(c):
+    """Distances between centroids, from their products, so that no more than k x k numbers are held; never too small."""
+    square = np.einsum("kd,kd->k", c, c)
+    return np.sqrt(np.maximum(square[:, None] + square[None, :] - 2 * (c @ c.T), 0) + 1e-12)
+
+
+def memberships(x, c, margin, apart=None):
+    """For every vector a row of flags: its home cell and those whose border is near; `apart`: `distances(c)`, if at hand."""
     s = x @ c.T
     home = s.argmax(1)
-    apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
+    apart = distances(c) if apart is None else apart
     near = s[np.arange(len(x)), home][:, None] - s <= margin * apart[home]
     near[np.arange(len(x)), home] = True
     return near
@@ -232,12 +238,16 @@ def _classes(vectors, id, vector):
 def _found(classes, centroids, margin, low, kind):
     """(id, links, label) summed over shards: links to other classes, and one row per shard for the labels."""
     def assign(batches):
+        apart = {}  # by vector length, once per task
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 column = part.column(1)
                 x = unit(column.flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1))
-                near = memberships(x, centroids[x.shape[1]], margin)
+                d = x.shape[1]
+                if d not in apart:
+                    apart[d] = distances(centroids[d])
+                near = memberships(x, centroids[d], margin, apart[d])
                 offsets = pa.array(np.append(0, near.sum(1).cumsum()).astype(np.int32))
                 cells = pa.ListArray.from_arrays(offsets, pa.array(near.nonzero()[1].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, cells], names=["id", "v", "w", "d", "cells"])

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -76,3 +78,19 @@ def test_graph_is_sparse_and_reachable():
         front = list(set(front))
     assert len(seen) == len(x)
     assert np.mean([len(own) for own in lists]) < 2 * graph_dedup.DEGREE
+
+
+def test_memberships_hold_no_more_than_one_number_per_pair_of_cells():
+    rng = np.random.RandomState(5)
+    x, c = graph_dedup.unit(rng.randn(200, 64)), graph_dedup.unit(rng.randn(600, 64))
+    tracemalloc.start()
+    near = graph_dedup.memberships(x, c, 0.05)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * 8 * 600 * 600
+    s = x @ c.T
+    apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
+    home = s.argmax(1)
+    want = s.max(1)[:, None] - s <= 0.05 * apart[home]
+    want[np.arange(200), home] = True
+    assert (near == want).all()
