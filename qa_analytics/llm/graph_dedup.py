@@ -11,10 +11,13 @@ medoids: greedy at first, then every node within range is expanded until none
 is left. All links are confirmed by cosine in double precision.
 
 Audit: in every shard a bounded set of queries is compared with brute force,
-and the search widens until recall is full there; over the whole table, a
-bounded set of queries is compared with all vectors, and if less than `FLOOR`
-of their links were found, everything is repeated with the margin that no pair
-within range can escape (half its largest distance).
+and the search widens until every query has all its links; where it still
+misses one at `WIDEST`, as beside large groups of near copies, all pairs of the
+shard, which is of bounded size, are compared. Over the whole table, a bounded
+set of queries is compared with all vectors, and if the mean recall of those
+that have links is less than `FLOOR`, with queries that link with each other
+counted as one, everything is repeated with the margin that no pair within
+range can escape (half its largest distance).
 
 A shard of more than `PART` vectors is split by a hash into parts with a graph
 each, and its vectors search all of them, so no task holds more than a part
@@ -38,7 +41,7 @@ SAMPLE, SAMPLE_VALUES = 20_000, 8_000_000
 CELL, PART, MOST_CELLS = 1024, 4096, 2048
 MARGIN = 0.05
 CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
-BEAM, AT_ONCE, QUERIES, AUDITED, FLOOR, MISSED = 24, 16, 512, 256, 0.98, 0.001
+BEAM, AT_ONCE, QUERIES, AUDITED, FLOOR, WIDEST = 24, 16, 512, 256, 0.98, 96
 
 
 def unit(rows):
@@ -184,10 +187,10 @@ def _search(low):
         ids, weight = rows["id"].to_numpy(), rows["w"].to_numpy()
         place = {v: i for i, v in enumerate(ids[:n].tolist())}
         lists = [np.array([place[v] for v in own if v in place], np.int64) for own in rows["neighbours"][:n]]
-        # Audit a bounded, evenly spread set of queries; widen until nothing is missed there.
+        # Audit a bounded, evenly spread set of queries; widen until nothing is missed there, at last to all pairs.
         some, beam = np.unique(np.linspace(0, len(x) - 1, 64).astype(int)), BEAM
         truth = x[some] @ x[:n].T >= low
-        while beam < n and (truth & ~search(x[:n], lists, x[some], low, beam)).sum() > MISSED * truth.sum():
+        while beam <= WIDEST and (truth & ~search(x[:n], lists, x[some], low, beam)).any():
             beam *= 2
         # A pair is counted in the first cell that its two vectors share.
         cells = np.unique(np.concatenate([np.asarray(c) for c in rows["cells"]]))
@@ -198,7 +201,8 @@ def _search(low):
         found = np.zeros((len(x), n), bool)
         first = 0 if key[2] == key[3] else n
         for at in range(first, len(x), QUERIES):
-            found[at:at + QUERIES] = search(x[:n], lists, x[at:at + QUERIES], low, beam)
+            some = x[at:at + QUERIES]
+            found[at:at + QUERIES] = search(x[:n], lists, some, low, beam) if beam <= WIDEST else some @ x[:n].T >= low
         found[:n] |= found[:n].T
         found[np.arange(n), np.arange(n)] = False
         links = np.zeros(len(x), np.int64)
@@ -313,7 +317,10 @@ def near_duplicates(vectors: DataFrame, id="vec_id", vector="embedding", low=0.9
 
 
 def audit(flat, sums, low, most=AUDITED):
-    """Share of the links of a bounded set of classes that `sums` has, by comparing them with all vectors in blocks."""
+    """Mean share of its links that `sums` has for a bounded set of classes, by comparing them with all vectors in blocks.
+
+    Classes without links do not count, and classes that link with each other share one vote.
+    """
     picked = flat.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(most).select("id", "v", "w").toArrow()
     queries = {}
     for i, v in enumerate(picked["v"].to_pylist()):
@@ -332,5 +339,13 @@ def audit(flat, sums, low, most=AUDITED):
     truth = dict(flat.select("v", "w").mapInArrow(compare, "i long, n long").groupBy("i").agg(F.sum("n")).collect())
     ids = picked["id"].to_pylist()
     got = {r[0]: r[1] for r in sums.where(F.col("id").isin(ids)).collect()}
-    true = sum(truth[i] - w for i, w in enumerate(picked["w"].to_pylist()))
-    return sum(got.get(v, 0) for v in ids) / true if true else 1.0
+    share, votes = 0.0, 0.0
+    weights = picked["w"].to_pylist()
+    for at, x in queries.values():
+        alike = np.maximum((x @ x.T >= low).sum(1), 1)
+        for i, others in zip(at.tolist(), alike.tolist()):
+            true = truth[i] - weights[i]
+            if true > 0:
+                share += min(got.get(ids[i], 0) / true, 1.0) / others
+                votes += 1 / others
+    return share / votes if votes else 1.0

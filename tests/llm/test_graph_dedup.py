@@ -1,6 +1,7 @@
 import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from qa_analytics.llm import graph_dedup
@@ -94,3 +95,38 @@ def test_memberships_hold_no_more_than_one_number_per_pair_of_cells():
     want = s.max(1)[:, None] - s <= 0.05 * apart[home]
     want[np.arange(200), home] = True
     assert (near == want).all()
+
+
+def hot_and_pairs(hot, pairs, d=24):
+    """A large group of near copies, then pairs of near copies."""
+    rng = np.random.RandomState(11)
+    single = rng.randn(pairs, d)
+    return graph_dedup.unit(np.vstack([
+        rng.randn(1, d) + 0.02 * rng.randn(hot, d), np.repeat(single, 2, 0) + 0.02 * rng.randn(2 * pairs, d)]))
+
+
+def test_a_shard_with_a_hot_group_keeps_the_links_of_small_ones(monkeypatch):
+    x = hot_and_pairs(400, 100)
+    n, real = len(x), graph_dedup.search
+
+    def lossy(nodes, lists, queries, low, beam):
+        found = real(nodes, lists, queries, low, beam)
+        found[(queries @ x[0] < low)] &= queries[queries @ x[0] < low] @ nodes.T > 1 - 1e-9
+        return found
+
+    monkeypatch.setattr(graph_dedup, "search", lossy)
+    graph = graph_dedup._build(None, pd.DataFrame({"id": range(n), "v": list(x)}))
+    rows = graph.assign(v=list(x), node=True, w=1, cells=[[0]] * n)
+    got = graph_dedup._search(0.95)((24, 0, 0, 0), rows).sort_values("id")
+    want = truth(x, range(n))
+    assert [(a, b) for a, b in zip(got["links"], got["label"])] == [want[i] for i in range(n)]
+
+
+def test_the_audit_of_the_table_counts_a_hot_group_once(spark):
+    x = hot_and_pairs(400, 50)
+    flat = spark.createDataFrame([(i, v.tolist(), 1, 24) for i, v in enumerate(x)], "id long, v array<double>, w long, d int")
+    full = {i: links for i, (links, _) in truth(x, range(len(x))).items()}
+    sums = lambda lost: spark.createDataFrame(
+        [(i, 0 if i in lost else links) for i, links in full.items()], "id long, links long")
+    assert graph_dedup.audit(flat, sums(()), 0.95) == 1.0
+    assert graph_dedup.audit(flat, sums(range(400, 500)), 0.95) < graph_dedup.FLOOR
