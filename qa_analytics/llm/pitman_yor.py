@@ -1,24 +1,28 @@
 """Language-model scores from a hierarchical Pitman-Yor model, seated by Gibbs sampling.
 
 Tokens are the words (A-Z in lower case) and one end per text. Every token is a
-customer of the restaurant of its context, the hashed word before it (or the
-start); all context restaurants share one parent, whose customers are their
-tables, and the parent's base is uniform over the known words and one unknown.
+customer of the restaurant of its context, the word before it (or the start);
+all context restaurants share one parent, whose customers are their tables, and
+the parent's base is uniform over the known words and one unknown. Words are
+known by a 64-bit hash.
 
 Training: a pass over the training texts counts (word, context) in every task
-and adds the counts up into one row per word, so a hot word or context is
-reduced before it moves. A Gibbs sweep draws the number of tables of each dish
-in each restaurant given all other dishes: from its exact distribution
-(generalised Stirling numbers) up to `EXACT` customers, above that by seating
-them one after another, with runs of customers that open no table skipped at
-once. All that dishes share are table totals per restaurant; these few numbers
-are added up between sweeps. The draws of a sweep are a function of seeds and
-of the totals before it, so a sweep is repeated rather than stored. Predictive
-probabilities are averaged over the sweeps after the first ones.
-
-Scoring: the most frequent words (a fixed number) go to every task as a table of
-probabilities; all other tokens are joined with the model by word hash, so the
-result does not depend on which words are frequent.
+and adds the counts up into one row per pair; totals per word and per context
+are tables too, so nothing is bounded by a number of contexts. A Gibbs sweep
+draws the number of tables of each dish in each restaurant given all other
+dishes: from its exact distribution (generalised Stirling numbers) up to
+`EXACT` customers, above that by seating them one after another, with runs of
+customers that open no table skipped at once. A pair seen once has one table
+and is not drawn. Draws are a function of the pair, the sweep and the totals
+before it. Predictive probabilities are averaged over the sweeps after the
+first ones.
+
+Scoring: the most frequent pairs (a fixed number) go to every task with their
+probabilities; all other tokens are joined with the pairs, words and contexts,
+so the result does not depend on which pairs are frequent.
+
+With a number of `contexts` the words before are hashed into that many
+restaurants instead, with one row per word; the query does not use this.
 
 Discounts come from counts of counts, the strength is a parameter. Null text is
 empty: just an end. Null ids count as empty text when training texts are
@@ -28,6 +32,7 @@ ignored.
 """
 
 from array import array
+from collections import namedtuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +41,9 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import durable
+from .minhash import MIX, mix
 
-CONTEXTS = 128
-FREQUENT = 32_768
+FREQUENT, FREQUENT_PAIRS = 32_768, 500_000
 BURN_IN, SAMPLES = 1, 3
 STRENGTH = 1.0
 EXACT = 64
@@ -136,24 +141,45 @@ def stirling(most, discount):
     return log
 
 
+class Keyed:
+    """Random numbers that belong to rows, whatever batch the rows are in."""
+
+    def __init__(self, keys):
+        self.keys, self.turn = keys, np.uint64(0)
+
+    def of(self, rows):
+        return Keyed(self.keys[rows])
+
+    def random(self, n):
+        self.turn += np.uint64(1)
+        return ((mix(mix(self.keys + self.turn * MIX)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+
+    def gumbel(self, size):
+        return -np.log(-np.log(np.stack([self.random(size[0]) for _ in range(size[1])], 1)))
+
+
 def draw_tables(c, others, discount, strength, chance, rng, log):
     """Tables of dishes with `c` customers; `others`: tables of other dishes there, `chance`: the parent's probability."""
+    own = rng.of if isinstance(rng, Keyed) else lambda rows: rng
     t = np.ones(len(c), np.int64)
     for n in np.unique(c[(c > 1) & (c <= EXACT)]):
         at = np.flatnonzero(c == n)
         opened = np.arange(n)
         steps = np.log(strength + discount * (others[at, None] + opened)) + np.log(chance[at, None])
         weight = log[n, 1:n + 1] + np.cumsum(steps, axis=1)
-        t[at] = 1 + np.argmax(weight + rng.gumbel(size=weight.shape), axis=1)
+        t[at] = 1 + np.argmax(weight + own(at).gumbel(size=weight.shape), axis=1)
     at = np.flatnonzero(c > EXACT)
-    seated, left = np.ones(len(at)), np.arange(len(at))
+    seated, left, turn = np.ones(len(at)), np.arange(len(at)), 0
     while len(left):
-        rows = at[left]
+        rows, luck = at[left], own(at[left])
+        if luck is not rng:
+            luck.turn = np.uint64(turn)
+            turn += 1
         a = (strength + discount * (others[rows] + t[rows])) * chance[rows]
         old = np.maximum(seated[left] - discount * t[rows], 1e-9)
         # No new table for the next customers: chance about ((old + a) / (old + a + k)) ** a.
         with np.errstate(over="ignore"):
-            gap = np.floor((old + a) * (rng.random(len(rows)) ** (-1.0 / a) - 1.0)) + 1.0
+            gap = np.floor((old + a) * (luck.random(len(rows)) ** (-1.0 / a) - 1.0)) + 1.0
         reached = seated[left] + gap
         opens = reached <= c[rows]
         t[rows[opens]] += 1
@@ -250,8 +276,17 @@ def _predictor(facts, totals):
     return run
 
 
-def train(texts: DataFrame, text="text", contexts=CONTEXTS, burn_in=BURN_IN, samples=SAMPLES, strength=STRENGTH):
-    """The model: a table with one row per word, and a dict of what all words share (bounded by contexts x samples)."""
+def _discount(one, two):
+    return min(0.95, max(0.1, one / (one + 2 * two))) if one else 0.5
+
+
+def train(texts: DataFrame, text="text", contexts=None, burn_in=BURN_IN, samples=SAMPLES, strength=STRENGTH):
+    """The model, and a dict of what all words share.
+
+    The model is `Tables`, or with a number of `contexts` a table with one row per word.
+    """
+    if contexts is None:
+        return _train_pairs(texts, text, burn_in, samples, strength)
     counts = texts.select(F.col(f"`{text}`")).mapInArrow(_counter(contexts), "word binary, ctx int, c long")
     table = durable(counts.repartition("word").groupBy("word", "ctx").agg(F.sum("c").alias("c")).groupBy("word").agg(
         F.collect_list(F.struct("ctx", "c")).alias("p")).select("word", "p.ctx", "p.c").toDF("word", "ctxs", "cs"))
@@ -263,12 +298,9 @@ def train(texts: DataFrame, text="text", contexts=CONTEXTS, burn_in=BURN_IN, sam
         customers[r[0]], tables[r[0]] = r[1], r[2]
     few = {r[0]: r[1] for r in words}
 
-    def discount(one, two):
-        return min(0.95, max(0.1, one / (one + 2 * two))) if one else 0.5
-
     facts = {
         "N": int(customers.sum()), "V": sum(few.values()), "customers": customers, "strength": strength, "burn_in": burn_in,
-        "d1": discount(sum(r[3] for r in pairs), sum(r[4] for r in pairs)), "d0": discount(few.get(1, 0), few.get(2, 0)),
+        "d1": _discount(sum(r[3] for r in pairs), sum(r[4] for r in pairs)), "d0": _discount(few.get(1, 0), few.get(2, 0)),
     }
     totals = [{"tables": tables, "served": facts["V"]}]
     for _ in range(burn_in + samples):
@@ -289,6 +321,198 @@ def train(texts: DataFrame, text="text", contexts=CONTEXTS, burn_in=BURN_IN, sam
     return model, facts
 
 
+# ---- one restaurant per word ------------------------------------------------
+
+Tables = namedtuple("Tables", "pairs words contexts")
+
+
+def _hashed(texts, vocabulary):
+    """(word number, number of the word before, text number); number 0 is the end, and as a word before the start."""
+    numbers, _, text = _tokens(texts, vocabulary)
+    return numbers, np.append(0, numbers[:-1]), text
+
+
+def _pair_counter(room=4_000_000):
+    def rows(vocabulary, keys, counts):
+        hashes = np.array(vocabulary.hashes, np.uint64).view(np.int64)
+        for at in range(0, len(keys), 100_000):
+            part = keys[at:at + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[part >> 32]), pa.array(hashes[part & 0xFFFFFFFF]), pa.array(counts[at:at + 100_000])],
+                names=["h", "ctx", "c"])
+
+    def merged(keys, counts):
+        keys, where = np.unique(np.concatenate(keys), return_inverse=True)
+        return keys, np.bincount(where, np.concatenate(counts)).astype(np.int64)
+
+    def run(batches):
+        vocabulary, keys, counts, held = Vocabulary(1), [], [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP):
+                numbers, before, _ = _hashed(_binary(batch.column(0).slice(at, GROUP)), vocabulary)
+                k, n = np.unique(numbers << 32 | before, return_counts=True)
+                keys.append(k)
+                counts.append(n)
+                held += len(k)
+                if held > room:
+                    k, n = merged(keys, counts)
+                    keys, counts, held = [k], [n], len(k)
+                if len(vocabulary) > room // 4 or len(keys[0]) > room // 2:
+                    yield from rows(vocabulary, *merged(keys, counts))
+                    keys, counts, held = [], [], 0
+                    vocabulary.empty()
+        if keys:
+            yield from rows(vocabulary, *merged(keys, counts))
+
+    return run
+
+
+def _keys(batch, names, sweep):
+    key = np.full(batch.num_rows, sweep + 1, np.uint64)
+    for name in names:
+        key = mix(key * MIX + batch.column(name).to_numpy().view(np.uint64))
+    return Keyed(key)
+
+
+def _pair_seats(facts, sweep, kept):
+    """Pairs with new tables; what they leave to their own share is added up over the sweeps that are kept."""
+    def run(batches):
+        log = stirling(EXACT, facts["d1"])
+        for batch in batches:
+            c, t, tables, chance, share = (batch.column(x).to_numpy() for x in ("c", "t", "tables", "chance", "share"))
+            t = draw_tables(c, np.maximum(tables - t, 0), facts["d1"], facts["strength"], chance, _keys(batch, ("h", "ctx"), sweep), log)
+            share = share + np.maximum(c - facts["d1"] * t, 0) if kept else share
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h"), batch.column("ctx"), pa.array(c), pa.array(t), pa.array(share)],
+                names=["h", "ctx", "c", "t", "share"])
+
+    return run
+
+
+def _word_seats(facts, sweep, served_total):
+    def run(batches):
+        log = stirling(EXACT, facts["d0"])
+        for batch in batches:
+            n, served = batch.column("n").to_numpy(), batch.column("served").to_numpy()
+            base = np.full(len(n), 1.0 / (facts["V"] + 1))
+            served = draw_tables(n, np.maximum(served_total - served, 0), facts["d0"], facts["strength"], base,
+                                 _keys(batch, ("h",), sweep), log)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x) for x in ("h", "c", "once", "n")), pa.array(served), batch.column("parents")],
+                names=["h", "c", "once", "n", "served", "parents"])
+
+    return run
+
+
+def _train_pairs(texts, text, burn_in, samples, strength):
+    counts = texts.select(F.col(f"`{text}`")).mapInArrow(_pair_counter(), "h long, ctx long, c long")
+    pairs = durable(counts.groupBy("h", "ctx").agg(F.sum("c").alias("c")))
+    one = F.sum((F.col("c") == 1).cast("long"))
+    none = F.array().cast("array<double>")
+    words = durable(pairs.groupBy("h").agg(F.sum("c").alias("c"), one.alias("once"), F.count("*").alias("n")).select(
+        "*", F.lit(1).cast("long").alias("served"), none.alias("parents")))
+    contexts = durable(pairs.groupBy("ctx").agg(F.sum("c").alias("customers"), one.alias("once"), F.count("*").alias("tables")).select(
+        "*", none.alias("backs")))
+    few = pairs.agg(one, F.sum((F.col("c") == 2).cast("long")), F.sum("c")).first()
+    met = words.agg(F.count("*"), F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long"))).first()
+    facts = {"N": few[2] or 0, "V": met[0], "strength": strength, "samples": samples, "d1": _discount(few[0] or 0, few[1] or 0),
+             "d0": _discount(met[1] or 0, met[2] or 0), "unknown": []}
+    seated = pairs.where("c > 1").select("h", "ctx", "c", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("share"))
+    for sweep in range(burn_in + samples + 1):
+        # The parent's probabilities after the sweeps so far.
+        whole, served = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("served"), F.lit(0))).first()
+        back = (strength + facts["d0"] * served) / (strength + whole) / (facts["V"] + 1)
+        chance = F.greatest(F.col("n") - facts["d0"] * F.col("served"), F.lit(0.0)) / (strength + whole) + back
+        words = words.withColumn("chance", chance)
+        if sweep > burn_in:
+            facts["unknown"].append(back)
+            words = words.withColumn("parents", F.concat("parents", F.array("chance")))
+            left = (strength + facts["d1"] * F.col("tables")) / (strength + F.col("customers"))
+            contexts = contexts.withColumn("backs", F.concat("backs", F.array(left)))
+        if sweep == burn_in + samples:
+            break
+        known = seated.join(contexts.select("ctx", "tables"), "ctx").join(words.select("h", "chance"), "h")
+        seated = durable(known.mapInArrow(_pair_seats(facts, sweep, sweep >= burn_in), "h long, ctx long, c long, t long, share double"))
+        added = seated.groupBy("ctx").agg(F.sum("t").alias("t"))
+        contexts = durable(contexts.join(added, "ctx", "left").select(
+            "ctx", "customers", "once", (F.col("once") + F.coalesce("t", F.lit(0))).alias("tables"), "backs"))
+        added = seated.groupBy("h").agg(F.sum("t").alias("t"))
+        words = durable(words.join(added, "h", "left").select(
+            "h", "c", "once", (F.col("once") + F.coalesce("t", F.lit(0))).alias("n"), "served", "parents").mapInArrow(
+            _word_seats(facts, sweep, served), "h long, c long, once long, n long, served long, parents array<double>"))
+    shares = pairs.where("c = 1").select("h", "ctx", "c", F.lit(1 - facts["d1"]).alias("share")).unionByName(
+        seated.select("h", "ctx", "c", (F.col("share") / samples).alias("share")))
+    return Tables(shares, durable(words.select("h", F.col("c").alias("count"), "parents")),
+                  durable(contexts.select("ctx", "customers", "backs"))), facts
+
+
+def _chances(rows, model, facts, whole):
+    """`rows` (h, ctx, and a share or null) with the log10 probability `s`, that of the base `b` and a flag `k` for known words."""
+    met = rows.join(model.words, "h", "left").join(model.contexts, "ctx", "left")
+    samples, strength = facts["samples"], facts["strength"]
+    # A context that was never met leaves all to the parent.
+    parent = sum(F.coalesce(F.get("backs", F.lit(i)), F.lit(1.0)) * F.coalesce(F.get("parents", F.lit(i)), F.lit(facts["unknown"][i]))
+                 for i in range(samples)) / samples
+    own = F.coalesce(F.col("share") / (strength + F.col("customers")), F.lit(0.0))
+    return met.withColumns({
+        "s": F.log10(own + parent), "b": F.log10((F.coalesce("count", F.lit(0)) + 0.5) / F.lit(whole)),
+        "k": F.col("count").isNotNull().cast("long")})
+
+
+def _pair_scorer(shared):
+    def run(batches):
+        h, ctx, s, b = shared.value
+        code = mix(h.view(np.uint64) * MIX + ctx.view(np.uint64))
+        order = np.argsort(code)
+        code, h, ctx, s, b = code[order], h[order], ctx[order], s[order], b[order]
+        vocabulary = Vocabulary(1)
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP):
+                part = batch.slice(at, GROUP)
+                if len(vocabulary) > 1_000_000:
+                    vocabulary.empty()
+                numbers, before, text = _hashed(_binary(part.column(1)), vocabulary)
+                hashes, n = np.array(vocabulary.hashes, np.uint64), part.num_rows
+                pair, where = np.unique(numbers << 32 | before, return_inverse=True)
+                word, last = hashes[pair >> 32], hashes[pair & 0xFFFFFFFF]
+                place, known = np.zeros(len(pair), np.int64), np.zeros(len(pair), bool)
+                if len(code):
+                    place = np.minimum(np.searchsorted(code, mix(word * MIX + last)), len(code) - 1)
+                    known = (h[place] == word.view(np.int64)) & (ctx[place] == last.view(np.int64))
+                got = known[where]
+                owner, found = text[got], place[where[got]]
+                rare = where[~got]
+                offsets = pa.array(np.append(0, np.cumsum(np.bincount(text[~got], minlength=n))).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array(np.bincount(text, minlength=n)), pa.array(np.bincount(owner, minlength=n)),
+                    pa.array(np.bincount(owner, b[found], n).astype(np.float64)),
+                    pa.array(np.bincount(owner, s[found], n).astype(np.float64)),
+                    pa.ListArray.from_arrays(offsets, pa.array(word.view(np.int64)[rare])),
+                    pa.ListArray.from_arrays(offsets, pa.array(last.view(np.int64)[rare])),
+                ], names=["row", "n_tokens", "n_known", "base", "score", "rare", "ctxs"])
+
+    return run
+
+
+def _score_pairs(docs, model, facts, id, text, frequent):
+    spark, whole = docs.sparkSession, facts["N"] + 0.5 * (facts["V"] + 1)
+    top = model.pairs.orderBy(F.desc("c"), "h", "ctx").limit(frequent)
+    top = _chances(top, model, facts, whole).select("h", "ctx", "s", "b").toArrow()
+    shared = spark.sparkContext.broadcast([top[c].to_numpy() for c in ("h", "ctx", "s", "b")])
+    # Rows that agree in id and text share a key and get the same sums.
+    key = F.xxhash64(F.col(f"`{id}`"), F.col(f"`{text}`"))
+    scored = durable(docs.select(F.struct(F.col(f"`{id}`").alias("id"), key.alias("key")).alias("row"), F.col(f"`{text}`")).mapInArrow(
+        _pair_scorer(shared),
+        f"row struct<id:{docs.schema[id].dataType.simpleString()},key:bigint>, n_tokens long, n_known long, base double, "
+        "score double, rare array<bigint>, ctxs array<bigint>").select("row.id", "row.key", "n_tokens", "n_known", "base", "score",
+                                                                      "rare", "ctxs"))
+    rare = scored.select("key", F.explode(F.arrays_zip("rare", "ctxs")).alias("x")).select(
+        "key", F.col("x.rare").alias("h"), F.col("x.ctxs").alias("ctx"))
+    met = _chances(rare.join(model.pairs.select("h", "ctx", "share"), ["h", "ctx"], "left"), model, facts, whole)
+    sums = durable(met.groupBy("key").agg(F.sum("s").alias("s"), F.sum("b").alias("b"), F.sum("k").alias("k")))
+    return _summed(scored, sums, facts, id)
+
+
 # ---- scoring ----------------------------------------------------------------
 
 def _frequent(model, facts, most):
@@ -330,8 +554,11 @@ def _scorer(shared, contexts, whole):
     return run
 
 
-def score(docs: DataFrame, model: DataFrame, facts, id="doc_id", text="text", frequent=FREQUENT) -> DataFrame:
+def score(docs: DataFrame, model, facts, id="doc_id", text="text", frequent=None) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score): one row per row of `docs`."""
+    if isinstance(model, Tables):
+        return _score_pairs(docs, model, facts, id, text, FREQUENT_PAIRS if frequent is None else frequent)
+    frequent = FREQUENT if frequent is None else frequent
     spark, contexts = docs.sparkSession, len(facts["customers"]) - 1
     whole = facts["N"] + 0.5 * (facts["V"] + 1)
     shared = spark.sparkContext.broadcast(_frequent(model, facts, frequent))
@@ -355,6 +582,11 @@ def score(docs: DataFrame, model: DataFrame, facts, id="doc_id", text="text", fr
         "key", F.log10(own + parent).alias("s"), F.col("c").isNotNull().cast("long").alias("k"),
         F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(whole)).alias("b"),
     ).groupBy("key").agg(F.sum("s").alias("s"), F.sum("b").alias("b"), F.sum("k").alias("k")))
+    return _summed(scored, sums, facts, id)
+
+
+def _summed(scored, sums, facts, id):
+    """The rows of `scored` with the sums of the tokens that were joined."""
     heads = scored.select("id", "key", "n_tokens", "n_known", "base", "score")
     rows = durable(heads.groupBy("key").count())
     each = durable(sums.join(rows, "key").select("key", F.col("s") / F.col("count"), F.col("b") / F.col("count"),

@@ -93,3 +93,40 @@ def test_empty_tables(spark):
     got = by_id(py.score(frame, model, facts))
     assert (got[1].n_tokens, got[1].n_known, got[1].train_tokens, got[2].n_tokens) == (3, 0, 0, 1)
     assert py.score(frame.limit(0), model, facts).count() == 0
+
+
+@pytest.fixture(scope="module")
+def by_word(spark):
+    """600 words, each with one successor of its own."""
+    rng = random.Random(4)
+    texts = [" ".join(f"v{(at + 7 * j) % 600}" for j in range(40)) for at in (rng.randrange(600) for _ in range(300))]
+    frame = docs(spark, [*enumerate(texts), (300, "v1 v8 v15 new v22"), (301, None), (5, texts[5]), (302, "v8 v1 v3")])
+    return frame, *py.train(frame.where("doc_id < 300"))
+
+
+def test_every_word_is_a_context_of_its_own(by_word):
+    frame, model, facts = by_word
+    scored = by_id(py.score(frame, model, facts))
+    assert model.contexts.count() == 601
+    assert np.mean([scored[i].score / scored[i].n_tokens for i in range(300)]) > -0.25
+    assert scored[302].score / scored[302].n_tokens < -2
+
+
+def test_probabilities_of_every_word_context_sum_to_one(by_word):
+    _, model, facts = by_word
+    words = {r.h: np.array(r.parents) for r in model.words.collect()}
+    parents = sum(words.values()) + np.array(facts["unknown"])
+    shares = Counter()
+    for r in model.pairs.collect():
+        shares[r.ctx] += r.share
+    for r in model.contexts.collect():
+        total = shares[r.ctx] / (facts["strength"] + r.customers) + (np.array(r.backs) * parents).mean()
+        assert abs(total - 1) < 1e-9
+
+
+def test_scores_by_word_do_not_depend_on_which_pairs_are_frequent(by_word):
+    frame, model, facts = by_word
+    many, few = (sorted((r.doc_id, r.n_known, r.base_score, r.score) for r in py.score(frame, model, facts, frequent=k).collect())
+                 for k in (5000, 7))
+    assert [x[:2] for x in many] == [x[:2] for x in few]
+    assert max(abs(a[i] - b[i]) for a, b in zip(many, few) for i in (2, 3)) < 1e-9
