@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import durable
+from .common import own
 from .components import connected_components
 
 BANDS, ROWS = 42, 6
@@ -283,12 +284,19 @@ def near_duplicates(docs: DataFrame, id="doc_id", text="text", words=5, percent=
 
 
 def without_duplicates(docs: DataFrame, id="doc_id", text="text", **options) -> DataFrame:
-    """The documents that `near_duplicates` keeps, one row for each id that is kept."""
-    kept = durable(near_duplicates(docs, id, text, **options).where("kept"))
-    key = f"`{id}`"
-    once = docs.where(F.col(key).isNotNull()).join(kept.select(key).distinct(), id, "left_semi")
-    again = durable(kept.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key))
-    single = once.join(again, id, "left_anti")
-    repeated = once.join(again, id, "left_semi").dropDuplicates([id])
-    nameless = docs.where(F.col(key).isNull())
-    return single.select(docs.columns).unionByName(repeated.select(docs.columns)).unionByName(nameless)
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    A document is an id with a text, so unlike texts of one id stay side by side; rows that agree in both are one. Rows
+    without an id link with nothing, but of those with the same text one stays.
+    """
+    key = own("row_key", docs)
+    keyed = docs.withColumn(key, F.struct(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h")))
+    named, nameless = (keyed.where(x) for x in (F.col(f"`{id}`").isNotNull(), F.col(f"`{id}`").isNull()))
+    kept = durable(near_duplicates(named, key, text, **options).where("kept").groupBy(key).count())
+    single, several = (named.join(kept.where(x).select(key), key, "left_semi") for x in ("count = 1", "count > 1"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Of rows that are one document, which stays is up to a hash of their columns.
+    order = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if not f.dataType.simpleString().count("map<")))
+    once = several.unionByName(nameless).groupBy(key, F.hash(F.col(f"`{text}`"))).agg(
+        F.min_by(F.struct(*columns), order).alias(key + "_row")).select(f"{key}_row.*")
+    return single.select(*columns).unionByName(once)

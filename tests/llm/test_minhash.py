@@ -107,3 +107,14 @@ def test_connected_components(spark):
                 known[x] = both
     assert got == {x: min(s) for x, s in known.items()}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_unlike_texts_of_one_id_stay_and_copies_without_an_id_go(spark):
+    rows = [(1, "a b c d e f g"), (1, "q r s t u v w x"), (1, "q r s t u v w x"), (2, "Q r s t u v w x"), (None, "m n o p q"),
+            (None, "m n o p q"), (None, "other words than those"), (None, None), (None, None), (3, "h i j k l m"), (3, None)]
+    frame = docs(spark, rows, row_key="z")
+    kept = minhash.without_duplicates(frame)
+    assert kept.columns == frame.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted((str(i), str(t)) for i, t in [
+        (1, "a b c d e f g"), (1, "q r s t u v w x"), (None, "m n o p q"), (None, "other words than those"), (None, None),
+        (3, "h i j k l m"), (3, None)])
