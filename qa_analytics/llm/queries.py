@@ -4,7 +4,10 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import graph_dedup, html_text, minhash, mixing, packing, pii, pitman_yor, quality, token_counts, url_rules
+from . import (
+    graph_dedup, html_text, minhash, mixing, packing, pii, pitman_yor, quality, quality_classifier, spelling, token_counts,
+    turn_repair, url_rules,
+)
 from ..session import durable
 from .common import read
 from .oracle import ORACLE_SQL  # noqa: F401
@@ -85,3 +88,21 @@ def op9_quality_rules(spark, d):
 @query
 def op10_minhash_near_dedup(spark, d):
     return minhash.near_duplicates(read(spark, d, "documents"), words=3, percent=85)
+
+
+@query
+def op11_spelling_variants(spark, d):
+    return spelling.variants(read(spark, d, "documents"))
+
+
+@query
+def op12_quality_classifier(spark, d):
+    return quality_classifier.classify(
+        read(spark, d, "documents"), read(spark, d, "labels"),
+        lambda doc_id: F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 != 0)
+
+
+@query
+def op13_turn_repair(spark, d):
+    rows = read(spark, d, "conversations")
+    return turn_repair.repair(turn_repair.damage(rows), rows)
