@@ -6,20 +6,21 @@ word of largest count, if that count is at least ten times its own.
 
 Method: letters are hashed to a few symbols, so a word becomes a reduced word.
 The reduced word of a near word is at most one edit away, hence in the one-edit
-neighbourhood of the reduced word. Neighbourhoods are generated, joined with
-the reduced words of the vocabulary, and every meeting is verified on the
-original words. Each pair is written from one side only: by the longer word
-(its deletion is the other's insertion), by the word with the larger symbol at
-the replaced place, or, where both reduced words are the same, by the larger
-word. Keys are 64-bit hashes of reduced words; a collision only adds a meeting
-that the verification refuses.
+neighbourhood of the reduced word. Neighbourhoods are generated once for every
+distinct reduced word and joined with the reduced vocabulary; where two reduced
+words meet, their words are verified on the originals. Each pair is written
+from one side only: by the longer word (its deletion is the other's insertion),
+by the word with the larger symbol at the replaced place, or, where both have
+the same reduced word, by the larger word. Keys are 64-bit hashes of reduced
+words; a collision only adds a meeting that the verification refuses.
 
 Sizes: the number of symbols follows from the size of the vocabulary, so that
-reduced words of the least length are about as many as words; it changes the
-cost, not the result. A reduced word that stands for more than `BUCKET` words is
-taken out of the join and its words meet at four times as many symbols, up to
-one symbol per letter, where every reduced word stands for one word: no bucket
-is squared. Counts fold before the shuffle, and nothing is collected.
+reduced words of the least length stand for some `OCCUPANCY` words at most in
+the mean; it changes the cost, not the result. A reduced word that stands for
+more than `BUCKET` words does not take part: its words, and those that would
+meet them, meet at four times as many symbols, up to one symbol per letter,
+where every reduced word stands for one word. So no bucket is squared. Counts
+fold before the shuffle, and nothing is collected.
 
 Defined cases: a null text has no words, a null id is the empty text in the
 hash that damages a run; repeated rows count again; ties between forms go to
@@ -39,7 +40,7 @@ from ..session import durable
 from .common import lower_ascii
 
 MIN_LENGTH, MIN_COUNT, FORM_FACTOR, DAMAGE = 7, 2, 10, 31
-BUCKET = 512
+BUCKET, OCCUPANCY = 512, 128
 # All letters of a run are below this code point.
 LETTERS = 256
 # Neighbours made at a time.
@@ -68,9 +69,11 @@ def vocabulary(docs: DataFrame, min_length=MIN_LENGTH, min_count=MIN_COUNT, dama
 
 
 def symbols_for(n_words, min_length=MIN_LENGTH):
-    """The least power of two, four at least, whose reduced words of the least length are as many as words."""
-    bits = max(2, math.ceil(math.log2(max(n_words, 2)) / min_length))
-    return min(LETTERS, 1 << bits)
+    """The least number of symbols, four at least, at which reduced words of the least length stand for few words."""
+    k = 4
+    while k < LETTERS and k ** min_length * OCCUPANCY < n_words:
+        k += 1
+    return k
 
 
 def symbol_of(points, k):
@@ -144,42 +147,61 @@ def neighbour_keys(words, k):
                 yield part[rows], _sealed(changed, length), False
 
 
-def _keyed(words: DataFrame, make, k) -> DataFrame:
-    """(key, itself, word, n) of a vocabulary; `make` gives slices of positions and keys."""
+def _keyed(words: DataFrame, k) -> DataFrame:
+    """`words` (word, n, hot) with the key of each reduced word."""
 
     def keyed(batches):
         for batch in batches:
-            word, n = batch.column(0), batch.column(1)
-            for rows, keys, itself in make(word.to_pylist(), k):
-                rows = pa.array(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(np.full(len(keys), itself)), word.take(rows), n.take(rows)],
-                    names=["key", "itself", "word", "n"])
+            keys = pa.array(reduced_keys(batch.column("word").to_pylist(), k))
+            yield pa.RecordBatch.from_arrays([keys, *batch.columns], names=["key", "word", "n", "hot"])
+
+    return words.mapInArrow(keyed, "key long, word string, n long, hot boolean")
+
 
-    return words.select("word", "n").mapInArrow(keyed, "key long, itself boolean, word string, n long")
+def _neighbours(buckets: DataFrame, k) -> DataFrame:
+    """(maker, key, itself): the neighbourhood of each reduced word, made from one of its words."""
 
+    def made(batches):
+        for batch in batches:
+            makers = batch.column("key")
+            for rows, keys, itself in neighbour_keys(batch.column("word").to_pylist(), k):
+                yield pa.RecordBatch.from_arrays(
+                    [makers.take(pa.array(rows)), pa.array(keys), pa.array(np.full(len(keys), itself))],
+                    names=["maker", "key", "itself"])
 
-def _own_key(words, k):
-    yield np.arange(len(words)), reduced_keys(words, k), True
+    return buckets.select("key", F.col("members")[0]["word"].alias("word")).mapInArrow(
+        made, "maker long, key long, itself boolean")
 
 
 def near_words(words: DataFrame, symbols=None, bucket=BUCKET) -> DataFrame:
     """(a, n_a, b, n_b): every pair of near words of a vocabulary (word, n), once."""
     k = symbols or symbols_for(words.count())
-    makers, held, found = words, words, None
+    level, found = words.select("word", "n", F.lit(True).alias("hot")), None
     while True:
-        made, kept = _keyed(makers, neighbour_keys, k), _keyed(held, _own_key, k)
-        hot = durable(kept.groupBy("key").count().where(F.col("count") > bucket).select("key")) if k < LETTERS else None
+        keyed = durable(_keyed(level, k))
+        hot = durable(keyed.groupBy("key").count().where(F.col("count") > bucket).select("key")) if k < LETTERS else None
         more = hot is not None and not hot.isEmpty()
+        member = F.struct("word", "n", "hot")
         if more:
-            # The words of large buckets, and the words that would meet them, meet over more symbols.
-            held = durable(kept.join(hot, "key", "left_semi").select("word", "n"))
-            makers = durable(made.join(hot, "key", "left_semi").groupBy("word").agg(F.first("n").alias("n")))
-            kept = kept.join(hot, "key", "left_anti")
-        met = made.select("key", "itself", F.col("word").alias("a"), F.col("n").alias("n_a")).join(
-            kept.select("key", F.col("word").alias("b"), F.col("n").alias("n_b")), "key")
-        pairs = met.where((~F.col("itself") | (F.col("a") > F.col("b"))) & (F.levenshtein("a", "b", 1) == 1)).select(
-            "a", "n_a", "b", "n_b")
+            # Reduced words that meet a large bucket, from either side, take their words along.
+            one = durable(keyed.groupBy("key").agg(F.min("word").alias("word"), F.count("*").alias("size")))
+            ways = _neighbours(one.select("key", F.array(F.struct("word")).alias("members")), k)
+            large = one.where(F.col("size") > bucket).select("key")
+            out_of = ways.join(large.withColumnRenamed("key", "maker"), "maker", "left_semi").select("key")
+            into = ways.join(large, "key", "left_semi").select(F.col("maker").alias("key"))
+            close = out_of.unionByName(into).distinct()
+            level = durable(keyed.join(close, "key", "left_semi").join(
+                large.withColumn("large", F.lit(True)), "key", "left").select("word", "n", F.col("large").isNotNull().alias("hot")))
+            keyed = keyed.join(hot, "key", "left_anti")
+        buckets = durable(keyed.groupBy("key").agg(F.collect_list(member).alias("members")))
+        met = _neighbours(buckets, k).join(buckets.select("key", F.col("members").alias("others")), "key").select(
+            F.col("maker").alias("key"), "itself", "others")
+        met = met.join(buckets, "key").select("itself", "others", F.inline("members").alias("a", "n_a", "hot_a"))
+        met = met.select("itself", "a", "n_a", "hot_a", F.inline("others").alias("b", "n_b", "hot_b"))
+        # Two words whose reduced words both took part before have met before.
+        pairs = met.where(
+            (F.col("hot_a") | F.col("hot_b")) & (~F.col("itself") | (F.col("a") > F.col("b")))
+            & (F.levenshtein("a", "b", 1) == 1)).select("a", "n_a", "b", "n_b")
         found = pairs if found is None else found.unionByName(pairs)
         if not more:
             return found
@@ -206,8 +228,9 @@ def variants(docs: DataFrame, factor=FORM_FACTOR, symbols=None, bucket=BUCKET) -
     """(word, form, root, n, n_near, form_n) of every word of the texts."""
     words = durable(vocabulary(docs))
     pairs = near_words(words, symbols, bucket)
-    near = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("n_b").alias("other_n")).unionByName(
-        pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("n_a").alias("other_n")))
+    both = F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("other"), F.col("n_b").alias("other_n")),
+                   F.struct(F.col("b").alias("word"), F.col("a").alias("other"), F.col("n_a").alias("other_n")))
+    near = pairs.select(F.inline(both))
     best = near.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("order"), "other")).alias("best"))
     judged = words.join(best, "word", "left").select(

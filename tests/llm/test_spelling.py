@@ -100,7 +100,7 @@ def test_keys_of_neighbours_are_those_of_edited_words():
 
 
 def test_number_of_symbols_grows_with_the_vocabulary():
-    assert [S.symbols_for(n) for n in (0, 10, 10**4, 10**6, 10**9, 10**30)] == [4, 4, 4, 8, 32, 256]
+    assert [S.symbols_for(n) for n in (0, 10, 10**4, 10**6, 10**9, 10**30)] == [4, 4, 4, 4, 10, 256]
 
 
 def test_no_words(spark):
