@@ -1,11 +1,12 @@
 """TF-IDF keyword ranking (A14) for several text sources in one plan.
 
 The corpus is a frame (source, doc, text). Documents are tokenised inside
-their row. The first pass counts term and document frequencies per
-(source, term); its result is kept in the shared folder because both the
-document count and the vocabulary come from it. The second pass joins each
-document's terms to the vocabulary, which has at most `max_features` terms per
-source and is therefore broadcast, so only vocabulary hits are shuffled.
+their row, in both passes; no table of tokens is written. The first pass counts
+term and document frequencies per (source, term); its result is kept in the
+shared folder because both the document count and the vocabulary come from it.
+The vocabulary has at most `max_features` terms per source, so it becomes part
+of the second pass's expression: a document finds, counts, weights and
+normalises its terms inside its row, and only (source, place, share) leaves it.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -35,6 +36,8 @@ def question_texts(questions: DataFrame, sources=("title", "summary", "combined"
 def tokenised(corpus: DataFrame, stop_words=STOP_WORDS, lemmas: DataFrame = None) -> DataFrame:
     """(source, doc, row, tokens) of documents that keep a token; `row` tells repeated ids apart.
 
+    Without a lemma table a document never leaves its row.
+
     `lemmas` is an optional (token, lemma) table; unlisted tokens stay. Only
     then are tokens taken out of their row, joined and put back in order.
     """
@@ -107,23 +110,54 @@ def keyword_scores(corpus: DataFrame, max_features=MAX_FEATURES, stop_words=STOP
 
     `max_features` maps each source of the corpus to its vocabulary size.
     """
-    # Tokens are kept: the text is cleaned once, although both passes need it.
-    docs = durable(tokenised(corpus, stop_words, lemmas))
+    docs = tokenised(corpus, stop_words, lemmas)
     stats = durable(term_frequencies(docs))
-    # At most `max_features` rows per source; kept because the plan reads it twice.
-    vocabulary = F.broadcast(durable(_vocabulary(stats, max_features)))
-    hits = (
-        docs.select("source", "doc", "row", F.explode(_terms(F.col("tokens"))).alias("term"))
-        .join(vocabulary, ["source", "term"])
-        .groupBy("source", "doc", "row", "place")
-        .agg((F.count(F.lit(1)) * F.first("idf")).alias("weight"), F.first("n").alias("n"))
-    )
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("source", "doc", "row")))
-    scores = (
-        hits.withColumn("share", F.col("weight") / norm)
-        .groupBy("source", "place").agg((F.sum("share") / F.first("n")).alias("score"))
-    )
-    return scores.join(vocabulary.select("source", "place", "term"), ["source", "place"]).select("source", "term", "score")
+    # At most `max_features` rows per source, written into the expression.
+    vocabulary = _vocabulary(stats, max_features).collect()
+    spark = corpus.sparkSession
+    if not vocabulary:
+        return spark.createDataFrame([], "source string, term string, score double")
+    shares = docs.select("source", F.inline(_shares(vocabulary)).alias("place", "share"))
+    table = spark.createDataFrame([(r["source"], r["place"], r["term"], r["n"]) for r in vocabulary],
+                                  "source string, place int, term string, n long")
+    sums = shares.groupBy("source", "place").agg(F.sum("share").alias("share"))
+    # Both sides hold at most a vocabulary per source.
+    return sums.join(F.broadcast(table), ["source", "place"]).select("source", "term", (F.col("share") / F.col("n")).alias("score"))
+
+
+def _shares(vocabulary):
+    """(place, share) of a document's vocabulary terms: its weights over their length.
+
+    Places are sorted, so the number of times a term occurs is the distance
+    between the first positions of its place and of the next.
+    """
+    terms, whole = _terms(F.col("tokens")), F.array().cast("array<struct<place:int,share:double>>")
+    for source in {r["source"] for r in vocabulary}:
+        known = {r["term"]: r for r in vocabulary if r["source"] == source}
+        places = F.create_map(*[F.lit(x) for t, r in known.items() for x in (t, r["place"])])
+        idf = F.create_map(*[F.lit(x) for r in known.values() for x in (r["place"], r["idf"])])
+        found = F.sort_array(F.transform(F.filter(terms, lambda t: t.isin(list(known))), lambda t: F.try_element_at(places, t)))
+
+        def weights(found):
+            distinct = F.array_distinct(found)
+            first = F.transform(distinct, lambda p: F.array_position(found, p))
+            ends = F.concat(F.slice(first, 2, F.greatest(F.size(first) - 1, F.lit(0))), F.array(F.size(found).cast("long") + 1))
+            return F.zip_with(distinct, F.zip_with(first, ends, lambda x, y: y - x),
+                              lambda p, n: F.struct(p.alias("place"), (n * F.try_element_at(idf, p)).alias("weight")))
+
+        def normalised(weighted):
+            length = F.sqrt(F.aggregate(weighted, F.lit(0.0), lambda acc, w: acc + w["weight"] * w["weight"]))
+            return F.transform(weighted, lambda w: F.struct(w["place"].alias("place"), (w["weight"] / length).alias("share")))
+
+        # Each step is bound to a name once; an expression used twice would be evaluated twice.
+        value = _let(found, lambda f: F.when(F.size(f) > 0, _let(weights(f), normalised)))
+        whole = F.when(F.col("source") == source, value).otherwise(whole)
+    return whole
+
+
+def _let(value, use):
+    """`use(value)` with `value` evaluated once, also inside an expression."""
+    return F.transform(F.array(value), use)[0]
 
 
 def top_keywords(scores: DataFrame, limits=None) -> DataFrame:

@@ -8,7 +8,7 @@ from ..operators import (
     filters, keywords, logs as log_ops, profile, quality, refresh, report, sentiment, stats, tags, temporal, writes,
 )
 from ..session import staging_path
-from ..sources import listings, logs as log_files, payloads, tables
+from ..sources import buckets, listings, logs as log_files, payloads, tables
 from ..streaming import ingest, windows
 from . import adapters as a, analysis
 
@@ -401,6 +401,29 @@ def append_only_questions(spark, d):
     return writes.append_only_questions(a.existing(spark, d), a.incoming(spark, d), a.WRITTEN_AT)
 
 
+def _written_store(spark, d, write):
+    """The stored table after a write into its buckets."""
+    path = staging_path(spark, "store")
+    buckets.create_store(a.existing(spark, d), path)
+    write(spark, path, a.incoming(spark, d), a.WRITTEN_AT)
+    return buckets.stored_questions(spark, path)
+
+
+@query
+def store_upsert(spark, d):
+    return _written_store(spark, d, buckets.upsert_into)
+
+
+@query
+def store_update_only(spark, d):
+    return _written_store(spark, d, buckets.update_in)
+
+
+@query
+def store_append_only(spark, d):
+    return _written_store(spark, d, buckets.append_to)
+
+
 @query
 def latest_versions(spark, d):
     return writes.latest_per_key(a.all_versions(spark, d)).select("question_id", "vote_count", "tags")

@@ -24,12 +24,15 @@ def get_session(app_name="qa_analytics", master=None, **conf):
 def shared_folder(spark):
     """The cluster's shared checkpoint folder (`spark.checkpoint.dir`).
 
-    Where the session names none, a folder in the warehouse, which the driver
-    and the executors share as well, takes its place.
+    Where a local session names none, as in tests, a folder in the warehouse
+    takes its place. On a cluster that could be a folder of the driver's
+    machine, so there the setting is demanded.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_qa_steps"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
@@ -39,11 +42,27 @@ def shared_folder(spark):
 def staging_path(spark, name):
     """A fresh path below the shared folder, deleted when the application ends."""
     path = f"{shared_folder(spark).rstrip('/')}/qa-{name}-{uuid.uuid4().hex}"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    files, target = _files(spark, path)
+    files.deleteOnExit(target)
     return path
 
 
+def _files(spark, path):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark, path):
+    files, target = _files(spark, path)
+    return files.exists(target)
+
+
+def remove(spark, path):
+    """Delete a folder that no result needs any more."""
+    files, target = _files(spark, path)
+    files.delete(target, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and go on from the written table.
 

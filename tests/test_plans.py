@@ -7,7 +7,8 @@ from qa_analytics.operators import filters, keywords, tags, writes
 from qa_analytics.plans import adapters
 from qa_analytics.plans.catalog import QUERIES
 from qa_analytics.session import staging_path
-from qa_analytics.sources import tables
+from qa_analytics.sources import buckets, tables
+from qa_analytics.streaming import ingest as streams
 
 SF_DIR = "/root/testdata/sf0.001"
 STREAMS = {name for name in QUERIES if name.startswith("stream_")}
@@ -58,3 +59,24 @@ def test_text_is_cleaned_once_per_pass(spark):
     corpus = keywords.question_texts(adapters.q_docs(spark, SF_DIR), ("summary",))
     text = plan(keywords.term_frequencies(keywords.tokenised(corpus)))
     assert text.count("regexp_replace(regexp_replace(regexp_replace(") == 1
+
+
+def test_a_write_of_a_hundred_ids_reads_only_their_buckets(spark):
+    path = staging_path(spark, "plan-test") + "/questions"
+    adapters.existing(spark, SF_DIR).transform(lambda q: buckets.create_store(q, path, 256) or q)
+    ids = spark.range(100).select(F.col("id").alias("question_id"))
+    touched = buckets.touched_buckets(ids, "question_id", 256)
+    old = buckets.read_buckets(spark, path, tables.STORED_QUESTION_SCHEMA, touched)
+    text = plan(old)
+    assert len(touched) <= 100 and "PartitionFilters: [bucket#" in text and " INSET " in text.split("PartitionFilters")[1]
+    read = old.select("bucket").distinct().collect()
+    assert {r.bucket for r in read} <= set(touched)
+    assert len(old.inputFiles()) > len(old.select(F.input_file_name()).distinct().collect())
+
+
+def test_a_trigger_looks_up_ids_in_its_buckets_only(spark):
+    store = staging_path(spark, "plan-test")
+    streams.seed_store(spark, store, adapters.existing(spark, SF_DIR), adapters.authors0(spark, SF_DIR), buckets=16)
+    lines = [x for x in plan(streams.stored_ids(spark, store, 5, [3, 4])).split("\n") if "FileScan" in x]
+    assert lines and all("PartitionFilters: [bucket#" in x for x in lines)
+    assert all("ReadSchema: struct<question_id:bigint,batch_id:bigint>" in x for x in lines)

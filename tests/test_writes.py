@@ -9,7 +9,7 @@ from qa_analytics.operators import filters, refresh, writes
 from qa_analytics.plans.analysis import analyse, ingest
 from qa_analytics.schema import AUTHOR_SCHEMA, QUESTION_SCHEMA, STORED_QUESTION_SCHEMA
 from qa_analytics.session import staging_path
-from qa_analytics.sources import tables
+from qa_analytics.sources import buckets, tables
 from qa_analytics.streaming import ingest as streams, windows
 
 DAY = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -29,7 +29,7 @@ def batch(spark, *rows):
 
 
 def stored(spark, *rows):
-    return filters.with_audit(spark.createDataFrame(list(rows), QUESTION_SCHEMA), "2024-01-01")
+    return filters.with_audit(spark.createDataFrame(list(rows) or [], QUESTION_SCHEMA), "2024-01-01")
 
 
 def no_authors(spark):
@@ -256,6 +256,58 @@ def test_stream_new_only_status(spark):
     assert [(r.tag, r["count"]) for r in tags] == [("a", 9)]
 
 
+def test_fifty_triggers_keep_few_folders(spark):
+    base = staging_path(spark, "test")
+    streams.seed_store(spark, f"{base}/store", buckets=2)
+    questions, authors, most = stored(spark, question(0)).limit(0), {}, 0
+    expected = {}
+    for i in range(50):
+        rows = [question((i * 3 + j) % 11, f"v{i}", author=f"a{j}", rep=i) for j in range(3)]
+        frame = batch(spark, *rows)
+        fresh = filters.with_audit(writes.latest_per_key(frame).select(*QUESTION_SCHEMA.fieldNames()), "2024-02-01")
+        streams._write_changes(f"{base}/store", i, fresh, writes.author_updates(frame), "2024-02-01", 2)
+        streams._fold_when_due(spark, f"{base}/store", 5)
+        most = max(most, len(streams.waiting_batches(spark, f"{base}/store")))
+        expected |= {r[0]: f"v{i}" for r in rows}
+    assert most < 5
+    assert titles(streams.current_questions(spark, f"{base}/store")) == expected
+    counts = {r.author_name: (r.question_count, r.reputation) for r in streams.current_authors(spark, f"{base}/store").collect()}
+    assert counts == {f"a{j}": (50, 49) for j in range(3)}
+
+
+def test_a_batch_retried_after_its_fold_changes_nothing(spark):
+    base = staging_path(spark, "test")
+    seed = stored(spark, question(0, "seed"))
+    people = writes.upsert_authors(no_authors(spark), seed.withColumn("seq", F.col("question_id")), "2024-01-01")
+    streams.seed_store(spark, f"{base}/store", seed, people, buckets=3)
+    frame = changed(spark, 1)
+    state = lambda: (by_key(streams.current_questions(spark, f"{base}/store"), "question_id"),
+                     by_key(streams.current_authors(spark, f"{base}/store"), "author_name"))
+    streams._append_batch(frame, 0, f"{base}/store", "2024-02-01")
+    once = state()
+    for _ in range(2):
+        streams.compact(spark, f"{base}/store")
+        assert state() == once and streams.waiting_batches(spark, f"{base}/store") == []
+        streams._append_batch(frame, 0, f"{base}/store", "2024-02-01")
+        assert state() == once
+
+
+def test_rows_delivered_again_and_late_rows(spark):
+    base = staging_path(spark, "test")
+    files = arrived(spark, f"{base}/in", 2)
+    files[0].coalesce(1).write.parquet(f"{base}/in/again")
+    # A question much older than all others, and a known id with a new version.
+    late = batch(spark, question(900, "late", author="old", day=-3000), question(7, "new version", author="old"))
+    late.coalesce(1).write.parquet(f"{base}/in/late")
+    streams.stream_append(stream(spark, f"{base}/in"), f"{base}/store", f"{base}/progress", "2024-02-01", fold_after=2)
+    questions, authors = stored(spark, question(0)).limit(0), no_authors(spark)
+    for frame in (*files, late):
+        result = ingest(questions, authors, frame, "append-only", "2024-02-01")
+        questions, authors = result["questions"], result["authors"]
+    assert by_key(streams.current_questions(spark, f"{base}/store"), "question_id") == by_key(questions, "question_id")
+    assert by_key(streams.current_authors(spark, f"{base}/store"), "author_name") == by_key(authors, "author_name")
+
+
 def test_stream_windows_equal_the_batch_counts(spark):
     base = staging_path(spark, "test")
     files = arrived(spark, f"{base}/in", 4)
@@ -268,6 +320,45 @@ def test_stream_windows_equal_the_batch_counts(spark):
 
 # ---- tables -----------------------------------------------------------------
 
+def files_by_bucket(spark, path):
+    rows = spark.read.parquet(path).select("bucket", F.input_file_name().alias("file")).distinct().collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.bucket, set()).add(r.file)
+    return found
+
+
+@pytest.mark.parametrize("mode", writes.MODES)
+def test_bucketed_writes_equal_snapshots_and_touch_only_their_buckets(spark, mode):
+    path = staging_path(spark, "test") + "/questions"
+    old = stored(spark, *[question(i, "old") for i in range(200)])
+    buckets.create_store(old, path, 16)
+    new = batch(spark, question(3, "v1"), question(3, "v2"), question(150, "v1"), question(1000, "new"))
+    before = files_by_bucket(spark, path)
+    run = {"upsert": buckets.upsert_into, "update": buckets.update_in, "append-only": buckets.append_to}[mode]
+    expected = by_key(ingest(old, no_authors(spark), new, mode, "2024-02-01")["questions"], "question_id")
+    for _ in range(2):
+        run(spark, path, new, "2024-02-01", 16)
+        assert by_key(buckets.stored_questions(spark, path), "question_id") == expected
+    after = files_by_bucket(spark, path)
+    ids = {"upsert": [3, 150, 1000], "update": [3, 150], "append-only": [1000]}[mode]
+    rows = spark.createDataFrame([(i,) for i in ids], "question_id long")
+    touched = set(buckets.touched_buckets(rows, "question_id", 16))
+    assert {b for b in after if after[b] != before.get(b)} == touched
+    if mode == "append-only":
+        assert all(before[b] <= after[b] for b in before)
+
+
+def test_bucketed_writes_of_nothing_and_null_ids(spark):
+    path = staging_path(spark, "test") + "/questions"
+    buckets.create_store(stored(spark).limit(0), path, 4)
+    for run in (buckets.upsert_into, buckets.update_in, buckets.append_to):
+        run(spark, path, batch(spark), "2024-02-01", 4)
+        assert buckets.stored_questions(spark, path).count() == 0
+    buckets.upsert_into(spark, path, batch(spark, question(None, "a"), question(1, "b")), "2024-02-01", 4)
+    assert titles(buckets.stored_questions(spark, path)) == {None: "a", 1: "b"}
+
+
 def test_rows_without_arrival_order_come_before_any(spark):
     rows = spark.createDataFrame([(1, "a", None), (1, "b", 3), (2, "c", None)], "question_id long, title string, seq long")
     assert {r.question_id: r.title for r in writes.latest_per_key(rows).collect()} == {1: "b", 2: "c"}
