@@ -15,7 +15,6 @@ from ..functions.labels import KEYWORD_BANDS, band
 from ..functions.text import clean_words, combined_text, kept_tokens, once, text_or_empty
 from ..functions.word_lists import STOP_WORDS
 from ..session import durable
-from .filters import concat_batches
 
 # Vocabulary size and rows reported per source.
 MAX_FEATURES = {"title": 50, "summary": 50, "combined": 100}
@@ -87,7 +86,7 @@ def term_frequencies(docs: DataFrame) -> DataFrame:
 def _vocabulary(stats: DataFrame, max_features) -> DataFrame:
     """(source, term, place, n, idf): terms inside the document-frequency bounds, the most frequent ones kept.
 
-    One top-k per source, so no task sorts or holds more than `max_features` terms.
+    Every task keeps its first terms of a source before the ranks are taken.
     """
     n = F.col("n")
     sizes = stats.where(F.col("term").isNull()).select("source", F.col("tf").alias("n"))
@@ -97,12 +96,11 @@ def _vocabulary(stats: DataFrame, max_features) -> DataFrame:
         stats.where(F.col("term").isNotNull()).join(F.broadcast(sizes), "source")
         .where((F.col("df") >= min_df) & (F.col("df") <= max_df) & (max_df >= min_df))
     )
-    kept = concat_batches([
-        inside.where(F.col("source") == source).orderBy(F.desc("tf"), "term").limit(limit)
-        for source, limit in max_features.items()
-    ])
+    limit = F.create_map(*[F.lit(x) for item in max_features.items() for x in item])
     place = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("tf"), "term"))
-    return kept.select("source", "term", place.alias("place"), "n", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    return inside.withColumn("place", place).where(
+        F.col("place") <= F.lit(max(max_features.values()))).where(F.col("place") <= F.try_element_at(limit, F.col("source"))).select(
+        "source", "term", "place", "n", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
 def keyword_scores(corpus: DataFrame, max_features=MAX_FEATURES, stop_words=STOP_WORDS, lemmas=None) -> DataFrame:

@@ -1,5 +1,9 @@
 """Table and field profiles."""
 
+import json
+
+import pyarrow as pa
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import shorten
@@ -8,11 +12,8 @@ from ..functions.text import shorten
 NUMERIC_FIELDS = ["score", "view_count", "answer_count", "question_id"]
 DATE_FIELDS = ["created_at", "updated_at", "publication_date", "timestamp"]
 
-# Names of JSON scalar types.
-TYPE_NAMES = {
-    "BIGINT": "int", "STRING": "str", "BOOLEAN": "bool", "VOID": "NoneType",
-    "DOUBLE": "float", "FLOAT": "float", "DATE": "DateTime", "TIMESTAMP": "DateTime", "TIMESTAMP_NTZ": "DateTime",
-}
+# Distinct fields that a task holds before it passes them on.
+MOST_FIELDS = 100_000
 
 
 def _field_rows(df, fields, kind):
@@ -48,62 +49,90 @@ def size_profile(df: DataFrame) -> DataFrame:
         F.coalesce(F.avg("size"), F.lit(0.0)).alias("avg_bytes"))
 
 
-def _scalar_name(schema):
-    name = F.when(schema.startswith("DECIMAL"), "float").when(schema.startswith("OBJECT"), "dict").when(
-        schema.startswith("ARRAY"), "list")
-    for spark_name, label in TYPE_NAMES.items():
-        name = name.when(schema == spark_name, label)
-    return name.otherwise(schema)
+class _Unreadable(ValueError):
+    pass
 
 
-def _typed(leaves):
-    """type names of variant values (arrays are typed by their first element) and example texts."""
-    first = F.try_variant_get("value", "$[0]", "variant")
-    described = leaves.withColumn("schema", F.schema_of_variant("value")).withColumn(
-        "inner", F.when(F.col("schema").startswith("ARRAY"), F.coalesce(F.schema_of_variant(first), F.lit("empty"))))
-    text = F.when(F.col("schema") == "STRING", shorten(F.try_variant_get("value", "$", "string")))
-    return described.select(
-        "field_path",
-        F.when(F.col("inner").isNotNull(), F.concat(F.lit("Array["), _scalar_name(F.col("inner")), F.lit("]")))
-        .otherwise(_scalar_name(F.col("schema"))).alias("type"),
-        F.coalesce(text, F.to_json("value")).alias("example"))
+def _refuse(name):
+    raise _Unreadable(name)
+
+
+def _fields_once(pairs):
+    fields = dict(pairs)
+    if len(fields) < len(pairs):
+        raise _Unreadable("a field occurs twice")
+    return fields
 
 
-def _is_object(value):
-    return F.schema_of_variant(value).startswith("OBJECT")
+def _type_name(value):
+    """the type name of a JSON value; whole numbers beyond 64 bits are floats."""
+    if isinstance(value, int) and not isinstance(value, bool) and not -(1 << 63) <= value < 1 << 63:
+        return "float"
+    if isinstance(value, list):
+        return f"Array[{type(value[0]).__name__ if value and isinstance(value[0], list) else _type_name(value[0]) if value else 'empty'}]"
+    return type(value).__name__
 
 
-def _opened(fields: DataFrame, skip) -> DataFrame:
-    """Replace every object by its fields; other values stay, empty objects go."""
-    tvf = fields.sparkSession.tvf
-    opened = fields.withColumn("nested", _is_object(F.col("value")))
-    children = tvf.variant_explode_outer(F.when(F.col("nested"), F.col("value")).outer()).select(
-        F.col("key"), F.col("value").alias("child"))
-    rows = opened.lateralJoin(children).where(
-        F.when(F.col("nested"), F.col("key").isNotNull() & ~F.col("key").isin(skip)).otherwise(True))
-    return rows.select(
-        F.when(F.col("nested"), F.concat_ws(".", "field_path", "key")).otherwise(F.col("field_path")).alias("field_path"),
-        F.when(F.col("nested"), F.col("child")).otherwise(F.col("value")).alias("value"))
+def json_leaves(text, skip=()):
+    """(path, type, example) of every value of a JSON document that is no object; one entry without a path if it cannot be read."""
+    try:
+        open_values = [(None, json.loads(text, parse_constant=_refuse, object_pairs_hook=_fields_once))]
+    except (ValueError, RecursionError):
+        yield "", "unreadable", text
+        return
+    while open_values:
+        path, value = open_values.pop()
+        if isinstance(value, dict):
+            open_values.extend((k if path is None else f"{path}.{k}", v) for k, v in value.items() if k not in skip)
+        else:
+            example = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+            yield path, _type_name(value), example if not isinstance(value, str) or len(value) <= 50 else value[:47] + "..."
 
 
 def schema_profile(df: DataFrame, column, skip=("_id",)) -> DataFrame:
-    """(field_path, type, count, example) over JSON documents of any depth.
+    """(field_path, type, count, example) over JSON documents of any depth, in one pass.
 
-    Objects are opened level by level in one plan; a look for an object that
-    is still closed (it stops at the first) decides whether another level
-    follows. The example is the smallest value as text, shortened when it is a
-    text. Texts that are no JSON count under an empty path as `unreadable`.
+    Every task walks its documents and folds equal fields before they are
+    shuffled. The example is the smallest value as text, shortened when it is a
+    text. Texts that are no JSON (a field that occurs twice and numbers that
+    JSON does not know included) count under an empty path as `unreadable`;
+    nulls do not count.
     """
-    parsed = df.select(F.col(column).alias("doc"), F.try_parse_json(F.col(column)).alias("value"))
-    leaves = parsed.where(F.col("value").isNotNull()).select(F.lit(None).cast("string").alias("field_path"), "value")
-    while True:
-        leaves = _opened(leaves, list(skip))
-        if leaves.where(_is_object(F.col("value"))).isEmpty():
-            break
-    broken = parsed.where(F.col("value").isNull() & F.col("doc").isNotNull()).select(
-        F.lit("").alias("field_path"), F.lit("unreadable").alias("type"), shorten(F.col("doc")).alias("example"))
-    return _typed(leaves).unionByName(broken).groupBy("field_path", "type").agg(
-        F.count(F.lit(1)).alias("count"), F.min("example").alias("example"))
+    skip = frozenset(skip)
+
+    def folded(batches):
+        found = {}
+
+        def rows():
+            keys = list(found)
+            columns = [[k[0] for k in keys], [k[1] for k in keys], [found[k][0] for k in keys], [found[k][1] for k in keys]]
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds)], names=["field_path", "type", "count", "example"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                text = text.as_py()
+                if text is None:
+                    continue
+                for path, kind, example in json_leaves(text, skip):
+                    held = found.get((path, kind))
+                    if held is None:
+                        found[path, kind] = [1, example]
+                    else:
+                        held[0] += 1
+                        held[1] = min(held[1], example)
+            # Documents with ever new field names are passed on as they come.
+            if len(found) > MOST_FIELDS:
+                yield rows()
+                found.clear()
+        yield rows()
+
+    leaves = df.select(F.col(column).cast("string").alias("doc")).mapInArrow(
+        folded, "field_path string, type string, count long, example string")
+    return leaves.groupBy("field_path", "type").agg(
+        F.sum("count").alias("count"),
+        F.min(F.when(F.col("type") == "unreadable", shorten(F.col("example"))).otherwise(F.col("example"))).alias("example"))
 
 
 def schema_summary(profile: DataFrame) -> DataFrame:

@@ -35,6 +35,8 @@ def batch_numbers(ids: DataFrame, batch_size, key="question_id") -> DataFrame:
 def numeric_summary(df: DataFrame, columns) -> DataFrame:
     """One row per column: count, mean, exact median, min, max, population deviation, zeros.
 
+    A column without any value has a row of zeros.
+
     Values are counted per distinct value first; everything else works on
     those counts, so the table is read once and a frequent value is one row.
     """
@@ -75,6 +77,9 @@ def numeric_summary(df: DataFrame, columns) -> DataFrame:
         return F.max(F.when((F.col("from_rank") <= F.col(rank)) & (F.col("to_rank") > F.col(rank)), value))
 
     medians = inside.groupBy("metric").agg(((at("low") + at("high")) / 2).alias("median"))
-    return totals.join(spread, "metric").join(medians, "metric").select(
-        "metric", "total", "mean", "median", "min", "max", "std", "zeros"
-    )
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "metric string")
+    known = totals.join(spread, "metric").join(medians, "metric")
+    # One row per requested column on both sides.
+    return names.join(F.broadcast(known), "metric", "left").select("metric", *(
+        F.coalesce(c, F.lit(0)).cast("long" if c in ("total", "zeros") else "double").alias(c)
+        for c in ("total", "mean", "median", "min", "max", "std", "zeros")))

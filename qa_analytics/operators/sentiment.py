@@ -83,8 +83,8 @@ def scored(corpus: DataFrame, lexicon: DataFrame, negations=NEGATIONS) -> DataFr
     polarity = {r["word"]: r["polarity"] for r in entries if r["word"] is not None and r["polarity"] is not None}
     intensity = {r["word"]: r["intensity"] for r in entries if r["word"] is not None and r["intensity"] is not None}
     docs = corpus.select("source", "doc", once(F.when(~is_blank(F.col("text")), sentiment_tokens(F.col("text")))).alias("tokens"))
-    return docs.select("source", "doc", F.when(
-        F.col("tokens").isNotNull(), _in_row(F.col("tokens"), polarity, intensity, negations)).alias("polarity"))
+    return docs.select("source", "doc", once(F.when(
+        F.col("tokens").isNotNull(), _in_row(F.col("tokens"), polarity, intensity, negations))).alias("polarity"))
 
 
 def text_polarity(corpus: DataFrame, lexicon: DataFrame, negations=NEGATIONS) -> DataFrame:

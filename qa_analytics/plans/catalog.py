@@ -14,10 +14,6 @@ from . import adapters as a, analysis
 
 QUERIES = {}
 
-# Tables of an analysis that have rows whatever the input holds.
-ROLLED_UP = ("status", "date_range", "activity_peaks", "content_quality", "length_stats", "counter_stats", "tag_summary",
-             "activity_stats")
-
 ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
               "pages benchmark labels conversations").split()
 
@@ -656,6 +652,14 @@ def slowest_tests(spark, d):
     return log_ops.slowest_tests(log_files.log_outcomes(a.log_lines(spark, d)))
 
 
+@query
+def newest_logs(spark, d):
+    """Every event as a log file of one of four kinds, three of which count."""
+    kinds = F.array(*[F.lit(k) for k in ("run", "errors", "summary", "other")])
+    name = F.concat(F.lit("/logs/test_"), F.get(kinds, (F.col("user_id") % 4).cast("int")), F.lit("_"), "event_id", F.lit(".log"))
+    return log_files.newest_of_kind(a.table(spark, d, "events").select(name.alias("path"), F.col("ts").alias("modificationTime")))
+
+
 # ---- export ----------------------------------------------------------------
 
 @query
@@ -685,12 +689,14 @@ def exported_rows(spark, d):
 
 @query
 def empty_analysis(spark, d):
-    """The result tables of an analysis without questions: the same names, nothing in them but the roll-ups' zeros."""
+    """Every result table of an analysis without questions, with its rows as JSON texts."""
     none = a.q_events(spark, d).where("question_id < 0")
     results = analysis.analyse(none, a.all_authors(spark, d).limit(0), a.EVENTS_AS_OF)
-    return filters.concat_batches([
-        t.select(F.lit(n).alias("table")).agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows"))
-        for n, t in results.items() if n not in ROLLED_UP])
+    texts = filters.concat_batches([tables.result_rows(t, n) for n, t in results.items()])
+    every = spark.createDataFrame([(n,) for n in results], "table string")
+    # One row per result table on the left.
+    return every.join(texts, "table", "left").groupBy("table").agg(
+        F.count("result").alias("rows"), F.array_join(F.sort_array(F.collect_list("result")), ";").alias("result"))
 
 
 @query

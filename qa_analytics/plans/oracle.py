@@ -479,6 +479,11 @@ SELECT round(coalesce(avg(length(title)) FILTER (title <> ''), 0.0), 6) AS avera
   round(coalesce(avg(len(list_filter(regexp_split_to_array(summary, '\s+'), lambda w: w <> ''))) FILTER (summary <> ''), 0.0), 6)
     AS summary_word_count FROM q_docs""",
     # writes
+    "store_upsert": _UPSERTED,
+    "store_append_only": _APPENDED,
+    "store_update_only": f"""WITH {_STORE}
+SELECT {_QUESTION_OUT} FROM existing WHERE question_id NOT IN (SELECT question_id FROM fresh)
+UNION ALL SELECT {_QUESTION_OUT} FROM fresh WHERE question_id IN (SELECT question_id FROM existing)""",
     "upsert_questions": _UPSERTED,
     "update_only_questions": f"""WITH {_STORE}
 SELECT {_QUESTION_OUT} FROM existing WHERE question_id NOT IN (SELECT question_id FROM fresh)
@@ -559,9 +564,24 @@ SELECT 'comprehensive_trend_analysis' AS analysis_type, TIMESTAMP '2001-08-01' A
   || CASE WHEN event_type = 'error' THEN '' ELSE ',"share":0.5' END || '}' AS result FROM events GROUP BY event_type""",
     "exported_rows": f"""WITH {_EVENTS}
 SELECT tag, count(*) AS count FROM (SELECT unnest(tags) AS tag FROM q_events) GROUP BY tag""",
-    "empty_analysis": "SELECT name AS table, CAST(0 AS BIGINT) AS rows FROM (SELECT unnest(["
-    "'trending_tags', 'top_tags', 'hourly_patterns', 'weekday_patterns', 'monthly_patterns', 'keywords', 'sentiment', "
-    "'top_authors', 'reputation_stats', 'most_common_tags']) AS name) WHERE (SELECT count(*) FROM events) >= 0",
+    # Listings are empty; tables of one row (or one per counter) keep it: counts and numbers are 0, names and dates are left out.
+    "empty_analysis": """WITH none AS (SELECT * FROM events WHERE event_id < 0)
+SELECT name AS table, (SELECT count(*) FROM none) AS rows, '' AS result FROM (SELECT unnest([
+  'trending_tags', 'top_tags', 'hourly_patterns', 'weekday_patterns', 'monthly_patterns', 'keywords', 'sentiment', 'top_authors',
+  'most_common_tags']) AS name)
+UNION ALL SELECT col0, CAST(col1 AS BIGINT), col2 FROM (VALUES
+  ('status', 1, '{"scope":"all","status":"skipped"}'), ('date_range', 1, '{}'),
+  ('activity_peaks', 1, '{"total_questions_analyzed":0}'),
+  ('content_quality', 1, '{"summary_completeness":0.0,"technical_word_ratio":0.0,"avg_words_per_question":0.0,"technical_term_count":0,"technical_depth":0.0,"clear_questions_ratio":0.0,"questions_with_context":0}'),
+  ('length_stats', 1, '{"average_title_length":0.0,"average_summary_length":0.0,"title_word_count":0.0,"summary_word_count":0.0}'),
+  ('reputation_stats', 1, '{"mean":0.0,"median":0.0,"max":0.0,"min":0.0}'),
+  ('activity_stats', 1, '{"mean_questions_per_author":0.0,"median_questions_per_author":0.0,"most_active_count":0,"total_authors":0}'),
+  ('tag_summary', 1, '{"total_unique_tags":0,"total_tags":0,"total_questions":0,"average_tags_per_question":0.0}'),
+  ('counter_stats', 3, '{"metric":"answer_count","mean":0.0,"median":0.0,"min":0.0,"max":0.0,"std":0.0,"zero_rate":0.0};{"metric":"view_count","mean":0.0,"median":0.0,"min":0.0,"max":0.0,"std":0.0,"zero_rate":0.0};{"metric":"vote_count","mean":0.0,"median":0.0,"min":0.0,"max":0.0,"std":0.0,"zero_rate":0.0}'))""",
+    "newest_logs": """SELECT kind, path FROM (SELECT kind, path, row_number() OVER (PARTITION BY kind ORDER BY ts DESC, path DESC) AS rn
+  FROM (SELECT ts, ['run', 'errors', 'summary', 'other'][user_id % 4 + 1] AS kind,
+    '/logs/test_' || ['run', 'errors', 'summary', 'other'][user_id % 4 + 1] || '_' || event_id || '.log' AS path FROM events)
+  WHERE kind <> 'other') WHERE rn = 1""",
     "sample_members": "SELECT name AS check, (SELECT least(100, count(*)) FROM events) AS rows "
     "FROM (SELECT unnest(['members', 'drawn again']) AS name)",
     "payload_unreadable": """WITH pages AS (SELECT DISTINCT event_id // 100 AS page FROM events)

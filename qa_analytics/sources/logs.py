@@ -16,10 +16,9 @@ def read_log_lines(spark, path) -> DataFrame:
     return spark.read.text(path).select("value")
 
 
-def newest_logs(spark, folder) -> DataFrame:
-    """The newest file of each kind by modification time; file contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "test_*_*.log").load(folder)
-    kind = F.regexp_extract("path", r"/test_([a-z]+)_[^/]*\.log$", 1)
+def newest_of_kind(files: DataFrame) -> DataFrame:
+    """S12 on a listing (path, modificationTime): the newest file of each kind, the last path on ties; other names are ignored."""
+    kind = F.regexp_extract("path", r"(?:^|/)test_([a-z]+)_[^/]*\.log$", 1)
     return (
         files.select("path", "modificationTime", kind.alias("kind"))
         .where(F.col("kind").isin(list(LOG_KINDS)))
@@ -27,6 +26,11 @@ def newest_logs(spark, folder) -> DataFrame:
     )
 
 
+def newest_logs(spark, folder) -> DataFrame:
+    """The newest log file of each kind in a folder; file contents are not read."""
+    return newest_of_kind(spark.read.format("binaryFile").option("pathGlobFilter", "test_*_*.log").load(folder))
+
+
 def log_outcomes(lines: DataFrame, column="value") -> DataFrame:
     """(outcome, name, duration) of each outcome line.
 
