@@ -12,6 +12,7 @@ normalises its terms inside its row, and only (source, place, share) leaves it.
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.labels import KEYWORD_BANDS, band
+from ..functions.lemmas import noun_lemma, noun_lemmas
 from ..functions.text import clean_words, combined_text, kept_tokens, once, text_or_empty
 from ..functions.word_lists import STOP_WORDS
 from ..session import durable
@@ -35,21 +36,22 @@ def question_texts(questions: DataFrame, sources=("title", "summary", "combined"
 def tokenised(corpus: DataFrame, stop_words=STOP_WORDS, lemmas: DataFrame = None) -> DataFrame:
     """(source, doc, row, tokens) of documents that keep a token; `row` tells repeated ids apart.
 
-    Without a lemma table a document never leaves its row.
-
-    `lemmas` is an optional (token, lemma) table; unlisted tokens stay. Only
-    then are tokens taken out of their row, joined and put back in order.
+    Words become noun lemmas inside their row. `lemmas` is an optional (token,
+    lemma) table that goes before the rules; only then are tokens taken out of
+    their row, joined and put back in order.
     """
     docs = corpus.select("source", "doc", F.monotonically_increasing_id().alias("row"), once(clean_words(F.col("text"))).alias("words"))
     docs = docs.select("source", "doc", "row", once(kept_tokens(F.col("words"), stop_words)).alias("tokens"))
-    if lemmas is not None:
+    if lemmas is None:
+        docs = docs.select("source", "doc", "row", once(noun_lemmas(F.col("tokens"))).alias("tokens"))
+    else:
         table = lemmas.select(F.col("token"), F.col("lemma")).dropDuplicates(["token"])
         docs = (
             docs.select("source", "doc", "row", F.posexplode("tokens").alias("pos", "token"))
             .join(table, "token", "left")
             .groupBy("source", "doc", "row")
             .agg(F.array_sort(F.collect_list(
-                F.struct("pos", F.coalesce("lemma", "token").alias("token")))).alias("placed"))
+                F.struct("pos", F.coalesce("lemma", noun_lemma(F.col("token"))).alias("token")))).alias("placed"))
             .select("source", "doc", "row", F.col("placed.token").alias("tokens"))
             .withColumn("tokens", F.filter("tokens", lambda t: F.length(t) > 1))
         )

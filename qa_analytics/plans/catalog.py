@@ -292,6 +292,21 @@ def cleaned_text(spark, d):
                        F.md5(F.array_join(clean_tokens(F.col("text")), " ")).alias("tokens_md5"))
 
 
+@query
+def lemmatised_tokens(spark, d):
+    corpus = keywords.question_texts(a.q_docs(spark, d), ("combined",))
+    return keywords.tokenised(corpus).select(
+        F.col("doc").alias("question_id"), F.md5(F.array_join("tokens", " ")).alias("lemmas_md5"))
+
+
+@query
+def part_lemmas(spark, d):
+    """Names of parts with words that end in plurals of every kind."""
+    text = F.concat_ws(" ", F.lower("p_name"), F.lit("boxes studies children classes buses status women analyses wolves"))
+    words = a.table(spark, d, "part").select(F.col("p_partkey").alias("doc"), F.lit("part").alias("source"), text.alias("text"))
+    return keywords.tokenised(words).select(F.col("doc").alias("part"), "tokens")
+
+
 def _keywords(spark, d, source):
     corpus = keywords.question_texts(a.q_docs(spark, d), (source,))
     return keywords.top_keywords(keywords.keyword_scores(corpus, {source: keywords.MAX_FEATURES[source]}))

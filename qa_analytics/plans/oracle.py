@@ -101,6 +101,28 @@ def _tokens(text):
     return rf"list_filter(regexp_split_to_array({text}, '\s+'), lambda w: length(w) > 2 AND w NOT IN ({_quoted(STOP_WORDS)}))"
 
 
+# Spelled out again, so that a wrong entry of the library's lists shows.
+_IRREGULAR = """men man analyses analysis appendices appendix axes axis bacteria bacterium bases base calves calf children child crises
+crisis criteria criterion data data diagnoses diagnosis dice die feet foot geese goose halves half hypotheses hypothesis indices
+index knives knife leaves leaf lice louse lives life loaves loaf matrices matrix mice mouse movies movie oxen ox parentheses
+parenthesis phenomena phenomenon quizzes quiz scarves scarf schemata schema selves self sheaves sheaf shelves shelf stimuli
+stimulus syntheses synthesis teeth tooth theses thesis thieves thief ties tie vertices vertex wives wife wolves wolf caches cache
+axles axle buses bus gases gas lenses lens aliases alias statuses status viruses virus bonuses bonus sizes size prizes prize
+headaches headache mazes maze zombies zombie cookies cookie pies pie lies lie dies die""".split()
+_NO_PLURALS = """abdomen acumen alias always amen atlas bias canvas chaos christmas cosmos gas iris kudos lens mathematics news omen
+pandas perhaps physics regimen series species specimen stamen sometimes thanks towards whereas yes yours afterwards besides
+nowadays""".split()
+
+
+def _lemmas(tokens):
+    irregular = "map([" + _quoted(_IRREGULAR[::2]) + "], [" + _quoted(_IRREGULAR[1::2]) + "])"
+    return rf"""list_filter(list_transform({tokens}, lambda w: CASE
+  WHEN w IN ({_quoted(_IRREGULAR[::2])}) THEN {irregular}[w] WHEN w IN ({_quoted(_NO_PLURALS)}) THEN w
+  WHEN regexp_matches(w, '.(ss|ch|sh)es$') THEN w[:-3] WHEN regexp_matches(w, '.(x|z)es$') THEN w[:-3]
+  WHEN regexp_matches(w, '..ies$') THEN w[:-4] || 'y' WHEN regexp_matches(w, '..men$') THEN w[:-4] || 'man'
+  WHEN regexp_matches(w, '(s|u|i)s$') THEN w WHEN regexp_matches(w, '...s$') THEN w[:-2] ELSE w END), lambda w: length(w) > 1)"""
+
+
 def _corpus(*sources):
     parts = {
         "title": "SELECT 'title' AS source, question_id AS doc, title AS text FROM q_docs",
@@ -114,7 +136,7 @@ def _keywords(sources, limits):
     features = {"title": 50, "summary": 50, "combined": 100}
     case = lambda numbers: "CASE source " + " ".join(f"WHEN '{s}' THEN {numbers[s]}" for s in sources) + " END"
     return f"""WITH {_corpus(*sources)},
-docs AS (SELECT * FROM (SELECT source, doc, {_tokens('text')} AS tokens FROM corpus) WHERE len(tokens) > 0),
+docs AS (SELECT * FROM (SELECT source, doc, {_lemmas(_tokens('text'))} AS tokens FROM corpus) WHERE len(tokens) > 0),
 terms AS (
   SELECT source, doc, unnest(list_concat(tokens,
     [tokens[i] || ' ' || tokens[i + 1] for i in range(1, len(tokens))])) AS term FROM docs),
@@ -453,6 +475,12 @@ GROUP BY tag ORDER BY count DESC, tag LIMIT 20""",
     "cleaned_text": f"""WITH {_corpus('combined')}
 SELECT doc AS question_id, md5({_clean('text')}) AS clean_md5, md5(array_to_string({_tokens('text')}, ' ')) AS tokens_md5
 FROM corpus""",
+    "lemmatised_tokens": f"""WITH {_corpus('combined')}
+SELECT doc AS question_id, md5(array_to_string(tokens, ' ')) AS lemmas_md5
+FROM (SELECT doc, {_lemmas(_tokens('text'))} AS tokens FROM corpus) WHERE len(tokens) > 0""",
+    "part_lemmas": f"""WITH texts AS (SELECT p_partkey AS part,
+  lower(p_name) || ' boxes studies children classes buses status women analyses wolves' AS text FROM part)
+SELECT part, array_to_string({_lemmas(_tokens('text'))}, ',') AS tokens FROM texts""",
     "keywords_title": _keywords(["title"], {"title": 20}),
     "keywords_summary": _keywords(["summary"], {"summary": 20}),
     "keywords_combined": _keywords(["combined"], {"combined": 30}),

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from qa_analytics.operators import filters, keywords, tags, writes
+from qa_analytics.operators import filters, keywords, sentiment, tags, writes
 from qa_analytics.plans import adapters
 from qa_analytics.plans.catalog import QUERIES
 from qa_analytics.session import staging_path
@@ -80,3 +80,15 @@ def test_a_trigger_looks_up_ids_in_its_buckets_only(spark):
     lines = [x for x in plan(streams.stored_ids(spark, store, 5, [3, 4])).split("\n") if "FileScan" in x]
     assert lines and all("PartitionFilters: [bucket#" in x for x in lines)
     assert all("ReadSchema: struct<question_id:bigint,batch_id:bigint>" in x for x in lines)
+
+
+def test_texts_are_scored_in_their_row(spark):
+    corpus = spark.read.parquet(f"{SF_DIR}/documents.parquet").select(
+        F.lit("summary").alias("source"), F.col("doc_id").alias("doc"), "text")
+    lexicon = sentiment.default_lexicon(spark)
+    assert "Exchange" not in plan(sentiment.text_polarity(corpus, lexicon))
+    text = plan(sentiment.sentiment_summary(corpus, lexicon))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+    text = plan(keywords.keyword_scores(corpus, {"summary": 50}))
+    exchanges = [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "doc" not in exchanges[0] and "row" not in exchanges[0]
