@@ -1,10 +1,16 @@
 """Session set-up and tables in the shared folder."""
 
+import contextvars
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Paths of the tables that `durable` wrote, since the innermost `released` began.
+_written = contextvars.ContextVar("written", default=[])
+
+
 def get_session(app_name="qa_analytics", master=None, **conf):
     """Session with UTC timestamps and adaptive execution on."""
     builder = (
@@ -72,4 +78,26 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, "step")
     df.write.parquet(path)
+    _written.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def released(spark, make):
+    """The durable results of `make()`, a tuple of frames; the tables that it wrote on the way are deleted.
+
+    Its shuffle files go as well: Spark's cleaner frees them once the JVM has
+    collected the plans that own them.
+    """
+    inner = []
+    token = _written.set(inner)
+    try:
+        frames = make()
+    finally:
+        _written.reset(token)
+    kept = tuple(durable(f) for f in frames)
+    del frames
+    for path in inner:
+        remove(spark, path)
+    gc.collect()
+    spark._jvm.System.gc()
+    return kept
