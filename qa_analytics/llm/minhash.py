@@ -36,7 +36,7 @@ import xxhash
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import durable
+from ..session import durable, released
 from .common import own
 from .components import connected_components
 
@@ -157,7 +157,7 @@ def _few(batches, rows=256):
     held = []
     for batch in batches:
         held.append(batch)
-        if len(held) >= rows or sum(x.nbytes for x in held[-1:]) > 1 << 22:
+        if len(held) >= rows or sum(x.nbytes for x in held) > 1 << 22:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
             held = []
     if held:
@@ -265,18 +265,24 @@ def near_duplicates(docs: DataFrame, id="doc_id", text="text", words=5, percent=
     """(id, n_shingles, component_id, kept): one row per row of `docs`; see the module's text."""
     docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
-    signed = durable(docs.mapInArrow(
-        _signer(words, bands, rows), f"id {kind}, n_shingles long, k1 long, k2 long, bands array<bigint>"))
-    full = signed.where("id is not null and n_shingles > 0")
-    classes = durable(full.groupBy("k1", "k2", "n_shingles").agg(F.min("id").alias("rep")))
-    reps = full.join(classes.select(F.col("rep").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
-    reps = reps.select("id", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
-    buckets = durable(reps.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    members = durable(reps.join(buckets, "key").distinct())
-    components = _star_links(members, docs, words, percent)
-    component = durable(classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component")))
-    out = signed.select("id", "n_shingles", "k1", "k2").join(component, ["k1", "k2", "n_shingles"], "left")
+
+    def classified():
+        signed = durable(docs.mapInArrow(
+            _signer(words, bands, rows), f"id {kind}, n_shingles long, k1 long, k2 long, bands array<bigint>"))
+        full = signed.where("id is not null and n_shingles > 0")
+        classes = durable(full.groupBy("k1", "k2", "n_shingles").agg(F.min("id").alias("rep")))
+        reps = full.join(classes.select(F.col("rep").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
+        reps = reps.select("id", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
+        buckets = durable(reps.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+        members = durable(reps.join(buckets, "key").distinct())
+        components, = released(docs.sparkSession, lambda: (_star_links(members, docs, words, percent),))
+        component = classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
+            "k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component"))
+        return signed.select("id", "n_shingles", "k1", "k2"), component
+
+    # Signatures, sets and pairs are gone when the classes are known.
+    signed, component = released(docs.sparkSession, classified)
+    out = signed.join(component, ["k1", "k2", "n_shingles"], "left")
     comp = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(
         F.col("id").alias(id), "n_shingles", comp.alias("component_id"),
@@ -292,7 +298,8 @@ def without_duplicates(docs: DataFrame, id="doc_id", text="text", **options) ->
     key = own("row_key", docs)
     keyed = docs.withColumn(key, F.struct(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h")))
     named, nameless = (keyed.where(x) for x in (F.col(f"`{id}`").isNotNull(), F.col(f"`{id}`").isNull()))
-    kept = durable(near_duplicates(named, key, text, **options).where("kept").groupBy(key).count())
+    kept, = released(docs.sparkSession, lambda: (
+        near_duplicates(named, key, text, **options).where("kept").groupBy(key).count(),))
     single, several = (named.join(kept.where(x).select(key), key, "left_semi") for x in ("count = 1", "count > 1"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     # Of rows that are one document, which stays is up to a hash of their columns.

@@ -25,7 +25,7 @@ import random
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import durable
+from ..session import durable, released
 from .common import n_words, own
 
 BLOCK = 1024
@@ -164,12 +164,14 @@ def taken(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, id="doc_id", source="source", text="text", **options) -> DataFrame:
     """The mix itself: the columns of `docs`, every row as often as it is taken."""
     total, n, k1, k2 = (own(f"mix_{c}", docs) for c in ("total", "n", "k1", "k2"))
-    wanted = durable(decisions(docs, id, source, text, **options).where("total > 0 and size > 0").select(
-        F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("n").alias(n), F.col("total").alias(total)))
+    wanted, = released(docs.sparkSession, lambda: (decisions(docs, id, source, text, **options).where(
+        "total > 0 and size > 0").select(
+        F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("n").alias(n), F.col("total").alias(total)),))
     a, b = _keys(*(F.col(f"`{c}`") for c in (id, source, text)))
     rows = docs.withColumn(k1, a).withColumn(k2, b)
-    single = rows.join(wanted.where(f"{n} = 1"), [k1, k2])
-    several = rows.join(wanted.where(f"{n} > 1"), [k1, k2]).dropDuplicates([k1, k2])
+    # One kind of join at every size: the decisions, a few numbers a document, are hashed, and texts are not sorted.
+    single = rows.join(wanted.where(f"{n} = 1").hint("shuffle_hash"), [k1, k2])
+    several = rows.join(wanted.where(f"{n} > 1").hint("shuffle_hash"), [k1, k2]).dropDuplicates([k1, k2])
     return single.unionByName(several).select(
         *(f"`{c}`" for c in docs.columns), F.explode(F.sequence(F.lit(1).cast("long"), total)).alias(own("mix_i", docs))
     ).select(*(f"`{c}`" for c in docs.columns))
