@@ -36,7 +36,7 @@ BLOCKS = set(
     "tr ul".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 FURNITURE = set(
-    "head title script style noscript template iframe svg math canvas object nav footer aside form button select textarea input "
+    "head title script style noscript template iframe svg math canvas object nav footer aside button select textarea input "
     "dialog menu audio video map".split())
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
 # An element of the first kind is closed by the start of one of the second kind.
@@ -47,6 +47,7 @@ CLOSED_BY = {
     "th": {"td", "th", "tr", "tbody", "tfoot", "thead"}, "tr": {"tr", "tbody", "tfoot", "thead"}, "option": {"option"},
     "head": {"body"},
 }
+CLOSES = {name: [inner for inner, names in CLOSED_BY.items() if name in names] for name in set().union(*CLOSED_BY.values())}
 SCOPES = set("table ul ol dl div article section main aside nav footer header form body html blockquote select".split())
 # Words in a class or id that name furniture. Those of the first two kinds count only where every word of
 # the name is of one of the four kinds (`no-comments` and `social-history` are no furniture), those of the third anywhere.
@@ -60,32 +61,39 @@ HOLDER = re.compile(
     r"^(?:area|bar|block|body|bottom|box|button|buttons|container|content|form|group|icons|inner|item|left|link|links|list|outer|"
     r"right|section|site|slot|thread|top|unit|wrap|wrapper|\d+|)$")
 # Share of the page's text from which an element named as furniture is the content: reader comments often outgrow it.
-MOST = {1: 0.5, 3: 0.95}
-TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+MOST = {1: 0.5, 3: 0.95, 4: 0.9}
+# A quote starts a value only right after "="; elsewhere it is a character like any other.
+TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=(?:\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*))?)*+)>")
 PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
-ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+COMMENT_END = re.compile(r"--!?>")
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 SPACES = re.compile(r"\s+")
 SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
 def _hint(attributes, name):
-    """2: furniture; 1 (3 for reader comments): furniture unless it holds the article or most of the text; 0: neither.
+    """2: furniture; 1 (3 for reader comments, 4 for hidden parts): furniture unless it holds the article or most of the text.
+
+    0: neither.
 
     -1: an article or main element named as reader comments, which is not the article.
     """
     hint = 0
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+        if name in ("body", "html"):
+            continue
+        if key == "hidden":
             return 2
-        if key == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return 2
+        if key == "aria-hidden":
+            hint = hint or 4 * (value.lower() == "true")
+        elif key == "style":
+            hint = hint or 4 * bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif key == "role":
             if value.lower() in ROLES:
                 return 2
-        elif name not in ("body", "html"):
+        elif key in ("class", "id"):
             for own in value.split():
                 words = [word.lower() for word in SPLIT.split(own)]
                 if any(map(LIKELY.match, words)):
@@ -110,7 +118,19 @@ class Page:
     def read(self, text):
         open_, at, size, final = [0], 0, len(text), text.rfind(">")
         names, parts = self.names, self.parts
-        waiting = {}  # number of open elements by name, so that stray end tags cost nothing
+        # Places in `open_` by name, of blocks and of scopes, so that no tag looks through the open elements.
+        places, blocks, scopes = {}, [0], [0]
+
+        def cut(place):
+            """End the open elements from a place on."""
+            for node in reversed(open_[place:]):
+                places[names[node]].pop()
+                if names[node] in BLOCKS:
+                    blocks.pop()
+                if names[node] in SCOPES:
+                    scopes.pop()
+            del open_[place:]
+
         while at < size:
             start = text.find("<", at)
             if start < 0:
@@ -120,10 +140,13 @@ class Page:
                 parts[open_[-1]].append(text[at:start])
             after = text[start + 1:start + 2]
             if after == "!" or after == "?":
-                close = text.find("-->", start + 4) if text.startswith("<!--", start) else text.find(">", start)
-                if close < 0:
-                    break
-                at = close + (3 if text.startswith("<!--", start) else 1)
+                if text.startswith(("<!-->", "<!--->"), start):
+                    at = text.find(">", start) + 1
+                elif text.startswith("<!--", start):
+                    end = COMMENT_END.search(text, start + 4)
+                    at = size if end is None else end.end()
+                else:
+                    at = text.find(">", start) + 1 or size
                 continue
             if after == "/":
                 first = text[start + 2:start + 3]
@@ -144,46 +167,29 @@ class Page:
                 continue
             at, name = tag.end(), tag[2].lower()
             if tag[1]:
-                if waiting.get(name) and self.ends(open_, name):
-                    while True:
-                        last = names[open_.pop()]
-                        waiting[last] -= 1
-                        if last == name:
-                            break
+                # The end tag of an inline element does not reach over a block.
+                if places.get(name) and (name in BLOCKS or places[name][-1] > blocks[-1]):
+                    cut(places[name][-1])
                 elif name == "p":
                     self.add("p", open_[-1], 0)
                 continue
-            if name in ("html", "body") and waiting.get(name):
+            if name in ("html", "body") and places.get(name):
                 continue
-            self.close(open_, waiting, name)
+            # The start of an element ends the innermost one that it closes, up to the innermost scope.
+            closed = max((places[inner][-1] for inner in CLOSES.get(name, ()) if places.get(inner)), default=0)
+            if closed > scopes[-1]:
+                cut(closed)
             node = self.add(name, open_[-1], _hint(tag[3], name) if tag[3] else 0)
             if name in RAW:
                 end = RAW_END[name].search(text, at)
                 at = size if end is None else text.find(">", end.end()) + 1 or size
             elif name not in VOID and not (tag[3].endswith("/") and name in ("svg", "path", "use")):
                 open_.append(node)
-                waiting[name] = waiting.get(name, 0) + 1
-
-    def ends(self, open_, name):
-        """True if an end tag closes its element: that of an inline element does not reach over a block."""
-        if name in BLOCKS:
-            return True
-        for node in open_[:-64:-1]:
-            if self.names[node] == name or self.names[node] in BLOCKS:
-                return self.names[node] == name
-        return False
-
-    def close(self, open_, waiting, name):
-        """End the open elements that the start of `name` implies to end."""
-        for i in range(len(open_) - 1, 0, -1):
-            inner = self.names[open_[i]]
-            if name in CLOSED_BY.get(inner, ()):
-                for node in open_[i:]:
-                    waiting[self.names[node]] -= 1
-                del open_[i:]
-                return
-            if inner in SCOPES or len(open_) - i > 32:
-                return
+                places.setdefault(name, []).append(len(open_) - 1)
+                if name in BLOCKS:
+                    blocks.append(len(open_) - 1)
+                if name in SCOPES:
+                    scopes.append(len(open_) - 1)
 
     def add(self, name, parent, hint):
         self.names.append(name)
@@ -209,7 +215,9 @@ class Page:
             up = parents[i]
             inside[i] = inside[up] or names[i] in ("article", "main")
             likely = self.hints[i] in MOST and not article[i] and text[i] < MOST[self.hints[i]] * text[0]
-            out[i] = (out[up] or names[i] in FURNITURE or self.hints[i] == 2 or likely
+            # Server-side frameworks put a whole page into one form.
+            form = names[i] == "form" and not article[i] and text[i] < MOST[1] * text[0]
+            out[i] = (out[up] or names[i] in FURNITURE or form or self.hints[i] == 2 or likely
                       or names[i] == "header" and not inside[i] and not article[i])
         # Second pass: characters, tags, link characters and link tags of what is left.
         chars, tags, links, anchors = [0] * n, [0] * n, [0] * n, [0] * n

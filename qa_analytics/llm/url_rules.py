@@ -9,12 +9,14 @@ For all other URLs, FP-growth runs over the labelled ones: their items are host
 parts, path segments (numbers as one item), file ending and query keys, plus
 one item for a bad label. Combinations that lead to it with enough support and
 confidence are rules; a rule that a smaller one covers with the same confidence
-or more is dropped. Rules are matched by an inverted index: each is filed under
+or more is dropped (of rules with equal confidence the one with fewer tokens
+stays, those with as many stay side by side). Rules are matched by an inverted index: each is filed under
 its rarest token, URLs are looked up by their tokens, and the other tokens are
 compared for the rules found. A URL with a matching rule is blocked.
 
 Built-in expressions and Spark's own FP-growth only. Items are bounded by the
-support threshold; equal URLs are matched once. Null labels say nothing, a
+support threshold; equal URLs are matched once. Ties between rules that fit go
+to the larger support, then to the last rule in order. Null labels say nothing, a
 page with several labels is bad if one is; without labels or rules every URL
 is allowed. Repeated pages get a row each; other columns are ignored.
 """
@@ -28,6 +30,8 @@ from ..session import durable
 from .common import lower_ascii
 
 BAD = "label:bad"
+# Labelled rows that a rule needs at least.
+MIN_ROWS = 5
 
 
 def host_of(url):
@@ -60,14 +64,51 @@ def fixed_rule(host, path, rules):
     return rule, verdict
 
 
-def mine(labelled: DataFrame, min_support=0.005, min_confidence=0.7, max_tokens=3) -> DataFrame:
-    """(tokens, confidence, support) of the rules for bad URLs; `labelled` has url and bad (boolean)."""
-    items = F.concat(tokens_of(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(
-        labelled.select(items.alias("items")))
-    rules = durable(model.associationRules.where(
+def _alike(seen: DataFrame) -> DataFrame:
+    """(token, alike): tokens with the same labelled rows get the same smallest token; `seen` has row and has.
+
+    Such tokens make equal rules, so one of them stands for all while rules are
+    mined. Sets of rows are told apart by their sizes and two sums of hashes.
+    """
+    rows = seen.select("row", F.explode("has").alias("token"))
+    marked = rows.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("s"),
+        F.sum(F.xxhash64("row", F.lit("again")).cast("decimal(38,0)")).alias("z"))
+    return durable(marked.join(
+        marked.groupBy("n", "s", "z").agg(F.min("token").alias("alike")), ["n", "s", "z"]).select("token", "alike", "n"))
+
+
+def mine(labelled: DataFrame, min_support=0.005, min_confidence=0.7, max_tokens=3, min_rows=MIN_ROWS) -> DataFrame:
+    """(tokens, confidence, support) of the rules for bad URLs; `labelled` has url and bad (boolean).
+
+    A rule needs `min_rows` labelled rows as well as its support, and tokens
+    that always occur together are mined as one, so neither a small table nor
+    one long URL makes FP-growth enumerate all combinations of its tokens.
+    """
+    seen = durable(labelled.select(
+        F.monotonically_increasing_id().alias("row"), tokens_of(F.col("url")).alias("has"), "bad"))
+    support = min(1.0, max(min_support, min_rows / max(seen.count(), 1)))
+    alike = _alike(seen)
+    frequent = alike.where(F.col("n") >= min_rows)
+    kept = seen.select("row", F.explode("has").alias("token")).join(frequent, "token").groupBy("row").agg(
+        F.collect_set("alike").alias("tokens"))
+    items = F.concat(F.coalesce("tokens", F.array().cast("array<string>")),
+                     F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(
+        durable(seen.select("row", "bad").join(kept, "row", "left").select(items.alias("items"))))
+    found = durable(model.associationRules.where(
         (F.col("consequent")[0] == BAD) & (F.size("antecedent") <= max_tokens) & (F.col("lift") > 1)
     ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
+    # Every token that is mined as another takes its place in turn.
+    rules = found
+    others = alike.where("token != alike").groupBy("alike").agg(F.collect_list("token").alias("more"))
+    for place in range(max_tokens):
+        rules = rules.withColumn("alike", F.get("tokens", F.lit(place))).join(others, "alike", "left").select(
+            F.explode(F.concat(F.array("alike"), F.coalesce("more", F.array().cast("array<string>")))).alias("token"),
+            "tokens", "confidence", "support").select(
+            F.when(F.col("token").isNull(), F.col("tokens")).otherwise(F.transform(
+                "tokens", lambda t, i: F.when(i == place, F.col("token")).otherwise(t))).alias("tokens"), "confidence", "support")
+    rules = durable(rules.select(F.array_sort("tokens").alias("tokens"), "confidence", "support"))
     # Parts of a rule that are rules themselves, found by their exact tokens.
     places = [c for k in range(1, max_tokens) for c in combinations(range(max_tokens), k)]
     parts = rules.select("tokens", "confidence", F.explode(F.array(*(

@@ -69,3 +69,72 @@ def test_small_furniture_and_reader_comments_still_go():
     talk = f"<div id=comments class='comments-area'><ol><li class=comment><article class='comment-body'><p>{PARA}</p></article></ol></div>"
     page = f"<main><article><h1>Head</h1><p>{PARA}</p></article>{small}{talk * 3}</main>"
     assert html_text.main_text(page) == f"Head\n{PARA}"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body><!--><p>{PARA}</p>", PARA), (f"<body><!---><p>{PARA}</p>", PARA), (f"<p>{PARA}</p><!-- x --!><p>{PARA}", f"{PARA}\n{PARA}"),
+    (f"<p class=\"a\"\">{PARA}</p><p class=\"b\">{PARA}</p>", f"{PARA}\n{PARA}"),
+    (f"<p title=it's>{PARA}</p><p title=it's>{PARA}</p>", f"{PARA}\n{PARA}"), (f"<p title='a > b'>{PARA}</p>", PARA),
+    (f"<p title=\"see class=sidebar\">{PARA}</p>", PARA),
+    (f"<body><form action=/><nav><a>home</a></nav><div><p>{PARA}</p><p>{PARA}</p></div><footer>us</footer></form>", f"{PARA}\n{PARA}"),
+    (f"<body style='visibility:hidden'><p>{PARA}</p></body>", PARA),
+    (f"<body><div aria-hidden=true><p>{PARA}</p></div></body>", PARA),
+    (f"<body><div style='display:none'><p>Menu</p></div><div><p>{PARA}</p></div></body>", PARA),
+    ("<ul><li>one" + "<b>" * 40 + "x<li>two</ul>", "onex\ntwo")])
+def test_articles_survive_odd_markup(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_many_open_elements_stay_fast():
+    assert html_text.main_text("<b>" * 30_000 + "<ul>" + "<li>x" * 30_000).count("x") == 30_000
+
+
+def plain_content(page):
+    """The content node by the definition: every node's counts and density by walking its whole subtree."""
+    import math
+    tree = html_text.Page(page)
+    _, out = tree.content()
+    children = lambda i: [p for p in tree.parts[i] if not isinstance(p, str) and not out[p]]
+
+    def under(i):
+        return [i] + [d for c in children(i) for d in under(c)]
+
+    def chars(nodes):
+        return sum(len("".join(p.split())) for n in nodes for p in tree.parts[n] if isinstance(p, str))
+
+    def counts(i):
+        nodes = under(i)
+        links = [n for n in nodes if tree.names[n] == "a"]
+        linked = {d for n in links for d in under(n)}
+        return chars(nodes), len(nodes) - 1, chars(linked), len(linked) - (tree.names[i] == "a")
+
+    body = next((i for i, n in enumerate(tree.names) if n == "body" and not out[i]), 0)
+    c_body, _, l_body, _ = counts(body)
+
+    def density(i):
+        c, t, lc, lt = counts(i)
+        if not c:
+            return 0.0
+        t, l1, lt = max(t, 1), max(lc, 1), max(lt, 1)
+        base = math.log(c / max(c - lc, 1) * l1 + l_body / max(c_body, 1) * c + math.e)
+        return c / t * math.log(max(c / l1 * t / lt, 1.0)) / math.log(base)
+
+    sums = {i: sum(density(c) for c in children(i)) or density(i) for i in under(body)}
+    return sums, max(sums.values()), tree
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_the_largest_density_sum_is_chosen(seed):
+    import random
+    rng = random.Random(seed)
+
+    def node(depth):
+        name = rng.choice(["div", "p", "span", "a", "section"])
+        inner = "" if name == "a" else "".join(node(depth - 1) for _ in range(rng.randint(0, 3 if depth else 0)))
+        return f"<{name}>{rng.choice(['', 'word ', 'some more words here '])}{inner}</{name}>"
+
+    page = "<body>" + "".join(f"<div>{node(3)}</div>" for _ in range(3)) + "</body>"
+    sums, most, tree = plain_content(page)
+    chosen, _ = tree.content()
+    if most > 0:
+        assert max(sums[i] for i in chosen if i in sums) == pytest.approx(most)

@@ -66,6 +66,27 @@ def test_mined_rules_equal_brute_force(spark):
     assert {u for u, v in found.items() if v == "block"} == hit
 
 
+def test_long_urls_and_few_labels_end_soon(spark):
+    import time
+    start = time.time()
+    long = "http://x.org/" + "/".join(f"w{i}x" for i in range(200))
+    few = [(f"http://h{i}.org/a/b", i % 2 == 0) for i in range(10)]
+    assert url_rules.mine(spark.createDataFrame([*few, (long, True)], "url string, bad boolean")).count() == 0
+    # As many copies as a rule needs: every token of the long URL is a rule of its own, and no two together.
+    rules = url_rules.mine(spark.createDataFrame([*few, *[(long, True)] * 6], "url string, bad boolean")).collect()
+    assert {t for r in rules for t in r.tokens} >= {f"path:w{i}x" for i in range(200)} and all(len(r.tokens) == 1 for r in rules)
+    pages = spark.createDataFrame([(i, long) for i in range(6)] + [(7, long + "/" + "z" * 50_000), (8, few[0][0])], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(6)] + [(8, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages, labels, ()).collect()}
+    assert got[7] == "block" and got[8] == "allow" and time.time() - start < 60
+
+
+def test_empty_pages(spark):
+    pages = spark.createDataFrame([], "page_id long, url string")
+    labels = spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int")
+    assert url_rules.judge(pages, labels, RULES).collect() == []
+
+
 def test_plan_has_no_python(spark):
     pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     labels = spark.createDataFrame([(1, 0, 1), (1, None, None), (None, 1, 0)], "doc_id long, quality int, toxic int")
