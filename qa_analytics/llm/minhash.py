@@ -200,7 +200,8 @@ def likely(low, other, percent):
 def _star_links(members, docs, k, percent):
     """(id, component) for all linked ids; `members` has the (key, id, size) rows of buckets with company."""
     company = durable(members.groupBy("id").agg(F.sum("n").alias("score")))
-    sets = durable(hash_sets(docs.join(company, "id", "left_semi"), k))
+    # One kind of join at every size wherever texts meet ids: the ids are hashed, and texts are moved once and not sorted.
+    sets = durable(hash_sets(docs.join(company.hint("shuffle_hash"), "id", "left_semi"), k))
     open_ = members.join(company, "id").select("key", "id", "size", "score")
     best = F.max(F.struct("score", "id", "size"))
     centres = durable(open_.groupBy("key").agg(best.alias("c")).select(
@@ -300,7 +301,8 @@ def without_duplicates(docs: DataFrame, id="doc_id", text="text", **options) ->
     named, nameless = (keyed.where(x) for x in (F.col(f"`{id}`").isNotNull(), F.col(f"`{id}`").isNull()))
     kept, = released(docs.sparkSession, lambda: (
         near_duplicates(named, key, text, **options).where("kept").groupBy(key).count(),))
-    single, several = (named.join(kept.where(x).select(key), key, "left_semi") for x in ("count = 1", "count > 1"))
+    single, several = (
+        named.join(kept.where(x).select(key).hint("shuffle_hash"), key, "left_semi") for x in ("count = 1", "count > 1"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     # Of rows that are one document, which stays is up to a hash of their columns.
     order = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if not f.dataType.simpleString().count("map<")))
