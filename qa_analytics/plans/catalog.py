@@ -8,7 +8,7 @@ from ..operators import (
     filters, keywords, logs as log_ops, profile, quality, refresh, report, sentiment, stats, tags, temporal, writes,
 )
 from ..session import staging_path
-from ..sources import buckets, listings, logs as log_files, payloads, tables
+from ..sources import buckets, listings, logs as log_files, payloads, periods, tables
 from ..streaming import ingest, windows
 from . import adapters as a, analysis
 
@@ -194,6 +194,32 @@ def questions_page(spark, d):
     return filters.newest_first(a.q_events(spark, d), limit=100, skip=50).select("question_id", "publication_date", "tags")
 
 
+def _by_day(spark, d):
+    """The questions laid out by day of publication."""
+    path = staging_path(spark, "days")
+    periods.write_periods(filters.with_audit(a.q_events(spark, d), a.WRITTEN_AT), path, "day")
+    return path
+
+
+@query
+def page_by_key(spark, d):
+    path = _by_day(spark, d)
+    before = periods.last_key(periods.page_after(spark, path, 150, unit="day"))
+    return periods.page_after(spark, path, 100, before, "day").select("question_id", "publication_date", "tags")
+
+
+@query
+def page_by_number(spark, d):
+    found = periods.page_at(spark, _by_day(spark, d), 100, 5000, "day")
+    return found.select("question_id", "publication_date", "tags")
+
+
+@query
+def days_between(spark, d):
+    found = periods.published_between(spark, _by_day(spark, d), "2024-01-10 06:00:00", "2024-01-12", "day")
+    return found.select("question_id", "title", "publication_date")
+
+
 @query
 def questions_filtered(spark, d):
     found = filters.matching(a.q_events(spark, d), "vote_count >= 10 AND answer_count IN (0, 3)")

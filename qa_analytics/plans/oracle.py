@@ -431,6 +431,15 @@ SELECT author_name, question_count, CASE WHEN question_count >= 10 THEN '🔥 Tr
     "questions_page": f"""WITH {_EVENTS}
 SELECT question_id, publication_date, array_to_string(tags, ',') AS tags FROM q_events
 ORDER BY publication_date DESC NULLS LAST, question_id LIMIT 100 OFFSET 50""",
+    "page_by_key": f"""WITH {_EVENTS}
+SELECT question_id, publication_date, array_to_string(tags, ',') AS tags FROM q_events
+ORDER BY publication_date DESC NULLS LAST, question_id LIMIT 100 OFFSET 150""",
+    "page_by_number": f"""WITH {_EVENTS}
+SELECT question_id, publication_date, array_to_string(tags, ',') AS tags FROM q_events
+ORDER BY publication_date DESC NULLS LAST, question_id LIMIT 100 OFFSET 5000""",
+    "days_between": f"""WITH {_EVENTS}
+SELECT question_id, title, publication_date FROM q_events
+WHERE publication_date BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-12 00:00:00'""",
     "questions_filtered": f"""WITH {_EVENTS}
 SELECT question_id, title, vote_count, answer_count FROM q_events WHERE vote_count >= 10 AND answer_count IN (0, 3)""",
     "questions_by_ids": f"""WITH {_STORE}
