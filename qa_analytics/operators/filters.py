@@ -43,9 +43,14 @@ def field_exists(df: DataFrame, field) -> DataFrame:
     return df.where(F.col(field).isNotNull())
 
 
+def is_named(column):
+    """Whether a name is a real one; never null."""
+    return F.coalesce(~is_blank(column) & (column != UNKNOWN_AUTHOR), F.lit(False))
+
+
 def named_authors(df: DataFrame, column="author_name") -> DataFrame:
     """Rows that carry a real author name."""
-    return df.where(~is_blank(F.col(column)) & (F.col(column) != UNKNOWN_AUTHOR))
+    return df.where(is_named(F.col(column)))
 
 
 def not_blank(df: DataFrame, column) -> DataFrame:

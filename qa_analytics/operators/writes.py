@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.values import as_timestamp
 from ..schema import AUTHOR_FIELDS, QUESTION_FIELDS
-from .filters import by_ids, named_authors, not_in_ids, with_audit
+from .filters import by_ids, is_named, named_authors, not_in_ids, with_audit
 
 MODES = ("upsert", "update", "append-only")
 
@@ -108,28 +108,30 @@ def update_only_authors(authors: DataFrame, batch: DataFrame, as_of, existing: D
 def write_metrics(existing: DataFrame, authors: DataFrame, batch: DataFrame, mode) -> DataFrame:
     """M6: one row of counts for a run in `mode` against the snapshots before it.
 
-    Batch rows are counted per id and per author before any join, so a
-    repeated key is one row there. Only the first row of an unseen author is
-    "new", its further rows are "updated".
+    One pass over the batch: it is added up per id and author, marked by
+    whether the run stores it, added up per author, and all counts are taken
+    from that. A repeated key is one row in every join. Only the first row of
+    an unseen author is "new", its further rows are "updated".
     """
-    zero = F.lit(0).cast("long")
-    per_id = batch.groupBy("question_id").agg(F.count(F.lit(1)).alias("n"))
-    attempted = per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("questions_attempted"))
-    stored = effective_batch(existing, per_id, mode).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("questions_stored"))
-    per_author = author_updates(batch, existing, mode).select("author_name", F.col("rows").alias("n"))
-    known = authors.select("author_name", F.lit(True).alias("known"))
-    joined = per_author.join(known, "author_name", "left")
-    is_new = F.col("known").isNull()
+    rows = batch.groupBy("question_id", "author_name").agg(F.count(F.lit(1)).alias("n"))
+    stores = F.lit(True)
+    if mode != "upsert":
+        held = existing.select("question_id").distinct().withColumn("_held", F.lit(True))
+        rows = rows.join(held, "question_id", "left")
+        stores = F.col("_held").isNotNull() if mode == "update" else F.col("_held").isNull()
+    per_author = rows.groupBy("author_name").agg(
+        F.sum("n").alias("attempted"), F.coalesce(F.sum(F.when(stores, F.col("n"))), F.lit(0)).alias("stored"))
+    known = authors.select("author_name", F.lit(True).alias("_known"))
+    touched = is_named(F.col("author_name")) & (F.col("stored") > 0)
+    is_new = F.col("_known").isNull()
     if mode == "update":
-        new, updated = zero, F.sum(F.when(~is_new, F.col("n")))
+        new, updated = F.lit(0).cast("long"), F.when(touched & ~is_new, F.col("stored"))
     else:
-        new, updated = F.count_if(is_new), F.sum(F.col("n") - is_new.cast("long"))
-    touched = joined.agg(new.alias("authors_new"), F.coalesce(updated, F.lit(0)).alias("authors_updated"))
-    names = ("questions_attempted", "questions_stored", "authors_new", "authors_updated")
-    parts = [p.select(*[(F.col(c) if c in p.columns else zero).alias(c) for c in names])
-             for p in (attempted, stored, touched)]
-    total = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return total.agg(*[F.sum(c).alias(c) for c in names])
+        new, updated = F.count_if(touched & is_new), F.when(touched, F.col("stored") - is_new.cast("long"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return per_author.join(known, "author_name", "left").agg(
+        total("attempted").alias("questions_attempted"), total("stored").alias("questions_stored"),
+        new.alias("authors_new"), total(updated).alias("authors_updated"))
 
 
 def touched_ids(existing: DataFrame, batch: DataFrame, mode) -> DataFrame:

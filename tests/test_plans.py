@@ -92,3 +92,13 @@ def test_texts_are_scored_in_their_row(spark):
     text = plan(keywords.keyword_scores(corpus, {"summary": 50}))
     exchanges = [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 1 and "doc" not in exchanges[0] and "row" not in exchanges[0]
+
+
+@pytest.mark.parametrize("mode", writes.MODES)
+def test_write_metrics_read_the_batch_once(spark, stored, mode):
+    path = staging_path(spark, "plan-test")
+    adapters.incoming(spark, SF_DIR).write.parquet(path)
+    new = spark.read.parquet(path)
+    text = plan(writes.write_metrics(stored, adapters.authors0(spark, SF_DIR), new, mode))
+    folder = path.rsplit("/", 1)[1]
+    assert text.count(folder) == 1

@@ -117,6 +117,15 @@ def test_hot_question_and_author(spark):
     assert tuple(run["metrics"].first()) == (30_000, 30_000, 1, 29_999)
 
 
+def test_metrics_of_null_ids_and_nameless_authors(spark):
+    old = stored(spark, question(1), question(None, author="Q"))
+    people = no_authors(spark)
+    new = batch(spark, question(1, author="A"), question(1, author=None), question(2, author="A"), question(2, author=" "),
+                question(None, author="B"), question(3, author="B"))
+    found = {m: tuple(writes.write_metrics(old, people, new, m).first()) for m in writes.MODES}
+    assert found == {"upsert": (6, 6, 2, 2), "update": (6, 2, 0, 0), "append-only": (6, 4, 2, 1)}
+
+
 def test_refresh_batches(spark):
     old = stored(spark, *[question(i) for i in range(250)])
     people = writes.upsert_authors(no_authors(spark), batch(spark, question(1, author="X")), "2024-01-05")
