@@ -11,8 +11,9 @@ and adds the counts up into one row per pair; totals per word and per context
 are tables too, so nothing is bounded by a number of contexts. A Gibbs sweep
 draws the number of tables of each dish in each restaurant given all other
 dishes: from its exact distribution (generalised Stirling numbers) up to
-`EXACT` customers, above that by seating them one after another, with runs of
-customers that open no table skipped at once. A pair seen once has one table
+`EXACT` customers; above that the first ones are drawn so, with the weight of
+all that follow, and the tables opened later are a negative binomial number
+(the law's limit in continuous time). A pair seen once has one table
 and is not drawn. Draws are a function of the pair, the sweep and the totals
 before it. Predictive probabilities are averaged over the sweeps after the
 first ones.
@@ -21,9 +22,6 @@ Scoring: the most frequent pairs (a fixed number) go to every task with their
 probabilities; all other tokens are joined with the pairs, words and contexts,
 so the result does not depend on which pairs are frequent.
 
-With a number of `contexts` the words before are hashed into that many
-restaurants instead, with one row per word; the query does not use this.
-
 Discounts come from counts of counts, the strength is a parameter. Null text is
 empty: just an end. Null ids count as empty text when training texts are
 chosen. Repeated rows are trained on and scored each. An empty table gives no
@@ -43,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import durable
 from .minhash import MIX, mix
 
-FREQUENT, FREQUENT_PAIRS = 32_768, 500_000
+FREQUENT_PAIRS = 500_000
 BURN_IN, SAMPLES = 1, 3
 STRENGTH = 1.0
 EXACT = 64
@@ -52,29 +50,24 @@ END = b""
 
 
 class Vocabulary(dict):
-    """A number for each word met by the task, with its hash and, as a context, its restaurant."""
+    """A number for each word met by the task, with its hash."""
 
-    def __init__(self, contexts, extra=None):
-        self.contexts, self.extra = contexts, extra or {}
+    def __init__(self):
         self.empty()
 
     def empty(self):
         self.clear()
-        self.words, self.hashes, self.place, self.frequent = [], array("Q"), array("q"), array("q")
+        self.hashes = array("Q")
         self[END]
 
     def __missing__(self, word):
-        number = self[word] = len(self.words)
-        value = xxhash.xxh3_64_intdigest(word)
-        self.words.append(word)
-        self.hashes.append(value)
-        self.place.append(value % self.contexts)
-        self.frequent.append(self.extra.get(word, -1))
+        number = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
         return number
 
 
 def _tokens(texts, vocabulary):
-    """(word number, context, text number) of all tokens of some texts."""
+    """(word number, number of the word before, text number); number 0 is the end, and as a word before the start."""
     numbers, sizes = [], []
     for text in texts:
         words = (text or b"").lower().split()
@@ -82,53 +75,13 @@ def _tokens(texts, vocabulary):
         numbers.append(0)
         sizes.append(len(words) + 1)
     numbers = np.array(numbers, np.int64)
-    ends = np.cumsum(sizes)
-    before = np.empty_like(numbers)
-    before[1:] = np.array(vocabulary.place, np.int64)[numbers[:-1]]
-    before[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = vocabulary.contexts
-    return numbers, before, np.repeat(np.arange(len(sizes)), sizes)
+    return numbers, np.append(0, numbers[:-1]), np.repeat(np.arange(len(sizes)), sizes)
 
 
 def _binary(column):
     return column.cast(pa.binary()).to_pylist()
 
 
-def _counter(contexts, room=4_000_000):
-    width = contexts + 1
-
-    def rows(vocabulary, keys, counts):
-        words = pa.array(vocabulary.words, pa.binary()).take(pa.array(keys // width))
-        for at in range(0, len(keys), 100_000):
-            part = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays(
-                [words[part], pa.array((keys[part] % width).astype(np.int32)), pa.array(counts[part])],
-                names=["word", "ctx", "c"])
-
-    def merged(keys, counts):
-        keys, where = np.unique(np.concatenate(keys), return_inverse=True)
-        return keys, np.bincount(where, np.concatenate(counts)).astype(np.int64)
-
-    def run(batches):
-        vocabulary, keys, counts = Vocabulary(contexts), [], []
-        for batch in batches:
-            for at in range(0, batch.num_rows, GROUP):
-                numbers, before, _ = _tokens(_binary(batch.column(0).slice(at, GROUP)), vocabulary)
-                k, n = np.unique(numbers * width + before, return_counts=True)
-                keys.append(k)
-                counts.append(n)
-                if sum(map(len, keys)) > room:
-                    k, n = merged(keys, counts)
-                    keys, counts = [k], [n]
-                if len(vocabulary) > room // 4 or len(keys[0]) > room // 2:
-                    yield from rows(vocabulary, *merged(keys, counts))
-                    keys, counts = [], []
-                    vocabulary.empty()
-        if keys:
-            yield from rows(vocabulary, *merged(keys, counts))
-
-    return run
-
-
 # ---- seating ----------------------------------------------------------------
 
 def stirling(most, discount):
@@ -157,181 +110,44 @@ class Keyed:
     def gumbel(self, size):
         return -np.log(-np.log(np.stack([self.random(size[0]) for _ in range(size[1])], 1)))
 
+    def negative_binomial(self, n, p):
+        self.turn += np.uint64(1)
+        seeds = mix(self.keys + self.turn * MIX).tolist()
+        return np.array([np.random.Generator(np.random.PCG64(k)).negative_binomial(*x) for k, *x in zip(seeds, n, p)], np.int64)
+
 
 def draw_tables(c, others, discount, strength, chance, rng, log):
-    """Tables of dishes with `c` customers; `others`: tables of other dishes there, `chance`: the parent's probability."""
+    """Tables of dishes with `c` customers; `others`: tables of other dishes there, `chance`: the parent's probability.
+
+    Beyond `EXACT` customers, what tables weigh in the seatings to come is a factor per table, and the tables opened by
+    then are a linear birth process: a negative binomial number.
+    """
     own = rng.of if isinstance(rng, Keyed) else lambda rows: rng
     t = np.ones(len(c), np.int64)
-    for n in np.unique(c[(c > 1) & (c <= EXACT)]):
-        at = np.flatnonzero(c == n)
+    large = c > EXACT
+    # (first customers : all) ** discount; 1 where all seats are drawn exactly.
+    part = np.where(large, ((EXACT - 0.5) / np.maximum(c - 0.5, EXACT - 0.5)) ** discount, 1.0)
+    ahead = part / (chance * part + 1.0 - chance)
+    first = np.minimum(c, EXACT)
+    for n in np.unique(first[first > 1]):
+        at = np.flatnonzero(first == n)
         opened = np.arange(n)
-        steps = np.log(strength + discount * (others[at, None] + opened)) + np.log(chance[at, None])
+        steps = np.log(strength + discount * (others[at, None] + opened)) + np.log((chance * ahead)[at, None])
         weight = log[n, 1:n + 1] + np.cumsum(steps, axis=1)
         t[at] = 1 + np.argmax(weight + own(at).gumbel(size=weight.shape), axis=1)
-    at = np.flatnonzero(c > EXACT)
-    seated, left, turn = np.ones(len(at)), np.arange(len(at)), 0
-    while len(left):
-        rows, luck = at[left], own(at[left])
-        if luck is not rng:
-            luck.turn = np.uint64(turn)
-            turn += 1
-        a = (strength + discount * (others[rows] + t[rows])) * chance[rows]
-        old = np.maximum(seated[left] - discount * t[rows], 1e-9)
-        # No new table for the next customers: chance about ((old + a) / (old + a + k)) ** a.
-        with np.errstate(over="ignore"):
-            gap = np.floor((old + a) * (luck.random(len(rows)) ** (-1.0 / a) - 1.0)) + 1.0
-        reached = seated[left] + gap
-        opens = reached <= c[rows]
-        t[rows[opens]] += 1
-        seated[left] = reached
-        left = left[opens]
+    at = np.flatnonzero(large)
+    if len(at):
+        t[at] += own(at).negative_binomial(strength / discount + others[at] + t[at], 1.0 - chance[at] * (1.0 - part[at]))
     return t
 
 
-class Sampler:
-    """All sweeps over one batch of word rows, given the totals after the sweeps before."""
-
-    def __init__(self, facts, totals):
-        self.f, self.totals = facts, totals
-        self.logs = [stirling(EXACT, facts["d1"]), stirling(EXACT, facts["d0"])]
-
-    def chances(self, tables, served, total):
-        """The parent's probability of words with `tables` customers there at `served` tables."""
-        f, whole = self.f, total["tables"].sum()
-        back = (f["strength"] + f["d0"] * total["served"]) / (f["strength"] + whole)
-        return np.maximum(tables - f["d0"] * served, 0) / (f["strength"] + whole) + back / (f["V"] + 1)
-
-    def run(self, seed, word, ctx, c, n_words, sweeps):
-        """Yield (tables per pair, tables per word at the parent) after each sweep; the first is the start: one each."""
-        f = self.f
-        t = np.ones(len(c), np.int64)
-        served = np.ones(n_words, np.int64)
-        yield t, served
-        for k in range(sweeps):
-            rng, total = np.random.Generator(np.random.PCG64([seed, k])), self.totals[k]
-            parent = np.bincount(word, t, n_words)
-            chance = self.chances(parent, served, total)
-            t = draw_tables(c, np.maximum(total["tables"][ctx] - t, 0), f["d1"], f["strength"], chance[word], rng, self.logs[0])
-            parent = np.bincount(word, t, n_words).astype(np.int64)
-            base = np.full(n_words, 1.0 / (f["V"] + 1))
-            served = draw_tables(parent, np.maximum(total["served"] - served, 0) + np.zeros(n_words), f["d0"], f["strength"],
-                                 base, rng, self.logs[1])
-            yield t, served
-
-
-def _unpacked(batch):
-    """Word index, context and count of all pairs of a batch of word rows."""
-    ctx, c = batch.column("ctxs"), batch.column("cs")
-    word = np.repeat(np.arange(batch.num_rows), np.diff(ctx.offsets.to_numpy()))
-    return word, ctx.flatten().to_numpy(), c.flatten().to_numpy()
-
-
-def _seed(batch):
-    return xxhash.xxh3_64_intdigest(batch.column("word")[0].as_py())
-
-
-def _adder(facts, totals):
-    def run(batches):
-        sampler, width = Sampler(facts, totals), len(facts["customers"])
-        for batch in batches:
-            if batch.num_rows:
-                word, ctx, c = _unpacked(batch)
-                for t, served in sampler.run(_seed(batch), word, ctx, c, batch.num_rows, len(totals)):
-                    pass
-                tables = np.append(np.bincount(ctx, t, width), served.sum()).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(width + 1, dtype=np.int32)), pa.array(tables)], names=["ctx", "tables"])
-
-    return run
-
-
-def _predictor(facts, totals):
-    """Word rows with what their probabilities need: the parent's per sample and each context's own mean share."""
-    def run(batches):
-        sampler = Sampler(facts, totals)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            word, ctx, c = _unpacked(batch)
-            parents, own = [], np.zeros(len(c))
-            states = sampler.run(_seed(batch), word, ctx, c, batch.num_rows, len(totals) - 1)
-            for k, (t, served) in enumerate(states):
-                if k > facts["burn_in"]:
-                    parents.append(sampler.chances(np.bincount(word, t, batch.num_rows), served, totals[k]))
-                    own += np.maximum(c - facts["d1"] * t, 0) / (facts["strength"] + facts["customers"][ctx])
-            own /= len(parents)
-            offsets = batch.column("ctxs").offsets
-            offsets = pa.array(offsets.to_numpy() - offsets.to_numpy()[0])
-            words = batch.column("word").to_pylist()
-            samples = len(parents)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("word"),
-                pa.array(np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64).view(np.int64)),
-                pa.array(np.bincount(word, c, batch.num_rows).astype(np.int64)),
-                pa.ListArray.from_arrays(pa.array(np.arange(0, samples * len(words) + 1, samples, dtype=np.int32)),
-                                         pa.array(np.stack(parents, 1).ravel())),
-                pa.ListArray.from_arrays(offsets, pa.array(ctx)), pa.ListArray.from_arrays(offsets, pa.array(own)),
-            ], names=["word", "h", "c", "parents", "ctxs", "own"])
-
-    return run
-
-
 def _discount(one, two):
     return min(0.95, max(0.1, one / (one + 2 * two))) if one else 0.5
 
 
-def train(texts: DataFrame, text="text", contexts=None, burn_in=BURN_IN, samples=SAMPLES, strength=STRENGTH):
-    """The model, and a dict of what all words share.
-
-    The model is `Tables`, or with a number of `contexts` a table with one row per word.
-    """
-    if contexts is None:
-        return _train_pairs(texts, text, burn_in, samples, strength)
-    counts = texts.select(F.col(f"`{text}`")).mapInArrow(_counter(contexts), "word binary, ctx int, c long")
-    table = durable(counts.repartition("word").groupBy("word", "ctx").agg(F.sum("c").alias("c")).groupBy("word").agg(
-        F.collect_list(F.struct("ctx", "c")).alias("p")).select("word", "p.ctx", "p.c").toDF("word", "ctxs", "cs"))
-    pairs = table.select(F.explode(F.arrays_zip("ctxs", "cs")).alias("p")).groupBy(F.col("p.ctxs").alias("ctx")).agg(
-        F.sum("p.cs"), F.count("*"), F.sum((F.col("p.cs") == 1).cast("int")), F.sum((F.col("p.cs") == 2).cast("int"))).collect()
-    words = table.groupBy(F.least(F.size("ctxs"), F.lit(3)).alias("k")).count().collect()
-    customers, tables = np.zeros(contexts + 1, np.int64), np.zeros(contexts + 1, np.int64)
-    for r in pairs:
-        customers[r[0]], tables[r[0]] = r[1], r[2]
-    few = {r[0]: r[1] for r in words}
-
-    facts = {
-        "N": int(customers.sum()), "V": sum(few.values()), "customers": customers, "strength": strength, "burn_in": burn_in,
-        "d1": _discount(sum(r[3] for r in pairs), sum(r[4] for r in pairs)), "d0": _discount(few.get(1, 0), few.get(2, 0)),
-    }
-    totals = [{"tables": tables, "served": facts["V"]}]
-    for _ in range(burn_in + samples):
-        added = table.mapInArrow(_adder(facts, totals), "ctx int, tables long").groupBy("ctx").agg(F.sum("tables")).collect()
-        sums = np.zeros(contexts + 2, np.int64)
-        for r in added:
-            sums[r[0]] = r[1]
-        totals.append({"tables": sums[:-1], "served": int(sums[-1])})
-    model = durable(table.mapInArrow(
-        _predictor(facts, totals),
-        "word binary, h long, c long, parents array<double>, ctxs array<int>, own array<double>"))
-    # The share of the parent in each context, per sample, and the parent's probability of an unknown word.
-    kept = totals[burn_in + 1:]
-    facts["backs"] = np.array([
-        (strength + facts["d1"] * s["tables"]) / (strength + customers) for s in kept])
-    facts["unknown"] = np.array([
-        (strength + facts["d0"] * s["served"]) / (strength + s["tables"].sum()) / (facts["V"] + 1) for s in kept])
-    return model, facts
-
-
-# ---- one restaurant per word ------------------------------------------------
-
 Tables = namedtuple("Tables", "pairs words contexts")
 
 
-def _hashed(texts, vocabulary):
-    """(word number, number of the word before, text number); number 0 is the end, and as a word before the start."""
-    numbers, _, text = _tokens(texts, vocabulary)
-    return numbers, np.append(0, numbers[:-1]), text
-
-
 def _pair_counter(room=4_000_000):
     def rows(vocabulary, keys, counts):
         hashes = np.array(vocabulary.hashes, np.uint64).view(np.int64)
@@ -346,10 +162,10 @@ def _pair_counter(room=4_000_000):
         return keys, np.bincount(where, np.concatenate(counts)).astype(np.int64)
 
     def run(batches):
-        vocabulary, keys, counts, held = Vocabulary(1), [], [], 0
+        vocabulary, keys, counts, held = Vocabulary(), [], [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, GROUP):
-                numbers, before, _ = _hashed(_binary(batch.column(0).slice(at, GROUP)), vocabulary)
+                numbers, before, _ = _tokens(_binary(batch.column(0).slice(at, GROUP)), vocabulary)
                 k, n = np.unique(numbers << 32 | before, return_counts=True)
                 keys.append(k)
                 counts.append(n)
@@ -404,7 +220,8 @@ def _word_seats(facts, sweep, served_total):
     return run
 
 
-def _train_pairs(texts, text, burn_in, samples, strength):
+def train(texts: DataFrame, text="text", burn_in=BURN_IN, samples=SAMPLES, strength=STRENGTH):
+    """The model (`Tables`), and a dict of what all words share."""
     counts = texts.select(F.col(f"`{text}`")).mapInArrow(_pair_counter(), "h long, ctx long, c long")
     pairs = durable(counts.groupBy("h", "ctx").agg(F.sum("c").alias("c")))
     one = F.sum((F.col("c") == 1).cast("long"))
@@ -446,6 +263,8 @@ def _train_pairs(texts, text, burn_in, samples, strength):
                   durable(contexts.select("ctx", "customers", "backs"))), facts
 
 
+# ---- scoring ----------------------------------------------------------------
+
 def _chances(rows, model, facts, whole):
     """`rows` (h, ctx, and a share or null) with the log10 probability `s`, that of the base `b` and a flag `k` for known words."""
     met = rows.join(model.words, "h", "left").join(model.contexts, "ctx", "left")
@@ -465,13 +284,13 @@ def _pair_scorer(shared):
         code = mix(h.view(np.uint64) * MIX + ctx.view(np.uint64))
         order = np.argsort(code)
         code, h, ctx, s, b = code[order], h[order], ctx[order], s[order], b[order]
-        vocabulary = Vocabulary(1)
+        vocabulary = Vocabulary()
         for batch in batches:
             for at in range(0, batch.num_rows, GROUP):
                 part = batch.slice(at, GROUP)
                 if len(vocabulary) > 1_000_000:
                     vocabulary.empty()
-                numbers, before, text = _hashed(_binary(part.column(1)), vocabulary)
+                numbers, before, text = _tokens(_binary(part.column(1)), vocabulary)
                 hashes, n = np.array(vocabulary.hashes, np.uint64), part.num_rows
                 pair, where = np.unique(numbers << 32 | before, return_inverse=True)
                 word, last = hashes[pair >> 32], hashes[pair & 0xFFFFFFFF]
@@ -494,7 +313,8 @@ def _pair_scorer(shared):
     return run
 
 
-def _score_pairs(docs, model, facts, id, text, frequent):
+def score(docs: DataFrame, model, facts, id="doc_id", text="text", frequent=FREQUENT_PAIRS) -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score): one row per row of `docs`."""
     spark, whole = docs.sparkSession, facts["N"] + 0.5 * (facts["V"] + 1)
     top = model.pairs.orderBy(F.desc("c"), "h", "ctx").limit(frequent)
     top = _chances(top, model, facts, whole).select("h", "ctx", "s", "b").toArrow()
@@ -513,78 +333,6 @@ def _score_pairs(docs, model, facts, id, text, frequent):
     return _summed(scored, sums, facts, id)
 
 
-# ---- scoring ----------------------------------------------------------------
-
-def _frequent(model, facts, most):
-    """Word list and table of log10 probabilities by context, and the counts, of the `most` frequent words."""
-    rows = model.orderBy(F.desc("c"), "word").limit(most).toArrow().combine_chunks()
-    flat = {c: rows[c].combine_chunks() for c in ("parents", "ctxs", "own")}
-    backs, n = facts["backs"], rows.num_rows
-    prob = flat["parents"].flatten().to_numpy().reshape(n, len(backs)) @ backs / len(backs)
-    word = np.repeat(np.arange(n), np.diff(flat["ctxs"].offsets.to_numpy()))
-    prob[word, flat["ctxs"].flatten().to_numpy()] += flat["own"].flatten().to_numpy()
-    return {w: i for i, w in enumerate(rows["word"].to_pylist())}, np.log10(prob), rows["c"].to_numpy().astype(np.float64)
-
-
-def _scorer(shared, contexts, whole):
-    def run(batches):
-        index, logs, counts = shared.value
-        base = np.log10((counts + 0.5) / whole)
-        vocabulary = Vocabulary(contexts, index)
-        for batch in batches:
-            for at in range(0, batch.num_rows, GROUP):
-                part = batch.slice(at, GROUP)
-                if len(vocabulary) > 1_000_000:
-                    vocabulary.empty()
-                numbers, before, text = _tokens(_binary(part.column(1)), vocabulary)
-                place = np.array(vocabulary.frequent, np.int64)[numbers]
-                known, n = place >= 0, part.num_rows
-                owner = text[known]
-                rare = ~known
-                offsets = pa.array(np.append(0, np.cumsum(np.bincount(text[rare], minlength=n))).astype(np.int32))
-                hashes = np.array(vocabulary.hashes, np.uint64).view(np.int64)[numbers[rare]]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(np.bincount(text, minlength=n)), pa.array(np.bincount(owner, minlength=n)),
-                    pa.array(np.bincount(owner, base[place[known]], n).astype(np.float64)),
-                    pa.array(np.bincount(owner, logs[place[known], before[known]], n).astype(np.float64)),
-                    pa.ListArray.from_arrays(offsets, pa.array(hashes)),
-                    pa.ListArray.from_arrays(offsets, pa.array(before[rare].astype(np.int16))),
-                ], names=["row", "n_tokens", "n_known", "base", "score", "rare", "ctxs"])
-
-    return run
-
-
-def score(docs: DataFrame, model, facts, id="doc_id", text="text", frequent=None) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score): one row per row of `docs`."""
-    if isinstance(model, Tables):
-        return _score_pairs(docs, model, facts, id, text, FREQUENT_PAIRS if frequent is None else frequent)
-    frequent = FREQUENT if frequent is None else frequent
-    spark, contexts = docs.sparkSession, len(facts["customers"]) - 1
-    whole = facts["N"] + 0.5 * (facts["V"] + 1)
-    shared = spark.sparkContext.broadcast(_frequent(model, facts, frequent))
-    # Rows that agree in id and text share a key and get the same sums.
-    key = F.xxhash64(F.col(f"`{id}`"), F.col(f"`{text}`"))
-    scored = durable(docs.select(F.struct(F.col(f"`{id}`").alias("id"), key.alias("key")).alias("row"), F.col(f"`{text}`")).mapInArrow(
-        _scorer(shared, contexts, whole),
-        f"row struct<id:{docs.schema[id].dataType.simpleString()},key:bigint>, n_tokens long, n_known long, base double, "
-        "score double, rare array<bigint>, ctxs array<smallint>").select("row.id", "row.key", "n_tokens", "n_known", "base", "score",
-                                                                        "rare", "ctxs"))
-    rare = scored.select("key", F.explode(F.arrays_zip("rare", "ctxs")).alias("x")).select(
-        "key", F.col("x.rare").alias("h"), F.col("x.ctxs").cast("int").alias("ctx"))
-    samples = len(facts["backs"])
-    backs = F.array(*(F.array(*map(F.lit, column)) for column in (facts["backs"].T / samples).tolist()))
-    met = rare.join(model.select("h", "c", "parents", F.col("ctxs").alias("own_ctxs"), "own"), "h", "left")
-    place = F.array_position("own_ctxs", F.col("ctx"))
-    back = F.get(backs, F.col("ctx"))
-    parent = sum(F.get(back, i) * F.coalesce(F.get("parents", i), F.lit(float(facts["unknown"][i]))) for i in range(samples))
-    own = F.when(place > 0, F.get("own", (place - 1).cast("int"))).otherwise(0.0)
-    sums = durable(met.select(
-        "key", F.log10(own + parent).alias("s"), F.col("c").isNotNull().cast("long").alias("k"),
-        F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(whole)).alias("b"),
-    ).groupBy("key").agg(F.sum("s").alias("s"), F.sum("b").alias("b"), F.sum("k").alias("k")))
-    return _summed(scored, sums, facts, id)
-
-
 def _summed(scored, sums, facts, id):
     """The rows of `scored` with the sums of the tokens that were joined."""
     heads = scored.select("id", "key", "n_tokens", "n_known", "base", "score")

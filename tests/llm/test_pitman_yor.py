@@ -28,7 +28,7 @@ def rows(n=260):
 def trained(spark):
     frame = docs(spark, rows(), key="x", score="y")
     aside = py.held_out(frame["doc_id"])
-    return frame, *py.train(frame.where(~aside), contexts=64)
+    return frame, *py.train(frame.where(~aside))
 
 
 def tokens(text):
@@ -55,16 +55,17 @@ def test_scores_do_not_depend_on_which_words_are_frequent(trained):
     assert max(abs(a[1] - b[1]) for a, b in zip(many, few)) < 1e-9
 
 
-def test_probabilities_sum_to_one(trained):
-    _, model, facts = trained
-    rows_ = model.collect()
-    back = facts["backs"]
-    total = (back * facts["unknown"][:, None]).mean(0)
-    for r in rows_:
-        total = total + (back * np.array(r.parents)[:, None]).mean(0)
-        for ctx, own in zip(r.ctxs, r.own):
-            total[ctx] += own
-    assert np.allclose(total, 1.0, atol=1e-9)
+@pytest.mark.parametrize("which", ["trained", "by_word"])
+def test_probabilities_of_every_context_sum_to_one(request, which):
+    _, model, facts = request.getfixturevalue(which)
+    words = {r.h: np.array(r.parents) for r in model.words.collect()}
+    parents = sum(words.values()) + np.array(facts["unknown"])
+    shares = Counter()
+    for r in model.pairs.collect():
+        shares[r.ctx] += r.share
+    for r in model.contexts.collect():
+        total = shares[r.ctx] / (facts["strength"] + r.customers) + (np.array(r.backs) * parents).mean()
+        assert abs(total - 1) < 1e-9
 
 
 def test_held_out_texts_score_better_than_the_base(spark, trained):
@@ -87,6 +88,114 @@ def test_table_draws_follow_the_exact_law():
     assert 1 <= large.min() and large.max() <= 500
 
 
+class Restaurants:
+    """The same model with every customer in a seat of its own, reseated one by one."""
+
+    def __init__(self, corpus, d0, d1, strength, seed):
+        self.rng, self.d, self.strength = random.Random(seed), (d0, d1), strength
+        self.customers = [(ctx, w) for text in corpus for ctx, w in zip([b"", *text], text)]
+        self.v = len({w for _, w in self.customers})
+        self.seats, self.parent = {}, {}  # (ctx, dish) -> table sizes; dish -> table sizes
+        self.totals, self.whole = Counter(), Counter()
+        for ctx, w in self.customers:
+            self.sit(ctx, w)
+
+    def top(self, w):
+        sizes, n = self.parent.get(w, []), sum(self.whole.values())
+        own = max(sum(sizes) - self.d[0] * len(sizes), 0)
+        served = sum(map(len, self.parent.values()))
+        return (own + (self.strength + self.d[0] * served) / (self.v + 1)) / (self.strength + n)
+
+    def opened(self, ctx):
+        return self.totals[ctx, "tables"]
+
+    def chance(self, ctx, w):
+        sizes = self.seats.get((ctx, w), [])
+        own = sum(sizes) - self.d[1] * len(sizes)
+        return (own + (self.strength + self.d[1] * self.opened(ctx)) * self.top(w)) / (self.strength + self.totals[ctx])
+
+    def choose(self, sizes, d, new):
+        """A table with weight size - d, or a new one."""
+        at = self.rng.choices(range(len(sizes) + 1), [x - d for x in sizes] + [new])[0]
+        if at == len(sizes):
+            sizes.append(0)
+        sizes[at] += 1
+        return sizes[at] == 1
+
+    def sit(self, ctx, w):
+        new = (self.strength + self.d[1] * self.opened(ctx)) * self.top(w)
+        self.totals[ctx] += 1
+        if self.choose(self.seats.setdefault((ctx, w), []), self.d[1], new):
+            self.totals[ctx, "tables"] += 1
+            served = sum(map(len, self.parent.values()))
+            self.choose(self.parent.setdefault(w, []), self.d[0], (self.strength + self.d[0] * served) / (self.v + 1))
+            self.whole[w] += 1
+
+    def stand(self, sizes):
+        at = self.rng.choices(range(len(sizes)), sizes)[0]
+        sizes[at] -= 1
+        if not sizes[at]:
+            del sizes[at]
+            return True
+        return False
+
+    def sweep(self):
+        for ctx, w in self.customers:
+            self.totals[ctx] -= 1
+            if self.stand(self.seats[ctx, w]):
+                self.totals[ctx, "tables"] -= 1
+                self.whole[w] -= 1
+                self.stand(self.parent[w])
+            self.sit(ctx, w)
+
+
+def test_scores_equal_a_plain_sequential_sampler(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    texts = []
+    for _ in range(60):
+        at, text = rng.randrange(12), []
+        for _ in range(rng.randrange(1, 12)):
+            text.append(words[at])
+            at = (at * 5 + 1) % 12 if rng.random() < 0.8 else rng.randrange(12)
+        texts.append(" ".join(text))
+    asked = [*texts[:25], "w1 w1 w1", "w3 nothing w4", "", "w0 w1 w6 w7 w0"]
+    frame = docs(spark, [*enumerate(texts), *((100 + i, t) for i, t in enumerate(asked))])
+    model, facts = py.train(frame.where("doc_id < 100"), burn_in=4, samples=6)
+    got = by_id(py.score(frame.where("doc_id >= 100"), model, facts, frequent=20))
+    plain = Restaurants([tokens(t) for t in texts], facts["d0"], facts["d1"], facts["strength"], 3)
+    pairs = {(c, w) for t in asked for c, w in zip([b"", *tokens(t)], tokens(t))}
+    chance, kept = Counter(), 60
+    for k in range(20 + kept):
+        plain.sweep()
+        if k >= 20:
+            for c, w in pairs:
+                chance[c, w] += plain.chance(c, w) / kept
+    for i, t in enumerate(asked):
+        want = sum(math.log10(chance[c, w]) for c, w in zip([b"", *tokens(t)], tokens(t)))
+        assert abs(got[100 + i].score - want) < 0.04 * len(tokens(t)), t
+
+
+@pytest.mark.parametrize("c, chance", [(150, 0.0002), (150, 0.01), (150, 0.2), (1500, 0.003), (1500, 0.1)])
+def test_draws_for_many_customers_are_close_to_the_exact_law(c, chance):
+    """Above `EXACT` customers the law is taken in continuous time."""
+    d, others, n = 0.6, 40, 20_000
+    log = py.stirling(c, d)
+    t = np.arange(1, c + 1)
+    weight = log[c, 1:] + np.cumsum(np.log(1.0 + d * (others + t - 1)) + math.log(chance))
+    law = np.exp(weight - weight.max())
+    law /= law.sum()
+    mean = (law * t).sum()
+    drawn = py.draw_tables(np.full(n, c), np.full(n, others), d, 1.0, np.full(n, chance), np.random.default_rng(2), log)
+    share = np.bincount(drawn, minlength=c + 1)[1:c + 1] / n
+    print("tables by the law", mean, "drawn", drawn.mean(), "distance", abs(share - law).sum() / 2)
+    assert abs(drawn.mean() - mean) < 0.02 * mean
+    assert abs(share - law).sum() / 2 < 0.04
+    keyed = py.Keyed(np.arange(n, dtype=np.uint64))
+    again = py.draw_tables(np.full(n, c), np.full(n, others), d, 1.0, np.full(n, chance), keyed, log)
+    assert abs(again.mean() - mean) < 0.02 * mean
+
+
 def test_empty_tables(spark):
     frame = docs(spark, [(1, "a b"), (2, None)])
     model, facts = py.train(frame.limit(0))
@@ -112,18 +221,6 @@ def test_every_word_is_a_context_of_its_own(by_word):
     assert scored[302].score / scored[302].n_tokens < -2
 
 
-def test_probabilities_of_every_word_context_sum_to_one(by_word):
-    _, model, facts = by_word
-    words = {r.h: np.array(r.parents) for r in model.words.collect()}
-    parents = sum(words.values()) + np.array(facts["unknown"])
-    shares = Counter()
-    for r in model.pairs.collect():
-        shares[r.ctx] += r.share
-    for r in model.contexts.collect():
-        total = shares[r.ctx] / (facts["strength"] + r.customers) + (np.array(r.backs) * parents).mean()
-        assert abs(total - 1) < 1e-9
-
-
 def test_scores_by_word_do_not_depend_on_which_pairs_are_frequent(by_word):
     frame, model, facts = by_word
     many, few = (sorted((r.doc_id, r.n_known, r.base_score, r.score) for r in py.score(frame, model, facts, frequent=k).collect())
