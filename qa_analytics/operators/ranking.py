@@ -1,14 +1,19 @@
 """Total orders over unbounded tables: row positions and exact medians.
 
-Both sort with Spark's range partitioning, keep the sorted rows in the shared
-folder and work out each partition's offset from one small row per partition.
-No task ever sees more than its own range.
+Positions: rows are sorted with Spark's range partitioning and kept in the
+shared folder, and each partition's offset comes from one small row per
+partition; no task sees more than its own range. Medians need no sort: a sketch
+encloses the middle, and only what it encloses is counted value by value.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import durable
 
+# Shares of the rows that enclose the median, ten times farther apart than a sketch of 1 / SKETCH errs.
+BRACKET, SKETCH, SLOTS = (0.499, 0.501), 10_000, 4096
+
+
 def _sorted_with_slot(df: DataFrame, order) -> DataFrame:
     """The sorted table with its partition and a number that rises inside each."""
     return durable(df.orderBy(*order).select(
@@ -37,49 +42,46 @@ def numeric_summary(df: DataFrame, columns) -> DataFrame:
 
     A column without any value has a row of zeros.
 
-    Values are counted per distinct value first; everything else works on
-    those counts, so the table is read once and a frequent value is one row.
+    A first pass takes all figures but the median, and from a sketch two values
+    that enclose it. A second pass counts what lies below them and how often
+    each value between them occurs; these counts are dealt to `SLOTS` slots of
+    equal width, and only the one or two slots that hold the middle are put in
+    order. The sketch bounds the work, not the result. Nothing runs while the
+    plan is made and nothing is written.
     """
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
-    ])
-    counts = (
-        df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-        .groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    counts = _sorted_with_slot(counts, ("metric", "value"))
-    value, n = F.col("value"), F.col("n")
-
-    totals = counts.groupBy("metric").agg(
-        F.sum("n").alias("total"), (F.sum(value * n) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.coalesce(F.sum(F.when(value == 0, n)), F.lit(0)).alias("zeros"),
-    )
-    # `totals` has one row per requested column, `parts` one per sorted partition.
-    spread = counts.join(F.broadcast(totals), "metric").groupBy("metric").agg(
-        F.sqrt(F.sum(n * F.pow(value - F.col("mean"), 2)) / F.first("total")).alias("std")
-    )
-    running = Window.partitionBy("metric").orderBy("_part")
-    parts = counts.groupBy("metric", "_part").agg(F.sum("n").alias("part_n")).select(
-        "metric", "_part",
-        (F.sum("part_n").over(running) - F.col("part_n")).alias("start"),
-        F.sum("part_n").over(running).alias("stop"),
-        F.sum("part_n").over(Window.partitionBy("metric")).alias("total"),
-    )
+    def facts(c):
+        v = F.col(f"`{c}`").cast("double")
+        sketch = F.percentile_approx(v, list(BRACKET), SKETCH)
+        few = F.count(v) <= SKETCH
+        return F.struct(
+            F.lit(c).alias("metric"), F.count(v).alias("total"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
+            F.stddev_pop(v).alias("std"), F.count_if(v == 0).alias("zeros"),
+            F.when(few, F.min(v)).otherwise(F.get(sketch, F.lit(0))).alias("lo"),
+            F.when(few, F.max(v)).otherwise(F.get(sketch, F.lit(1))).alias("hi"))
+
+    known = df.agg(F.array(*map(facts, columns)).alias("all")).select(F.inline("all"))
+    pairs = df.select(F.inline(F.array(*(
+        F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns))))
+    # `known` has one row per requested column. Null stands for all values below the enclosed ones.
+    near = pairs.join(F.broadcast(known.select("metric", "total", "lo", "hi")), "metric").where("value <= hi")
+    counts = near.groupBy("metric", "total", "lo", "hi", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("value")).agg(
+        F.count("*").alias("n"))
+    slot = F.floor((F.col("value") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * SLOTS)
+    counts = counts.select("metric", "total", "value", "n", F.when(F.col("value").isNull(), -1).otherwise(
+        F.least(F.coalesce(slot, F.lit(0)), F.lit(SLOTS - 1))).cast("int").alias("slot"))
     low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
-    middle = parts.where((F.col("start") <= high) & (F.col("stop") > low))
-    upto = F.col("start") + F.sum("n").over(Window.partitionBy("metric", "_part").orderBy("value"))
-    inside = counts.join(F.broadcast(middle), ["metric", "_part"]).select(
-        "metric", "value", (upto - n).alias("from_rank"), upto.alias("to_rank"), low.alias("low"), high.alias("high")
-    )
+    stop = F.sum("n").over(Window.partitionBy("metric").orderBy("slot"))
+    slots = counts.groupBy("metric", "total", "slot").agg(F.sum("n").alias("n")).select("metric", "slot", (stop - F.col("n")).alias(
+        "start"), stop.alias("stop"), low.alias("low"), high.alias("high"))
+    # At most two slots per column hold the middle.
+    middle = slots.where("slot >= 0 and start <= high and stop > low").drop("stop")
+    upto = F.col("start") + F.sum("n").over(Window.partitionBy("metric", "slot").orderBy("value"))
+    ranked = counts.join(F.broadcast(middle), ["metric", "slot"]).select("metric", "value", "low", "high", "n", upto.alias("upto"))
 
     def at(rank):
-        return F.max(F.when((F.col("from_rank") <= F.col(rank)) & (F.col("to_rank") > F.col(rank)), value))
+        return F.max(F.when((F.col("upto") - F.col("n") <= F.col(rank)) & (F.col("upto") > F.col(rank)), F.col("value")))
 
-    medians = inside.groupBy("metric").agg(((at("low") + at("high")) / 2).alias("median"))
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "metric string")
-    known = totals.join(spread, "metric").join(medians, "metric")
-    # One row per requested column on both sides.
-    return names.join(F.broadcast(known), "metric", "left").select("metric", *(
+    medians = ranked.groupBy("metric").agg(((at("low") + at("high")) / 2).alias("median"))
+    return known.join(F.broadcast(medians), "metric", "left").select("metric", *(
         F.coalesce(c, F.lit(0)).cast("long" if c in ("total", "zeros") else "double").alias(c)
         for c in ("total", "mean", "median", "min", "max", "std", "zeros")))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from qa_analytics.operators import filters, keywords, sentiment, tags, writes
+from qa_analytics.operators import filters, keywords, ranking, sentiment, tags, writes
 from qa_analytics.plans import adapters
 from qa_analytics.plans.catalog import QUERIES
 from qa_analytics.session import staging_path
@@ -102,3 +102,15 @@ def test_write_metrics_read_the_batch_once(spark, stored, mode):
     text = plan(writes.write_metrics(stored, adapters.authors0(spark, SF_DIR), new, mode))
     folder = path.rsplit("/", 1)[1]
     assert text.count(folder) == 1
+
+
+def test_medians_run_no_job_and_write_nothing_while_planned(spark, stored):
+    group = "planning of medians"
+    spark.sparkContext.setJobGroup(group, group)
+    text = plan(ranking.numeric_summary(stored, ["vote_count", "view_count", "answer_count"]))
+    started = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(started) == []
+    assert "rangepartitioning" not in text
+    scans = [line for line in text.split("\n") if "FileScan" in line]
+    assert scans and all("title" not in line and "view_count:bigint" in line for line in scans)
