@@ -7,13 +7,17 @@ Four labelers vote -1, 0 or 1 on every span: the shape (regular expression), a
 gazetteer (name endings, issuer and country prefixes, address ranges), the
 words before it, and the characters it touches. Spans are counted by vote
 pattern; expectation-maximisation over these counts estimates how reliable
-each labeler is, with base spans as known cases, and a logistic classifier is
-fitted to the resulting probabilities. Proposed spans that it accepts are
-added.
+each labeler is and how common true spans are among the proposed ones of a
+kind, with base spans as known cases. A logistic classifier is fitted to the
+resulting probabilities: besides the votes it sees the span itself (its shape,
+length and digits) and its surroundings (the two words before, the word after,
+the characters it touches), as names hashed to `WIDTH` places. Proposed spans
+that it accepts are added.
 
 Built-in expressions only; spans never leave their row. What comes to the
 driver is one count per vote pattern (at most 4 kinds x 2 x 3^4 rows, whatever
-the input). Positions count code points, ends are exclusive.
+the input) and at most `FIT_SPANS` distinct spans of either sort to fit the
+classifier on, chosen by hash. Positions count code points, ends are exclusive.
 
 Null text counts as empty; an empty table learns nothing and adds nothing.
 Every row is handled by itself, so repeated ids do not matter; other columns
@@ -22,13 +26,17 @@ pass through.
 
 import math
 
+import numpy as np
+
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import durable
 from .common import own
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("shape", "gazetteer", "context", "touch")
-CONTEXT_CHARS = 48
+CONTEXT_CHARS, AFTER_CHARS = 48, 24
+FIT_SPANS, WIDTH = 10_000, 1024
 BLOCK = 512
 
 # The base patterns. Possessive quantifiers and the look-behind (or the end of the last match) keep them linear.
@@ -106,7 +114,7 @@ def matches(text, pattern, hint):
         m, pieces = pair["m"], pair["p"]
         return F.transform(m, lambda s, i: F.struct(
             s.alias("s"), F.length(F.get(pieces, i)).alias("gap"), F.length(s).alias("n"),
-            F.right(F.get(pieces, i), F.lit(CONTEXT_CHARS)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(1)).alias("after")))
+            F.right(F.get(pieces, i), F.lit(CONTEXT_CHARS)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(AFTER_CHARS)).alias("after")))
 
     def placed(items):
         blocks = F.transform(
@@ -146,7 +154,7 @@ def _votes(kind, strict, m):
         "phone": ~digits.rlike(r"^(19|20)[0-9]{2}|^(\d)\2+$") & F.length(digits).between(9, 15),
     }[kind]
     cue, against = before.rlike(CUES[kind]), before.rlike(AGAINST)
-    touching = before.rlike(r"[\p{L}\p{N}_#=/\"']$") | m["after"].rlike(r"[\p{L}\p{N}_=/\"']")
+    touching = before.rlike(r"[\p{L}\p{N}_#=/\"']$") | m["after"].rlike(r"^[\p{L}\p{N}_=/\"']")
     return F.struct(
         (F.lit(1) if strict else F.when(shape, 1).otherwise(-1)).alias("shape"),
         F.when(gazetteer, 1).otherwise(-1).alias("gazetteer"),
@@ -154,10 +162,32 @@ def _votes(kind, strict, m):
         F.when(touching, -1).otherwise(0).alias("touch"))
 
 
+def _sort_of(c):
+    """What a character is: a mark stands for itself."""
+    return F.when(c == "", "none").when(c.rlike(r"\p{L}"), "letter").when(c.rlike(r"\p{N}"), "digit").when(
+        c.rlike(r"\s"), "space").otherwise(c)
+
+
+def _seen(kind, m):
+    """Places of the names of what is to be seen of match `m` and around it."""
+    s, before, after = m["s"], F.lower(m["before"]), F.lower(m["after"])
+    shape = F.regexp_replace(F.regexp_replace(s, r"\p{L}++", "a"), "[0-9]++", "9")
+    word, gap = r"[\p{L}\p{N}]++", r"[^\p{L}\p{N}]*+"
+    names = {
+        "shape": shape, "length": F.floor(F.log2(F.length(s))), "digits": F.least(F.length(_digits(s)), F.lit(20)),
+        "last": F.regexp_extract(before, rf"({word}){gap}$", 1), "second": F.regexp_extract(before, rf"({word}){gap}{word}{gap}$", 1),
+        "next": F.regexp_extract(after, rf"^{gap}({word})", 1), "left": _sort_of(F.right(before, F.lit(1))),
+        "right": _sort_of(F.left(after, F.lit(1))),
+    }
+    return F.array(*(F.pmod(F.xxhash64(F.lit(f"{kind} {name}"), value.cast("string")), F.lit(WIDTH)).cast("int")
+                     for name, value in names.items()))
+
+
 def _spans(kind, strict, found):
     return F.transform(found, lambda m: F.struct(
         m["at"].alias("at"), F.lit(KINDS.index(kind)).alias("k"), (m["at"] + F.length(m["s"])).alias("to"),
-        F.lit(kind).alias("kind"), F.lit(strict).alias("base"), _votes(kind, strict, m).alias("votes")))
+        F.lit(kind).alias("kind"), F.lit(strict).alias("base"), _votes(kind, strict, m).alias("votes"),
+        _seen(kind, m).alias("seen")))
 
 
 def candidates(docs: DataFrame, text="text", name="found") -> DataFrame:
@@ -178,20 +208,32 @@ def candidates(docs: DataFrame, text="text", name="found") -> DataFrame:
     return step.select("row.*", F.col("spans").alias(name))
 
 
+def _vote_columns():
+    return [F.col("x.kind").alias("kind"), F.col("x.base").alias("base"), *(F.col(f"x.votes.{v}").alias(v) for v in LABELERS)]
+
+
 def reliabilities(found: DataFrame, name="found", rounds=30):
     """Vote patterns with the probability that such a span is personal data, by EM over the pattern counts."""
-    votes = [F.col(f"x.votes.{v}").alias(v) for v in LABELERS]
-    counted = found.select(F.explode(name).alias("x")).groupBy(
-        F.col("x.kind").alias("kind"), F.col("x.base").alias("base"), *votes).count()
+    counted = found.select(F.explode(name).alias("x")).groupBy(*_vote_columns()).count()
     patterns = sorted(tuple(r) for r in counted.collect())
+    return patterns, expectation_maximisation(patterns, rounds)
+
+
+def expectation_maximisation(patterns, rounds=30):
+    """The probability of each (kind, base, votes..., count) pattern; base spans are true.
+
+    Labelers err independently; the share of true spans is that of the proposed spans of a kind. All counts start at
+    one, so no vote and no share becomes certain.
+    """
     # Starting point: a majority of the votes.
     p = [1.0 if x[1] else 1 / (1 + math.exp(-1.5 * (sum(x[2:6]) - 0.5))) for x in patterns]
     for _ in range(rounds):
-        total = [1.0, 1.0]
         said = [[{v: 1.0 for v in (-1, 0, 1)} for _ in LABELERS] for _ in (0, 1)]
+        share = {k: [1.0, 1.0] for k in KINDS}
         for x, q in zip(patterns, p):
             for y, weight in ((1, q), (0, 1 - q)):
-                total[y] += weight * x[6]
+                if not x[1]:
+                    share[x[0]][y] += weight * x[6]
                 for j, vote in enumerate(x[2:6]):
                     said[y][j][vote] += weight * x[6]
         p = []
@@ -199,48 +241,62 @@ def reliabilities(found: DataFrame, name="found", rounds=30):
             if x[1]:
                 p.append(1.0)
                 continue
-            # Base spans say how labelers vote on true ones, not how common those are among the loose: even odds.
-            score = sum(
+            score = math.log(share[x[0]][1] / share[x[0]][0]) + sum(
                 math.log(said[1][j][v] / sum(said[1][j].values())) - math.log(said[0][j][v] / sum(said[0][j].values()))
                 for j, v in enumerate(x[2:6]))
             p.append(1 / (1 + math.exp(-max(-30.0, min(30.0, score)))))
-    return patterns, p
+    return p
 
 
-def _features(kind, votes):
-    """Names of the features that are 1: the kind and each labeler's vote."""
-    return [f"kind={kind}", *(f"{n}={v}" for n, v in zip(LABELERS, votes))]
+def _vote_places():
+    """A place after the hashed ones for every kind and for every vote of a labeler on a kind."""
+    names = [*KINDS, *((k, v, n) for k in KINDS for v in LABELERS for n in (-1, 0, 1))]
+    return {name: WIDTH + i for i, name in enumerate(names)}
 
 
-def fit(patterns, p, steps=400, rate=0.5, ridge=1e-3):
-    """Weights of the span classifier: logistic regression on the EM probabilities, weighted by log counts."""
-    weights = {}
+def fit(found: DataFrame, name="found", steps=300, rate=2.0, ridge=1e-3):
+    """Weights of the span classifier: logistic regression on the EM probabilities, weighted by log counts.
+
+    Equal spans count as one with their number, so a text with many copies does not crowd out the others.
+    """
+    patterns, p = reliabilities(found, name)
     if not patterns:
-        return weights
-    rows = [(_features(x[0], x[2:6]), q, math.log1p(x[6])) for x, q in zip(patterns, p)]
-    whole = sum(r[2] for r in rows)
+        return []
+    chance = {x[:6]: q for x, q in zip(patterns, p)}
+    distinct = found.select(F.explode(name).alias("x")).groupBy(*_vote_columns(), F.col("x.seen").alias("seen")).count()
+    distinct = durable(distinct)
+    order = F.xxhash64("seen", "kind", *LABELERS)
+    rows = [r for base in (True, False) for r in distinct.where(F.col("base") == base).orderBy(
+        order, "kind", "seen", *LABELERS).limit(FIT_SPANS).collect()]
+    places = _vote_places()
+    x = np.array([[*r.seen, places[r.kind], *(places[r.kind, v, r[v]] for v in LABELERS)] for r in rows])
+    target = np.array([chance[tuple(r)[:6]] for r in rows])
+    weight = np.log1p([r["count"] for r in rows])
+    weight /= weight.sum()
+    size = WIDTH + len(places)
+    w = np.zeros(size)
     for _ in range(steps):
-        slope = {}
-        for names, q, n in rows:
-            score = sum(weights.get(f, 0.0) for f in names)
-            error = n * (1 / (1 + math.exp(-max(-30.0, min(30.0, score)))) - q) / whole
-            for f in names:
-                slope[f] = slope.get(f, 0.0) + error
-        for f, g in slope.items():
-            weights[f] = weights.get(f, 0.0) - 4 * rate * (g + ridge * weights.get(f, 0.0))
-    return weights
+        error = weight * (1 / (1 + np.exp(-np.clip(w[x].sum(1), -30, 30))) - target)
+        w -= rate * (np.bincount(x.ravel(), np.repeat(error, x.shape[1]), size) + ridge * w)
+    return w.round(9).tolist()
 
 
 def accepted(weights, name="found"):
     """The spans of column `name` that stay: base spans and those the classifier accepts."""
-    def weight(prefix, value, values):
+    if not weights:
+        return F.filter(name, lambda x: x["base"])
+    hashed = F.array(*map(F.lit, weights[:WIDTH]))
+    places = _vote_places()
+
+    def weight(x):
         out = F.lit(0.0)
-        for v in values:
-            out = F.when(value == v, F.lit(weights.get(f"{prefix}={v}", 0.0))).otherwise(out)
+        for k in KINDS:
+            votes = sum(F.get(F.array(*(F.lit(weights[places[k, v, n]]) for n in (-1, 0, 1))), x["votes"][v] + 1) for v in LABELERS)
+            out = F.when(x["kind"] == k, votes + weights[places[k]]).otherwise(out)
         return out
 
     return F.filter(name, lambda x: x["base"] | (
-        weight("kind", x["kind"], KINDS) + sum(weight(v, x["votes"][v], (-1, 0, 1)) for v in LABELERS) > 0))
+        F.aggregate(x["seen"], F.lit(0.0), lambda a, i: a + F.get(hashed, i)) + weight(x) > 0))
 
 
 def listing(spans):
@@ -255,7 +311,7 @@ def mask(docs: DataFrame, text="text", mark="[{}]") -> DataFrame:
     """
     name = own("found", docs)
     found = candidates(docs, text, name)
-    weights = fit(*reliabilities(found, name))
+    weights = fit(durable(found.select(name)), name)
     t, spans = F.col(f"`{text}`"), F.col(name)
 
     def piece(since, until):

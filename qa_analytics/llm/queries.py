@@ -71,7 +71,7 @@ def op7_pitman_yor(spark, d):
 @query
 def op8_personal_data(spark, d):
     found = durable(pii.candidates(read(spark, d, "documents")).select("doc_id", "found"))
-    weights = pii.fit(*pii.reliabilities(found))
+    weights = pii.fit(found)
     base = F.filter("found", lambda x: x["base"])
     return found.select(
         "doc_id", *(F.size(F.filter(base, lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS),
