@@ -22,8 +22,9 @@ short text, must be alike enough, by six standard errors where they are a
 sample. Only pairs that pass both are compared on their full sets.
 
 Sizes: signatures and buckets are tables; nothing is collected. A hot set is
-one class; hot buckets and centres meet only plain joins, whose large
-partitions Spark splits.
+one class; the pairs of a hot centre are dealt to slots with a copy of its
+set in each; hot buckets meet only plain joins, whose large partitions Spark
+splits.
 
 Defined cases: a null id is never linked (component null, kept true); rows
 that repeat an id are one document for the purpose of links; ties go to the
@@ -41,7 +42,7 @@ from .common import own
 from .components import connected_components
 
 BANDS, ROWS = 42, 6
-CENTRES, LOW, ERRORS = 32, 256, 6
+CENTRES, LOW, ERRORS, SHARE = 32, 256, 6, 256
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -172,12 +173,26 @@ def hash_sets(docs, k):
         f"id {docs.schema['id'].dataType.simpleString()}, hashes array<bigint>, low array<bigint>")
 
 
+def _dealt(sets, pairs, side, slot):
+    """Sets by (id, slot): each once, and once more for every further slot in which the id of `side` has pairs."""
+    more = durable(pairs.where(F.col(slot) > 0).select(F.col(side).alias("id"), slot).distinct())
+    return sets.withColumn(slot, F.lit(0)).unionByName(sets.join(more, "id")).withColumnRenamed("id", side)
+
+
 def compared(pairs, sets):
-    """(a, b, both, either): sizes of the intersection and the union of the full sets of each pair."""
-    with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("of_b")), "b")
-    with_a = with_b.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("of_a")), "a")
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    out = with_a.select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("sum"))
+    """(a, b, both, either): sizes of the intersection and the union of the full sets of each pair (a, b, n).
+
+    `n` says how many partners an end may have. The pairs of an end with many are dealt to one slot for every `SHARE`
+    of them, and its set travels once to each slot, so that a hot centre is not one task.
+    """
+    sets = sets.select("id", "hashes")
+    slots = F.greatest(F.ceil(F.col("n") / SHARE), F.lit(1))
+    pairs = durable(pairs.select("a", "b", *(
+        F.pmod(F.xxhash64(other), slots).cast("int").alias(slot) for slot, other in (("of_a", "b"), ("of_b", "a")))))
+    with_b = pairs.join(_dealt(sets, pairs, "b", "of_b").withColumnRenamed("hashes", "set_b"), ["b", "of_b"])
+    with_a = with_b.join(_dealt(sets, pairs, "a", "of_a").withColumnRenamed("hashes", "set_a"), ["a", "of_a"])
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    out = with_a.select("a", "b", both.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sum"))
     out = out.withColumn("either", F.col("sum") - F.col("both"))
     # An id with several texts counts by the pair of them that is most alike.
     most = F.max(F.struct((F.col("both") / F.col("either")).alias("share"), "both", "either")).alias("m")
@@ -202,27 +217,27 @@ def _star_links(members, docs, k, percent):
     company = durable(members.groupBy("id").agg(F.sum("n").alias("score")))
     # One kind of join at every size wherever texts meet ids: the ids are hashed, and texts are moved once and not sorted.
     sets = durable(hash_sets(docs.join(company.hint("shuffle_hash"), "id", "left_semi"), k))
-    open_ = members.join(company, "id").select("key", "id", "size", "score")
+    open_ = members.join(company, "id").select("key", "id", "size", "score", "n")
     best = F.max(F.struct("score", "id", "size"))
     centres = durable(open_.groupBy("key").agg(best.alias("c")).select(
         "key", F.col("c.id").alias("c_id"), F.col("c.size").alias("c_size")))
     open_ = durable(open_.join(centres, "key").withColumns({
         "a": F.least("id", "c_id"), "b": F.greatest("id", "c_id"),
         "alike": 100 * F.least("size", "c_size") >= percent * F.greatest("size", "c_size")}))
-    tested = durable(compared(open_.where("alike and id != c_id").select("a", "b").distinct(), sets))
+    tested = durable(compared(open_.where("alike and id != c_id").groupBy("a", "b").agg(F.max("n").alias("n")), sets))
     links_of = lambda pairs: pairs.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
     components = _merged(None, links_of(tested))
     # Distance to the bucket's centre; null if sizes alone ruled a link out.
     away = F.when(F.col("id") == F.col("c_id"), 0.0).otherwise(1 - F.col("both") / F.col("either"))
     open_ = open_.join(tested, ["a", "b"], "left").select(
-        "key", "id", "size", "score", away.alias("away"), (F.col("id") == F.col("c_id")).alias("served"))
+        "key", "id", "size", "score", "n", away.alias("away"), (F.col("id") == F.col("c_id")).alias("served"))
     limit = 1 - percent / 100 + 1e-9
     for slots in (CENTRES, None):
         marked = durable(open_.join(components, "id", "left").select(
-            "key", "id", "size", "score", "away", "served", F.coalesce("component", "id").alias("component")))
+            "key", "id", "size", "score", "n", "away", "served", F.coalesce("component", "id").alias("component")))
         # Only buckets with several components stay open.
-        largest = durable(marked.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
-            F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select(
+        largest = durable(marked.groupBy("key", "component").agg(F.count("*").alias("members")).groupBy("key").agg(
+            F.max(F.struct("members", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select(
             "key", F.col("most.component").alias("most")))
         marked = durable(marked.join(largest, "key"))
         pool = marked.where("component != most and not served")
@@ -234,12 +249,13 @@ def _star_links(members, docs, k, percent):
             break
         low = sets.select("id", "low")
         centre = pool.join(low, "id").toDF(*(f"c_{c}" if c != "key" else c for c in ("id", "key", "size", "away", "component", "low")))
-        inside = marked.select("key", "id", "size", "away", "component").join(low, "id")
+        inside = marked.select("key", "id", "size", "n", "away", "component").join(low, "id")
         met = inside.join(centre, (inside["key"] == centre["key"]) & (F.col("component") != F.col("c_component"))
                           & (100 * F.least("size", "c_size") >= percent * F.greatest("size", "c_size"))
                           & F.coalesce(F.abs(F.col("away") - F.col("c_away")) <= limit, F.lit(True))
                           & likely(F.col("low"), F.col("c_low"), percent))
-        fresh = durable(met.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct())
+        fresh = durable(met.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b"), "n").groupBy("a", "b").agg(
+            F.max("n").alias("n")))
         components = _merged(components, links_of(durable(compared(fresh, sets))))
         now = pool.select("key", "id", F.lit(True).alias("now"))
         open_ = marked.drop("component", "most").join(now, ["key", "id"], "left").withColumn(

@@ -69,6 +69,23 @@ def test_star_buckets_find_links_that_miss_the_centre(spark):
     assert {r.component_id for r in got.values()} == {0}
 
 
+def test_a_hot_centre_is_dealt_to_slots(spark, monkeypatch):
+    """One text with 120 near copies and another that comes before it; its pairs spread, the result stays."""
+    monkeypatch.setattr(minhash, "SHARE", 8)
+    base = [f"h{i}" for i in range(200)]
+    rows = [(i, " ".join(base[:k] + [f"x{i}"] + base[k + 1:])) for i, k in ((i, 20 + i) for i in range(120))]
+    rows += [(500, " ".join(base)), (501, " ".join(f"o{i}" for i in range(200))), (-1, " ".join(base[:199]))]
+    got = by_id(minhash.near_duplicates(docs(spark, rows), words=3, percent=85))
+    assert {i: r.component_id for i, r in got.items()} == components(sets(rows, 3), 85)
+    whole = minhash.hash_sets(docs(spark, rows).withColumnRenamed("doc_id", "id"), 3)
+    pairs = spark.createDataFrame([(i, 500, 121) for i in range(120)] + [(500, 501, 121)], "a long, b long, n long")
+    found = sets(rows, 3)
+    assert {(r.a, r.b): (r.both, r.either) for r in minhash.compared(pairs, whole).collect()} == {
+        (a, b): (len(found[a] & found[b]), len(found[a] | found[b])) for a, b in [*((i, 500) for i in range(120)), (500, 501)]}
+    slots = pairs.selectExpr("b", "pmod(xxhash64(a), ceil(n / 8)) slot").groupBy("b", "slot").count()
+    assert slots.agg({"count": "max"}).first()[0] < 30
+
+
 def test_repeated_rows_nulls_and_clashing_columns(spark):
     rows = [(7, "a b c d e f g"), (7, "a b c d e f g"), (8, "A b c d e f g"), (None, "a b c d e f g")]
     frame = docs(spark, rows, id="x", component_id="y", key="z")
