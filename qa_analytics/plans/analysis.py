@@ -31,7 +31,7 @@ def analyse(questions: DataFrame, authors: DataFrame, as_of, ids: DataFrame = No
     people = authors if ids is None else authors_of_questions(questions, authors, ids)
     corpus = keywords.question_texts(scoped)
     trends = tags.tag_trends(scoped, as_of)
-    scores = keywords.keyword_scores(corpus, stop_words=stop_words, lemmas=lemmas)
+    scores = keywords.question_scores(scoped, stop_words=stop_words, lemmas=lemmas)
     words = sentiment.default_lexicon(questions.sparkSession) if lexicon is None else lexicon
     moods = sentiment.sentiment_summary(corpus, words)
     content = quality.content_quality(scoped)
