@@ -4,8 +4,10 @@ The only Python that sees rows: `mapInPandas` reads the cards of each page
 into raw strings. All typing is done by Column expressions afterwards.
 """
 
+import re
 import sys
 from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -36,9 +38,17 @@ CARDS_AT_ONCE = 512
 VOID_TAGS = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source track wbr".split())
 
+# Regular markup: text, then one tag in lower case with quoted attributes, or the usual document type.
+TOKEN = re.compile(
+    r'([^<]*)<(?:(/?)([a-z][a-z0-9]*)((?:[ \n]+[a-z][a-z0-9-]*="[^"&]*")*)[ \n]*(/?)>|!(?:DOCTYPE|doctype) html>)')
+ATTRIBUTE = re.compile(r'([a-z][a-z0-9-]*)="([^"]*)"')
+
+# Elements whose content parsers read in their own way.
+OWN_CONTENT = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
+
 RAW_CARD = (
     "page_id long, title string, href string, summary string, tags array<string>, "
-    "stats array<struct<title:string,number:string>>, author_name string, author_href string, "
+    "stat_titles array<string>, stat_numbers array<string>, author_name string, author_href string, "
     "reputation string, asked_at string, unreadable boolean"
 )
 
@@ -46,9 +56,9 @@ RAW_CARD = (
 class _Element:
     __slots__ = ("tag", "attrs", "classes", "children", "inside")
 
-    def __init__(self, tag, attrs):
+    def __init__(self, tag, attrs, classes=None):
         self.tag, self.attrs, self.children, self.inside = tag, attrs, [], None
-        self.classes = (attrs.get("class") or "").split()
+        self.classes = (attrs.get("class") or "").split() if classes is None else classes
 
     def descendants(self):
         """All elements inside, in document order; remembered after the first call."""
@@ -110,7 +120,64 @@ class _TreeBuilder(HTMLParser):
         self.open[-1].children.append(data)
 
 
-def _tree(html):
+class _Attributes(dict):
+    """(attributes, classes) of a regular start tag, remembered: the same markup comes again on every card."""
+
+    def __missing__(self, markup):
+        if len(self) > 4096:
+            self.clear()
+        attrs = dict(ATTRIBUTE.findall(markup))
+        value = self[markup] = attrs, (attrs.get("class") or "").split()
+        return value
+
+
+def _regular_tree(html, attributes):
+    """The tree of a page of regular markup, as the standard parser builds it; None for any other page."""
+    root = _Element("", {})
+    open_, waiting, own, at = [root], Counter(), None, 0
+    while token := TOKEN.match(html, at):
+        at = token.end()
+        text, closing, tag, markup, single = token.groups()
+        if text:
+            raw = own in ("script", "style")
+            open_[-1].children.append(unescape(text) if "&" in text and not raw else text)
+        if own:
+            # Only the end tag may follow; whatever looks like markup is left to the parser.
+            if tag != own or not closing:
+                return None
+            own = None
+        if tag is None:
+            continue
+        if closing:
+            if markup or single:
+                return None
+            while waiting[tag]:
+                last = open_.pop().tag
+                waiting[last] -= 1
+                if last == tag:
+                    break
+            continue
+        element = _Element(tag, *attributes[markup])
+        open_[-1].children.append(element)
+        if not single and tag not in VOID_TAGS:
+            if tag in OWN_CONTENT:
+                if tag not in ("script", "style", "title"):
+                    return None
+                own = tag
+            open_.append(element)
+            waiting[tag] += 1
+    if own or "<" in html[at:]:
+        return None
+    if at < len(html):
+        open_[-1].children.append(unescape(html[at:]))
+    return root
+
+
+def _tree(html, attributes):
+    """The element tree of a page; the standard parser reads every page that is not of regular markup."""
+    regular = _regular_tree(html, attributes)
+    if regular is not None:
+        return regular
     builder = _TreeBuilder()
     builder.feed(html)
     builder.close()
@@ -128,11 +195,12 @@ def _card_fields(card):
     if link is None or link.attrs.get("href") is None:
         return None
     tag_box, stats_box = card.first("div", TAG_BOX), card.first("div", STATS_BOX)
-    stats = []
+    stat_titles, stat_numbers = [], []
     for item in stats_box.all("div", STATS_ITEM) if stats_box else []:
         number = item.first("span", STATS_NUMBER)
         if number is not None:
-            stats.append({"title": item.attrs.get("title") or "", "number": number.text()})
+            stat_titles.append(item.attrs.get("title") or "")
+            stat_numbers.append(number.text())
     author_box, user_card = card.first("div", AUTHOR_BOX), card.first("div", USER_CARD)
     author = author_box and author_box.first("a")
     reputation = next(
@@ -143,7 +211,7 @@ def _card_fields(card):
     return {
         "title": link.text(), "href": link.attrs["href"], "summary": _text(card.first("div", EXCERPT)),
         "tags": [t.text() for t in tag_box.all("a", TAG_LINK)] if tag_box else [],
-        "stats": stats, "author_name": _text(author),
+        "stat_titles": stat_titles, "stat_numbers": stat_numbers, "author_name": _text(author),
         "author_href": author.attrs.get("href") or "" if author else None,
         "reputation": _text(reputation), "asked_at": asked.attrs.get("title") if asked else None,
     }
@@ -151,14 +219,14 @@ def _card_fields(card):
 
 def _read_cards(batches):
     columns = [c.split()[0] for c in RAW_CARD.split(", ")]
-    rows = []
+    rows, attributes = [], _Attributes()
     for pages in batches:
         for page_id, html in zip(pages["page_id"], pages["html"]):
             try:
-                cards = [_card_fields(card) for card in _tree(html).all("div", CARD)]
+                cards = [_card_fields(card) for card in _tree(html, attributes).all("div", CARD)]
             except (AssertionError, ValueError):
                 # The standard parser gives up on some broken declarations: the page is marked, the others go on.
-                rows.append({**dict.fromkeys(columns), "page_id": page_id, "tags": [], "stats": [], "unreadable": True})
+                rows.append({**dict.fromkeys(columns), "page_id": page_id, "tags": [], "stat_titles": [], "stat_numbers": [], "unreadable": True})
                 continue
             rows.extend({"page_id": page_id, "unreadable": False, **fields} for fields in cards if fields)
             if len(rows) >= CARDS_AT_ONCE:
@@ -169,13 +237,29 @@ def _read_cards(batches):
 
 def raw_cards(pages: DataFrame) -> DataFrame:
     """Raw strings of every card that has a title link; pages without a card are skipped before Python."""
-    with_cards = pages.where(F.contains("html", F.lit(CARD))).select(F.col("page_id").cast("long"), "html")
-    return with_cards.mapInPandas(_read_cards, RAW_CARD)
+    return _with_cards(pages).mapInPandas(_read_cards, RAW_CARD)
+
+
+def _with_cards(pages):
+    return pages.where(F.contains("html", F.lit(CARD))).select(F.col("page_id").cast("long"), "html")
+
+
+def _given_up(batches):
+    """Ids of the pages that the parser gives up on; no card is read."""
+    attributes = _Attributes()
+    for pages in batches:
+        ids = []
+        for page_id, html in zip(pages["page_id"], pages["html"]):
+            try:
+                _tree(html, attributes)
+            except (AssertionError, ValueError):
+                ids.append(page_id)
+        yield pd.DataFrame({"page_id": pd.Series(ids, dtype=pages["page_id"].dtype)})
 
 
 def unreadable_pages(pages: DataFrame) -> DataFrame:
     """Ids of the pages with cards that the parser gave up on."""
-    return raw_cards(pages).where("unreadable").select("page_id")
+    return _with_cards(pages).mapInPandas(_given_up, "page_id long")
 
 
 def _counter(kinds, not_kinds=()):
@@ -200,7 +284,8 @@ def listing_questions(pages: DataFrame, base_url, as_of) -> DataFrame:
 
     `as_of` replaces a missing or unreadable date.
     """
-    cards = raw_cards(pages).where("not unreadable")
+    cards = raw_cards(pages).where("not unreadable").withColumn(
+        "stats", F.arrays_zip(F.col("stat_titles").alias("title"), F.col("stat_numbers").alias("number")))
     typed = cards.select(
         id_from_path(F.col("href")).alias("question_id"), "title",
         absolute_url(F.col("href"), base_url).alias("url"),
