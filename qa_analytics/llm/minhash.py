@@ -173,6 +173,29 @@ def hash_sets(docs, k):
         f"id {docs.schema['id'].dataType.simpleString()}, hashes array<bigint>, low array<bigint>")
 
 
+def common_sizes(batches):
+    """(a, b, both, sum): sizes of the intersection of two sorted sets and of both sets, pair by pair.
+
+    The smaller set is looked up in the larger one.
+    """
+    for batch in batches:
+        sides = []
+        for column in (batch.column(2), batch.column(3)):
+            sides.append((column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()))
+        (x, x_at), (y, y_at) = sides
+        both = np.zeros(batch.num_rows, np.int64)
+        for i in range(batch.num_rows):
+            few, many = x[x_at[i]:x_at[i + 1]], y[y_at[i]:y_at[i + 1]]
+            if len(few) > len(many):
+                few, many = many, few
+            if len(few):
+                # "clip": the place after the end becomes the last one, which is unequal.
+                both[i] = np.count_nonzero(many.take(many.searchsorted(few), mode="clip") == few)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(both), pa.array(np.diff(x_at) + np.diff(y_at), pa.int64())],
+            names=["a", "b", "both", "sum"])
+
+
 def _dealt(sets, pairs, side, slot):
     """Sets by (id, slot): each once, and once more for every further slot in which the id of `side` has pairs."""
     more = durable(pairs.where(F.col(slot) > 0).select(F.col(side).alias("id"), slot).distinct())
@@ -191,8 +214,8 @@ def compared(pairs, sets):
         F.pmod(F.xxhash64(other), slots).cast("int").alias(slot) for slot, other in (("of_a", "b"), ("of_b", "a")))))
     with_b = pairs.join(_dealt(sets, pairs, "b", "of_b").withColumnRenamed("hashes", "set_b"), ["b", "of_b"])
     with_a = with_b.join(_dealt(sets, pairs, "a", "of_a").withColumnRenamed("hashes", "set_a"), ["a", "of_a"])
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    out = with_a.select("a", "b", both.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sum"))
+    kind = pairs.schema["a"].dataType.simpleString()
+    out = with_a.select("a", "b", "set_a", "set_b").mapInArrow(common_sizes, f"a {kind}, b {kind}, both long, sum long")
     out = out.withColumn("either", F.col("sum") - F.col("both"))
     # An id with several texts counts by the pair of them that is most alike.
     most = F.max(F.struct((F.col("both") / F.col("either")).alias("share"), "both", "either")).alias("m")
@@ -202,14 +225,25 @@ def compared(pairs, sets):
 def likely(low, other, percent):
     """False if the smallest hashes of two sets show that the sets are too different."""
     last = [F.when(F.size(x) == LOW, F.element_at(x, -1)) for x in (low, other)]
-    until = F.least(*last)  # null: both sets are there in full
-    both = F.size(F.array_intersect(low, other))
-    sizes = [F.when(until.isNull() | (F.element_at(x, -1) <= until), F.size(x)).otherwise(
-        F.size(F.filter(x, lambda v: v <= until))) for x in (low, other)]
-    either = sizes[0] + sizes[1] - both
     share = percent / 100
-    slack = F.when(until.isNull(), 0.0).otherwise(ERRORS * (share * (1 - share)) ** 0.5 / F.sqrt(either))
-    return both >= (share - slack) * either - 1e-9
+
+    def enough(until):  # null: both sets are there in full
+        sizes = [F.when(until.isNull() | (F.element_at(x, -1) <= until), F.size(x)).otherwise(
+            F.size(F.filter(x, lambda v: v <= until))) for x in (low, other)]
+
+        def of(s):
+            either = s["all"] - s["both"]
+            slack = F.when(until.isNull(), 0.0).otherwise(ERRORS * (share * (1 - share)) ** 0.5 / F.sqrt(either))
+            return s["both"] >= (share - slack) * either - 1e-9
+
+        # Bound to a name, each is evaluated once.
+        return _let(F.struct((sizes[0] + sizes[1]).alias("all"), F.size(F.array_intersect(low, other)).alias("both")), of)
+
+    return _let(F.least(*last), enough)
+
+
+def _let(value, use):
+    return F.transform(F.array(value), use)[0]
 
 
 def _star_links(members, docs, k, percent):

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from helpers import by_id, docs
 
 from qa_analytics.llm import minhash
@@ -135,3 +136,17 @@ def test_unlike_texts_of_one_id_stay_and_copies_without_an_id_go(spark):
     assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted((str(i), str(t)) for i, t in [
         (1, "a b c d e f g"), (1, "q r s t u v w x"), (None, "m n o p q"), (None, "other words than those"), (None, None),
         (3, "h i j k l m"), (3, None)])
+
+
+def test_common_sizes_of_sorted_sets_without_hash_tables():
+    rng = np.random.RandomState(3)
+    sets = [np.unique(rng.randint(0, 60, n).astype(np.uint64) * np.uint64(0x0600000000000001)) for n in (0, 1, 5, 40, 200)]
+    pairs = [(x, y) for x in sets for y in sets]
+    lists = [pa.array([list(p[k].view(np.int64)) for p in pairs], pa.list_(pa.int64())) for k in (0, 1)]
+    ids = pa.array(range(len(pairs)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, *lists], names=["a", "b", "set_a", "set_b"])
+    for part in (batch, batch.slice(7, 11)):
+        out, = minhash.common_sizes([part])
+        at = part.column(0).to_pylist()
+        assert out.column(2).to_pylist() == [len(np.intersect1d(*pairs[i])) for i in at]
+        assert out.column(3).to_pylist() == [len(pairs[i][0]) + len(pairs[i][1]) for i in at]
