@@ -3,12 +3,17 @@
 Tokens are the words (A-Z in lower case) and one end per text. Every token is a
 customer of the restaurant of its context, the word before it (or the start);
 all context restaurants share one parent, whose customers are their tables, and
-the parent's base is uniform over the known words and one unknown. Words are
-known by a 64-bit hash.
-
-Training: a pass over the training texts counts (word, context) in every task
-and adds the counts up into one row per pair; totals per word and per context
-are tables too, so nothing is bounded by a number of contexts. A Gibbs sweep
+the parent's base is uniform over the known words and one unknown. The most
+frequent words (at most `NEAR`) are known by a number, all others by a 64-bit
+hash.
+
+Training: a pass over the training texts counts words, another one (word,
+context) in every task and adds the counts up into one row per pair; totals per
+word and per context are tables too, so nothing is bounded by a number of
+contexts. What the numbered words share is sent to every task; pairs with
+another word are joined with the tables. A word met once has one customer and
+one table in the parent for good, and a context of pairs met once as many
+tables as customers: neither is drawn or written again. A Gibbs sweep
 draws the number of tables of each dish in each restaurant given all other
 dishes: from its exact distribution (generalised Stirling numbers) up to
 `EXACT` customers; above that the first ones are drawn so, with the weight of
@@ -18,9 +23,14 @@ and is not drawn. Draws are a function of the pair, the sweep and the totals
 before it. Predictive probabilities are averaged over the sweeps after the
 first ones.
 
-Scoring: the most frequent pairs (a fixed number) go to every task with their
-probabilities; all other tokens are joined with the pairs, words and contexts,
-so the result does not depend on which pairs are frequent.
+Scoring: every task adds up the probabilities of tokens of two numbered words,
+with the share of the pair if it is one of the most frequent (a fixed number of
+pairs), else as if the pair had not been met. A join with the other pairs then
+adds what they gain over that. Tokens with a word that has no number are joined
+with pairs, words and contexts. Both joins take the pairs in `ROUNDS` parts by
+hash, one after the other, so that the shuffle files of one part are gone before
+the next is read. The result does not depend on which words and pairs are
+frequent, nor on the parts.
 
 Discounts come from counts of counts, the strength is a parameter. Null text is
 empty: just an end. Null ids count as empty text when training texts are
@@ -30,7 +40,8 @@ ignored.
 """
 
 from array import array
-from collections import namedtuple
+from collections import Counter, namedtuple
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +49,12 @@ import xxhash
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import durable
+from ..session import cleaned, durable, remove, staging_path
 from .minhash import MIX, mix
 
 FREQUENT_PAIRS = 500_000
+NEAR = 1 << 18
+ROUNDS = 3
 BURN_IN, SAMPLES = 1, 3
 STRENGTH = 1.0
 EXACT = 64
@@ -50,16 +63,27 @@ END = b""
 
 
 class Vocabulary(dict):
-    """A number for each word met by the task, with its hash."""
+    """A number for each word met by the task, with its code: its place in `near`, else its hash."""
 
-    def __init__(self):
+    def __init__(self, near):
+        self.order = np.argsort(near)
+        self.near = near[self.order]
         self.empty()
 
     def empty(self):
         self.clear()
-        self.hashes = array("Q")
+        self.hashes, self.coded = array("Q"), np.empty(0, np.int64)
         self[END]
 
+    def codes(self):
+        new = np.array(self.hashes[len(self.coded):], np.uint64)
+        code = new.view(np.int64)
+        if len(self.near):
+            place = np.minimum(np.searchsorted(self.near, new), len(self.near) - 1)
+            code = np.where(self.near[place] == new, self.order[place], code)
+        self.coded = np.concatenate([self.coded, code])
+        return self.coded
+
     def __missing__(self, word):
         number = self[word] = len(self.hashes)
         self.hashes.append(xxhash.xxh3_64_intdigest(word))
@@ -82,6 +106,52 @@ def _binary(column):
     return column.cast(pa.binary()).to_pylist()
 
 
+def _is_near(column, facts):
+    return (F.col(column) >= 0) & (F.col(column) < facts["near"])
+
+
+def _level(column):
+    """Eighths of powers of two, so that counts have few levels."""
+    return F.floor(F.log2(column) * 8)
+
+
+def _lowest(df, column, most):
+    """The lowest level down to which no more than `most` rows have a count."""
+    lowest = None
+    for level, n in sorted(df.groupBy(_level(column).alias("level")).count().collect(), reverse=True):
+        most -= n
+        if most < 0:
+            break
+        lowest = level
+    return lowest
+
+
+def _at_least(column, lowest):
+    return F.lit(False) if lowest is None else _level(column) >= lowest
+
+
+def _apart(column, facts):
+    """A key to join the words without a number by; all others are spread over keys that meet nothing."""
+    return F.when(_is_near(column, facts), -1 - F.pmod(F.xxhash64("h", "ctx"), F.lit(1 << 20))).otherwise(F.col(column))
+
+
+def _by_number(df, key, facts, columns):
+    """The columns of the numbered words as arrays, in the order of their numbers."""
+    rows = df.where(_is_near(key, facts)).select(F.col(key), *columns).toArrow()
+    at = rows[key].to_numpy()
+    out = []
+    for name in rows.column_names[1:]:
+        values = rows[name].combine_chunks()
+        if pa.types.is_list(values.type):
+            values = values.flatten().to_numpy().reshape(len(at), facts["samples"])
+        else:
+            values = values.to_numpy(zero_copy_only=False)
+        full = np.zeros((facts["near"], *values.shape[1:]), values.dtype)
+        full[at] = values
+        out.append(full)
+    return out
+
+
 # ---- seating ----------------------------------------------------------------
 
 def stirling(most, discount):
@@ -103,12 +173,11 @@ class Keyed:
     def of(self, rows):
         return Keyed(self.keys[rows])
 
-    def random(self, n):
-        self.turn += np.uint64(1)
-        return ((mix(mix(self.keys + self.turn * MIX)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
-
     def gumbel(self, size):
-        return -np.log(-np.log(np.stack([self.random(size[0]) for _ in range(size[1])], 1)))
+        turns = self.turn + np.arange(1, size[1] + 1, dtype=np.uint64)
+        self.turn += np.uint64(size[1])
+        uniform = ((mix(mix(self.keys[:, None] + turns * MIX)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+        return -np.log(-np.log(uniform))
 
     def negative_binomial(self, n, p):
         self.turn += np.uint64(1)
@@ -148,13 +217,34 @@ def _discount(one, two):
 Tables = namedtuple("Tables", "pairs words contexts")
 
 
-def _pair_counter(room=4_000_000):
+def _word_counter(room=1_000_000):
+    def rows(counts):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.array([xxhash.xxh3_64_intdigest(w) for w in counts], np.uint64).view(np.int64)), pa.array(counts.values(), pa.int64())],
+            names=["h", "c"])
+
+    def run(batches):
+        counts = Counter()
+        for batch in batches:
+            for text in _binary(batch.column(0)):
+                counts.update((text or b"").lower().split())
+                counts[END] += 1
+                if len(counts) > room:
+                    yield rows(counts)
+                    counts = Counter()
+        if counts:
+            yield rows(counts)
+
+    return run
+
+
+def _pair_counter(shared, room=4_000_000):
     def rows(vocabulary, keys, counts):
-        hashes = np.array(vocabulary.hashes, np.uint64).view(np.int64)
+        codes = vocabulary.codes()
         for at in range(0, len(keys), 100_000):
             part = keys[at:at + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[part >> 32]), pa.array(hashes[part & 0xFFFFFFFF]), pa.array(counts[at:at + 100_000])],
+                [pa.array(codes[part >> 32]), pa.array(codes[part & 0xFFFFFFFF]), pa.array(counts[at:at + 100_000])],
                 names=["h", "ctx", "c"])
 
     def merged(keys, counts):
@@ -162,7 +252,7 @@ def _pair_counter(room=4_000_000):
         return keys, np.bincount(where, np.concatenate(counts)).astype(np.int64)
 
     def run(batches):
-        vocabulary, keys, counts, held = Vocabulary(), [], [], 0
+        vocabulary, keys, counts, held = Vocabulary(shared.value), [], [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, GROUP):
                 numbers, before, _ = _tokens(_binary(batch.column(0).slice(at, GROUP)), vocabulary)
@@ -183,20 +273,25 @@ def _pair_counter(room=4_000_000):
     return run
 
 
-def _keys(batch, names, sweep):
+def _keys(batch, names, sweep, hashes):
+    """Keys from the words' hashes, so that draws do not depend on which words are numbered."""
     key = np.full(batch.num_rows, sweep + 1, np.uint64)
     for name in names:
-        key = mix(key * MIX + batch.column(name).to_numpy().view(np.uint64))
+        code = batch.column(name).to_numpy()
+        key = mix(key * MIX + _filled(pa.array(code.view(np.uint64)), hashes, code))
     return Keyed(key)
 
 
-def _pair_seats(facts, sweep, kept):
+def _pair_seats(facts, sweep, kept, shared):
     """Pairs with new tables; what they leave to their own share is added up over the sweeps that are kept."""
     def run(batches):
         log = stirling(EXACT, facts["d1"])
+        hashes, (of_word, of_context) = facts["codes"].value, shared.value
         for batch in batches:
-            c, t, tables, chance, share = (batch.column(x).to_numpy() for x in ("c", "t", "tables", "chance", "share"))
-            t = draw_tables(c, np.maximum(tables - t, 0), facts["d1"], facts["strength"], chance, _keys(batch, ("h", "ctx"), sweep), log)
+            h, ctx, c, t, share = (batch.column(x).to_numpy() for x in ("h", "ctx", "c", "t", "share"))
+            chance = _filled(batch.column("chance"), of_word, h)
+            tables = _filled(batch.column("tables"), of_context, ctx)
+            t = draw_tables(c, np.maximum(tables - t, 0), facts["d1"], facts["strength"], chance, _keys(batch, ("h", "ctx"), sweep, hashes), log)
             share = share + np.maximum(c - facts["d1"] * t, 0) if kept else share
             yield pa.RecordBatch.from_arrays(
                 [batch.column("h"), batch.column("ctx"), pa.array(c), pa.array(t), pa.array(share)],
@@ -205,110 +300,181 @@ def _pair_seats(facts, sweep, kept):
     return run
 
 
+def _filled(column, by_number, codes):
+    """The joined values; those of numbered words from the table that every task has."""
+    values = column.fill_null(0).to_numpy(zero_copy_only=False)
+    near = (codes >= 0) & (codes < len(by_number))
+    if near.any():
+        values = np.where(near, by_number[np.where(near, codes, 0)], values)
+    return values
+
+
 def _word_seats(facts, sweep, served_total):
     def run(batches):
-        log = stirling(EXACT, facts["d0"])
+        hashes, log = facts["codes"].value, stirling(EXACT, facts["d0"])
         for batch in batches:
             n, served = batch.column("n").to_numpy(), batch.column("served").to_numpy()
             base = np.full(len(n), 1.0 / (facts["V"] + 1))
             served = draw_tables(n, np.maximum(served_total - served, 0), facts["d0"], facts["strength"], base,
-                                 _keys(batch, ("h",), sweep), log)
+                                 _keys(batch, ("h",), sweep, hashes), log)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(x) for x in ("h", "c", "once", "n")), pa.array(served), batch.column("parents")],
+                [*(batch.column(x) for x in ("h", "c", "once", "n")), pa.array(served.astype(np.int64)), batch.column("parents")],
                 names=["h", "c", "once", "n", "served", "parents"])
 
     return run
 
 
-def train(texts: DataFrame, text="text", burn_in=BURN_IN, samples=SAMPLES, strength=STRENGTH):
+def train(texts: DataFrame, text="text", burn_in=BURN_IN, samples=SAMPLES, strength=STRENGTH, near=NEAR):
     """The model (`Tables`), and a dict of what all words share."""
-    counts = texts.select(F.col(f"`{text}`")).mapInArrow(_pair_counter(), "h long, ctx long, c long")
-    pairs = durable(counts.groupBy("h", "ctx").agg(F.sum("c").alias("c")))
+    spark, texts = texts.sparkSession, texts.select(F.col(f"`{text}`"))
+    met_at = staging_path(spark, "step")
+    met = durable(texts.mapInArrow(_word_counter(), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), met_at)
+    top = met.where(_at_least("c", _lowest(met, "c", near))).toArrow()
+    names = top["h"].to_numpy()
+    codes = spark.sparkContext.broadcast(names[np.lexsort((names, -top["c"].to_numpy()))].view(np.uint64))
+    remove(spark, met_at)
+    facts = {"near": len(names), "codes": codes, "strength": strength, "samples": samples, "unknown": []}
+    counts = texts.mapInArrow(_pair_counter(codes), "h long, ctx long, c long")
+    pairs = durable(counts.groupBy("h", "ctx").agg(F.sum("c").alias("c")), compression="zstd")
+    del counts, met
+    cleaned(spark)
     one = F.sum((F.col("c") == 1).cast("long"))
     none = F.array().cast("array<double>")
-    words = durable(pairs.groupBy("h").agg(F.sum("c").alias("c"), one.alias("once"), F.count("*").alias("n")).select(
-        "*", F.lit(1).cast("long").alias("served"), none.alias("parents")))
-    contexts = durable(pairs.groupBy("ctx").agg(F.sum("c").alias("customers"), one.alias("once"), F.count("*").alias("tables")).select(
-        "*", none.alias("backs")))
+    totals_at = staging_path(spark, "step"), staging_path(spark, "step")
+    all_words = durable(pairs.groupBy("h").agg(F.sum("c").alias("c"), one.alias("once"), F.count("*").alias("n")), totals_at[0])
+    all_contexts = durable(
+        pairs.groupBy("ctx").agg(F.sum("c").alias("customers"), one.alias("once"), F.count("*").alias("tables")), totals_at[1])
     few = pairs.agg(one, F.sum((F.col("c") == 2).cast("long")), F.sum("c")).first()
-    met = words.agg(F.count("*"), F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long"))).first()
-    facts = {"N": few[2] or 0, "V": met[0], "strength": strength, "samples": samples, "d1": _discount(few[0] or 0, few[1] or 0),
-             "d0": _discount(met[1] or 0, met[2] or 0), "unknown": []}
+    met = all_words.agg(F.count("*"), F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long")), one).first()
+    facts |= {"N": few[2] or 0, "V": met[0], "d1": _discount(few[0] or 0, few[1] or 0), "d0": _discount(met[1] or 0, met[2] or 0)}
+    # Words met once and contexts of pairs met once keep their seats.
+    still, lone = met[3] or 0, []
+    words = all_words.where("c > 1").select("*", F.lit(1).cast("long").alias("served"), none.alias("parents"))
+    contexts = all_contexts.where("customers > once").select("*", none.alias("backs"))
     seated = pairs.where("c > 1").select("h", "ctx", "c", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("share"))
+    both, written = _is_near("h", facts) & _is_near("ctx", facts), []
     for sweep in range(burn_in + samples + 1):
         # The parent's probabilities after the sweeps so far.
         whole, served = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("served"), F.lit(0))).first()
+        whole, served = whole + still, served + still
         back = (strength + facts["d0"] * served) / (strength + whole) / (facts["V"] + 1)
         chance = F.greatest(F.col("n") - facts["d0"] * F.col("served"), F.lit(0.0)) / (strength + whole) + back
         words = words.withColumn("chance", chance)
         if sweep > burn_in:
             facts["unknown"].append(back)
+            lone.append((1 - facts["d0"]) / (strength + whole) + back)
             words = words.withColumn("parents", F.concat("parents", F.array("chance")))
             left = (strength + facts["d1"] * F.col("tables")) / (strength + F.col("customers"))
             contexts = contexts.withColumn("backs", F.concat("backs", F.array(left)))
         if sweep == burn_in + samples:
             break
-        known = seated.join(contexts.select("ctx", "tables"), "ctx").join(words.select("h", "chance"), "h")
-        seated = durable(known.mapInArrow(_pair_seats(facts, sweep, sweep >= burn_in), "h long, ctx long, c long, t long, share double"))
+        shared = spark.sparkContext.broadcast((*_by_number(words, "h", facts, ["chance"]), *_by_number(contexts, "ctx", facts, ["tables"])))
+        close = seated.where(both).select("*", F.lit(None).cast("double").alias("chance"), F.lit(None).cast("long").alias("tables"))
+        apart = seated.where(~both).withColumns({"hk": _apart("h", facts), "ck": _apart("ctx", facts)}).join(
+            words.where(~_is_near("h", facts)).select(F.col("h").alias("hk"), "chance"), "hk", "left").join(
+            contexts.where(~_is_near("ctx", facts)).select(F.col("ctx").alias("ck"), "tables"), "ck", "left")
+        at = [staging_path(spark, "step") for _ in range(3)]
+        seated = durable(close.unionByName(apart.select(*close.columns)).mapInArrow(
+            _pair_seats(facts, sweep, sweep >= burn_in, shared), "h long, ctx long, c long, t long, share double"), at[0])
         added = seated.groupBy("ctx").agg(F.sum("t").alias("t"))
         contexts = durable(contexts.join(added, "ctx", "left").select(
-            "ctx", "customers", "once", (F.col("once") + F.coalesce("t", F.lit(0))).alias("tables"), "backs"))
+            "ctx", "customers", "once", (F.col("once") + F.coalesce("t", F.lit(0))).alias("tables"), "backs"), at[1])
         added = seated.groupBy("h").agg(F.sum("t").alias("t"))
         words = durable(words.join(added, "h", "left").select(
             "h", "c", "once", (F.col("once") + F.coalesce("t", F.lit(0))).alias("n"), "served", "parents").mapInArrow(
-            _word_seats(facts, sweep, served), "h long, c long, once long, n long, served long, parents array<double>"))
+            _word_seats(facts, sweep, served), "h long, c long, once long, n long, served long, parents array<double>"), at[2])
+        shared.unpersist()
+        for path in written:
+            remove(spark, path)
+        written = at
+        del close, apart, added
+        cleaned(spark)
     shares = pairs.where("c = 1").select("h", "ctx", "c", F.lit(1 - facts["d1"]).alias("share")).unionByName(
         seated.select("h", "ctx", "c", (F.col("share") / samples).alias("share")))
-    return Tables(shares, durable(words.select("h", F.col("c").alias("count"), "parents")),
-                  durable(contexts.select("ctx", "customers", "backs"))), facts
+    left = (strength + facts["d1"] * F.col("tables")) / (strength + F.col("customers"))
+    model = Tables(
+        shares,
+        durable(words.select("h", F.col("c").alias("count"), "parents").unionByName(
+            all_words.where("c = 1").select("h", F.col("c").alias("count"), F.array(*map(F.lit, lone)).alias("parents")))),
+        durable(contexts.select("ctx", "customers", "backs").unionByName(
+            all_contexts.where("customers = once").select("ctx", "customers", F.array_repeat(left, samples).alias("backs")))))
+    for path in (*written[1:], *totals_at):
+        remove(spark, path)
+    return model, facts
 
 
 # ---- scoring ----------------------------------------------------------------
 
-def _chances(rows, model, facts, whole):
-    """`rows` (h, ctx, and a share or null) with the log10 probability `s`, that of the base `b` and a flag `k` for known words."""
-    met = rows.join(model.words, "h", "left").join(model.contexts, "ctx", "left")
-    samples, strength = facts["samples"], facts["strength"]
-    # A context that was never met leaves all to the parent.
-    parent = sum(F.coalesce(F.get("backs", F.lit(i)), F.lit(1.0)) * F.coalesce(F.get("parents", F.lit(i)), F.lit(facts["unknown"][i]))
-                 for i in range(samples)) / samples
-    own = F.coalesce(F.col("share") / (strength + F.col("customers")), F.lit(0.0))
-    return met.withColumns({
-        "s": F.log10(own + parent), "b": F.log10((F.coalesce("count", F.lit(0)) + 0.5) / F.lit(whole)),
-        "k": F.col("count").isNotNull().cast("long")})
-
-
-def _pair_scorer(shared):
+def _scorer(codes, shared):
+    """Sums over the tokens of numbered words, the pairs to look up, and the tokens with another word."""
     def run(batches):
-        h, ctx, s, b = shared.value
-        code = mix(h.view(np.uint64) * MIX + ctx.view(np.uint64))
-        order = np.argsort(code)
-        code, h, ctx, s, b = code[order], h[order], ctx[order], s[order], b[order]
-        vocabulary = Vocabulary()
+        pairs, own, base, parents, _, backs = shared.value
+        near, vocabulary = len(base), Vocabulary(codes.value)
         for batch in batches:
             for at in range(0, batch.num_rows, GROUP):
                 part = batch.slice(at, GROUP)
                 if len(vocabulary) > 1_000_000:
                     vocabulary.empty()
                 numbers, before, text = _tokens(_binary(part.column(1)), vocabulary)
-                hashes, n = np.array(vocabulary.hashes, np.uint64), part.num_rows
+                coded, n = vocabulary.codes(), part.num_rows
                 pair, where = np.unique(numbers << 32 | before, return_inverse=True)
-                word, last = hashes[pair >> 32], hashes[pair & 0xFFFFFFFF]
-                place, known = np.zeros(len(pair), np.int64), np.zeros(len(pair), bool)
-                if len(code):
-                    place = np.minimum(np.searchsorted(code, mix(word * MIX + last)), len(code) - 1)
-                    known = (h[place] == word.view(np.int64)) & (ctx[place] == last.view(np.int64))
-                got = known[where]
-                owner, found = text[got], place[where[got]]
-                rare = where[~got]
-                offsets = pa.array(np.append(0, np.cumsum(np.bincount(text[~got], minlength=n))).astype(np.int32))
+                word, last = coded[pair >> 32], coded[pair & 0xFFFFFFFF]
+                close = (word >= 0) & (word < near) & (last >= 0) & (last < near)
+                w, c = word[close], last[close]
+                code, chance = np.zeros(len(pair), np.int64), (parents[w] * backs[c]).mean(axis=1)
+                code[close] = c * near + w
+                asked = close.copy()
+                if len(pairs):
+                    place = np.minimum(np.searchsorted(pairs, code[close]), len(pairs) - 1)
+                    met = pairs[place] == code[close]
+                    chance += np.where(met, own[place], 0.0)
+                    asked[close] = ~met
+                s, b = np.zeros(len(pair)), np.zeros(len(pair))
+                s[close], b[close] = np.log10(chance), base[w]
+
+                def listed(chosen, *values):
+                    chosen = chosen[where]
+                    offsets = pa.array(np.append(0, np.cumsum(np.bincount(text[chosen], minlength=n))).astype(np.int32))
+                    return [pa.ListArray.from_arrays(offsets, pa.array(x[where[chosen]])) for x in values]
+
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(np.bincount(text, minlength=n)), pa.array(np.bincount(owner, minlength=n)),
-                    pa.array(np.bincount(owner, b[found], n).astype(np.float64)),
-                    pa.array(np.bincount(owner, s[found], n).astype(np.float64)),
-                    pa.ListArray.from_arrays(offsets, pa.array(word.view(np.int64)[rare])),
-                    pa.ListArray.from_arrays(offsets, pa.array(last.view(np.int64)[rare])),
-                ], names=["row", "n_tokens", "n_known", "base", "score", "rare", "ctxs"])
+                    part.column(0), pa.array(np.bincount(text, minlength=n)), pa.array(np.bincount(text[close[where]], minlength=n)),
+                    pa.array(np.bincount(text, b[where], n).astype(np.float64)),
+                    pa.array(np.bincount(text, s[where], n).astype(np.float64)),
+                    *listed(asked, code), *listed(~close, word, last),
+                ], names=["row", "n_tokens", "n_known", "base", "score", "asked", "words", "ctxs"])
+
+    return run
+
+
+def _gains(strength, shared):
+    """What a pair met in training adds to the log10 probability of its token."""
+    def run(batches):
+        _, _, base, parents, customers, backs = shared.value
+        for batch in batches:
+            if batch.num_rows:
+                c, w = np.divmod(batch.column("code").to_numpy(), len(base))
+                own = batch.column("share").to_numpy() / (strength + customers[c])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key"), pa.array(np.log1p(own / (parents[w] * backs[c]).mean(axis=1)) / np.log(10))], names=["key", "s"])
+
+    return run
+
+
+def _apart_chances(strength, samples, whole, shared):
+    """log10 probabilities of tokens with joined columns; those of a numbered word or context are filled in."""
+    def run(batches):
+        _, _, base, parents, customers, backs = shared.value
+        for batch in batches:
+            h, ctx, share, count = (batch.column(x).to_numpy() for x in ("h", "ctx", "share", "count"))
+            own = share / (strength + _filled(batch.column("customers"), customers, ctx))
+            chance = sum(_filled(batch.column(f"p{i}"), parents[:, i], h) * _filled(batch.column(f"q{i}"), backs[:, i], ctx)
+                         for i in range(samples)) / samples
+            b = _filled(pa.array(np.log10((count + 0.5) / whole)), base, h)
+            known = (count > 0) | (h >= 0) & (h < len(base))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(np.log10(own + chance)), pa.array(b), pa.array(known.astype(np.int64))],
+                names=["key", "s", "b", "k"])
 
     return run
 
@@ -316,34 +482,58 @@ def _pair_scorer(shared):
 def score(docs: DataFrame, model, facts, id="doc_id", text="text", frequent=FREQUENT_PAIRS) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score): one row per row of `docs`."""
     spark, whole = docs.sparkSession, facts["N"] + 0.5 * (facts["V"] + 1)
-    top = model.pairs.orderBy(F.desc("c"), "h", "ctx").limit(frequent)
-    top = _chances(top, model, facts, whole).select("h", "ctx", "s", "b").toArrow()
-    shared = spark.sparkContext.broadcast([top[c].to_numpy() for c in ("h", "ctx", "s", "b")])
-    # Rows that agree in id and text share a key and get the same sums.
-    key = F.xxhash64(F.col(f"`{id}`"), F.col(f"`{text}`"))
-    scored = durable(docs.select(F.struct(F.col(f"`{id}`").alias("id"), key.alias("key")).alias("row"), F.col(f"`{text}`")).mapInArrow(
-        _pair_scorer(shared),
+    near, samples, strength = facts["near"], facts["samples"], facts["strength"]
+    both = _is_near("h", facts) & _is_near("ctx", facts)
+    code = F.col("ctx") * near + F.col("h")
+    lowest = _lowest(model.pairs.where(both), "c", frequent)
+    top = model.pairs.where(both & _at_least("c", lowest)).select(code.alias("code"), "ctx", "share").toArrow()
+    count, parents = _by_number(model.words, "h", facts, ["count", "parents"])
+    customers, backs = _by_number(model.contexts, "ctx", facts, ["customers", "backs"])
+    order = np.argsort(top["code"].to_numpy())
+    own = top["share"].to_numpy() / (strength + customers[top["ctx"].to_numpy()])
+    shared = spark.sparkContext.broadcast((
+        top["code"].to_numpy()[order], own[order], np.log10((count + 0.5) / whole), parents, customers, backs))
+    scored = durable(docs.select(
+        F.struct(F.col(f"`{id}`").alias("id"), F.monotonically_increasing_id().alias("key")).alias("row"), F.col(f"`{text}`")).mapInArrow(
+        _scorer(facts["codes"], shared),
         f"row struct<id:{docs.schema[id].dataType.simpleString()},key:bigint>, n_tokens long, n_known long, base double, "
-        "score double, rare array<bigint>, ctxs array<bigint>").select("row.id", "row.key", "n_tokens", "n_known", "base", "score",
-                                                                      "rare", "ctxs"))
-    rare = scored.select("key", F.explode(F.arrays_zip("rare", "ctxs")).alias("x")).select(
-        "key", F.col("x.rare").alias("h"), F.col("x.ctxs").alias("ctx"))
-    met = _chances(rare.join(model.pairs.select("h", "ctx", "share"), ["h", "ctx"], "left"), model, facts, whole)
-    sums = durable(met.groupBy("key").agg(F.sum("s").alias("s"), F.sum("b").alias("b"), F.sum("k").alias("k")))
-    return _summed(scored, sums, facts, id)
-
-
-def _summed(scored, sums, facts, id):
-    """The rows of `scored` with the sums of the tokens that were joined."""
-    heads = scored.select("id", "key", "n_tokens", "n_known", "base", "score")
-    rows = durable(heads.groupBy("key").count())
-    each = durable(sums.join(rows, "key").select("key", F.col("s") / F.col("count"), F.col("b") / F.col("count"),
-                                                 F.expr("k div `count`")).toDF("key", "s", "b", "k"))
-    zero = F.lit(0.0)
-    return heads.join(each, "key", "left").select(
-        F.col("id").alias(id), "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"),
+        "score double, asked array<bigint>, words array<bigint>, ctxs array<bigint>").select(
+            "row.id", "row.key", "n_tokens", "n_known", "base", "score", "asked", "words", "ctxs"), compression="zstd")
+    asked = scored.select("key", F.explode("asked").alias("code"))
+    rest = model.pairs.where(both & ~_at_least("c", lowest)).select(code.alias("code"), "share")
+    tokens = scored.select("key", F.explode(F.arrays_zip("words", "ctxs")).alias("x")).select(
+        "key", F.col("x.words").alias("h"), F.col("x.ctxs").alias("ctx"))
+    others = model.pairs.where(~both).select("h", "ctx", "share")
+    words = model.words.where(~_is_near("h", facts)).select(F.col("h").alias("hk"), "count", "parents")
+    contexts = model.contexts.where(~_is_near("ctx", facts)).select(F.col("ctx").alias("ck"), "customers", "backs")
+    zero, parts = F.lit(0), []
+    # A round takes its share of the pairs, and its shuffle files go before the next one begins.
+    for turn in range(ROUNDS):
+        mine = F.pmod(F.xxhash64("code"), F.lit(ROUNDS)) == turn
+        gained = asked.where(mine).join(rest.where(mine), "code").mapInArrow(_gains(strength, shared), "key long, s double")
+        parts.append(durable(gained.groupBy("key").agg(F.sum("s").alias("s"), F.lit(0.0).alias("b"), zero.cast("long").alias("k"))))
+        del gained
+        cleaned(spark)
+        mine = F.pmod(F.xxhash64("h", "ctx"), F.lit(ROUNDS)) == turn
+        met = tokens.where(mine).join(others.where(mine), ["h", "ctx"], "left").withColumns(
+            {"hk": _apart("h", facts), "ck": _apart("ctx", facts)}).join(words, "hk", "left").join(contexts, "ck", "left")
+        # A context that was never met leaves all to the parent.
+        met = met.select(
+            "key", "h", "ctx", F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("count", zero).alias("count"),
+            F.coalesce("customers", zero).alias("customers"),
+            *(F.coalesce(F.get("parents", F.lit(i)), F.lit(facts["unknown"][i])).alias(f"p{i}") for i in range(samples)),
+            *(F.coalesce(F.get("backs", F.lit(i)), F.lit(1.0)).alias(f"q{i}") for i in range(samples)))
+        chances = met.mapInArrow(_apart_chances(strength, samples, whole, shared), "key long, s double, b double, k long")
+        parts.append(durable(chances.groupBy("key").agg(F.sum("s").alias("s"), F.sum("b").alias("b"), F.sum("k").alias("k"))))
+        del met, chances
+        cleaned(spark)
+    sums = reduce(DataFrame.unionByName, parts).groupBy("key").agg(F.sum("s").alias("s"), F.sum("b").alias("b"), F.sum("k").alias("k"))
+    none = F.lit(0.0)
+    return scored.select("id", "key", "n_tokens", "n_known", "base", "score").join(
+        sums.toDF("key", "s", "b", "k"), "key", "left").select(
+        F.col("id").alias(id), "n_tokens", (F.col("n_known") + F.coalesce("k", zero)).alias("n_known"),
         F.lit(facts["N"]).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("b", zero)).alias("base_score"), (F.col("score") + F.coalesce("s", zero)).alias("score"))
+        (F.col("base") + F.coalesce("b", none)).alias("base_score"), (F.col("score") + F.coalesce("s", none)).alias("score"))
 
 
 def held_out(id, fold=5, part=1):

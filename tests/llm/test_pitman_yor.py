@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -8,6 +9,7 @@ import pytest
 from helpers import by_id, docs
 
 from qa_analytics.llm import pitman_yor as py
+from qa_analytics.session import shared_folder
 
 
 def rows(n=260):
@@ -227,3 +229,40 @@ def test_scores_by_word_do_not_depend_on_which_pairs_are_frequent(by_word):
                  for k in (5000, 7))
     assert [x[:2] for x in many] == [x[:2] for x in few]
     assert max(abs(a[i] - b[i]) for a, b in zip(many, few) for i in (2, 3)) < 1e-9
+
+
+@pytest.fixture(scope="module")
+def few_numbered(spark):
+    """The texts of `trained`, with most words known by their hash."""
+    frame = docs(spark, rows(), key="x", score="y")
+    return frame, *py.train(frame.where(~py.held_out(frame["doc_id"])), near=12)
+
+
+def test_scores_do_not_depend_on_which_words_are_numbered(trained, few_numbered):
+    frame, model, facts = trained
+    _, other, others = few_numbered
+    assert 0 < others["near"] <= 12 < facts["near"]
+    a, b = (sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
+                   for r in py.score(frame, m, f, frequent=k).collect()) for m, f, k in ((model, facts, 1000), (other, others, 3)))
+    assert [x[:4] for x in a] == [x[:4] for x in b]
+    for x, y in zip(a, b):
+        assert abs(x[4] - y[4]) < 1e-9 and abs(x[5] - y[5]) < 1e-9
+    again = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
+                   for r in py.score(frame, other, others, frequent=1000).collect())
+    assert max(abs(x[5] - y[5]) for x, y in zip(b, again)) < 1e-9
+
+
+def test_probabilities_with_few_numbered_words_sum_to_one(request):
+    test_probabilities_of_every_context_sum_to_one(request, "few_numbered")
+
+
+def test_tables_of_a_sweep_are_gone_when_training_ends(spark):
+    """Only the pairs, the last seats, the words and the contexts stay on the disk."""
+    def tables():
+        folder = shared_folder(spark).removeprefix("file:")
+        return {x for x in os.listdir(folder) if x.startswith("qa-step-")} if os.path.isdir(folder) else set()
+
+    before = tables()
+    model, _ = py.train(docs(spark, [(1, "a b a b c"), (2, "a b d")]))
+    assert len(tables() - before) == 4
+    assert model.words.count() == 5
