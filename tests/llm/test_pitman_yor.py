@@ -266,3 +266,25 @@ def test_tables_of_a_sweep_are_gone_when_training_ends(spark):
     model, _ = py.train(docs(spark, [(1, "a b a b c"), (2, "a b d")]))
     assert len(tables() - before) == 4
     assert model.words.count() == 5
+
+
+def test_tokens_of_arrow_texts_are_those_of_plain_splitting():
+    texts = ["", None, " a  B\ta\n", "\x0b\x0c\r", "Ä é x \x1f\x1c q", "b a", "end"]
+    hashes, numbers, before, text = py._tokens(py.pa.array(texts))
+    want = [[py.xxhash.xxh3_64_intdigest(w) for w in tokens(t)] for t in texts]
+    assert hashes[numbers].tolist() == sum(want, [])
+    assert text.tolist() == [i for i, t in enumerate(want) for _ in t]
+    assert hashes[before].tolist() == [h for t in want for h in [hashes[0], *t[:-1]]]
+
+
+def test_pairs_are_counted_in_packed_parts(spark):
+    """One row per part and kind, whatever the number of pairs: no row per pair is moved."""
+    frame = docs(spark, rows(60), key="x", score="y")
+    model, facts = py.train(frame, near=12)
+    seen = Counter(p for _, t in rows(60) for p in zip(tokens(t), [b"", *tokens(t)]))
+    packed = model.counted.collect()
+    assert len({(r.part, r.kind) for r in packed}) == len(packed) <= 2 * facts["parts"]
+    hashed = {tuple(py.xxhash.xxh3_64_intdigest(w) for w in p): n for p, n in seen.items()}
+    names = facts["codes"].value
+    plain = lambda code: int(names[code]) if 0 <= code < facts["near"] else code % 2 ** 64
+    assert {(plain(r.h), plain(r.ctx)): r.c for r in model.pairs.collect()} == hashed
