@@ -150,3 +150,74 @@ def test_common_sizes_of_sorted_sets_without_hash_tables():
         at = part.column(0).to_pylist()
         assert out.column(2).to_pylist() == [len(np.intersect1d(*pairs[i])) for i in at]
         assert out.column(3).to_pylist() == [len(pairs[i][0]) + len(pairs[i][1]) for i in at]
+
+
+def changed(base, rng, n):
+    """A text with `n` words of `base` replaced."""
+    words = list(base)
+    for i in rng.sample(range(len(base)), n):
+        words[i] = f"y{rng.randrange(10 ** 6)}"
+    return words
+
+
+def test_members_outside_the_largest_component_are_not_compared_in_pairs_of_full_sets(spark, monkeypatch):
+    """Copies of one text, most too different from it and from each other; some have a copy of their own."""
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(700)]
+    texts = [base] + [changed(base, rng, rng.randrange(1, 10)) for _ in range(8)] + [
+        changed(base, rng, rng.randrange(22, 32)) for _ in range(140)]
+    texts += [changed(t, rng, 5) for t in texts[40:46]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    seen, compared = [], minhash.compared
+
+    def counted(pairs, sets):
+        seen.append(pairs.count())
+        return compared(pairs, sets)
+
+    monkeypatch.setattr(minhash, "compared", counted)
+    monkeypatch.setattr(minhash, "BLOCK", 9000, raising=False)  # several blocks of about 13 texts
+    got = by_id(minhash.near_duplicates(docs(spark, rows), words=3, percent=85))
+    truth = components(sets(rows, 3), 85)
+    assert {i: r.component_id for i, r in got.items()} == truth
+    assert len(set(truth.values())) > 40
+    assert 0 < sum(seen) < 8 * len(rows), seen
+
+
+def test_links_of_outside_rows_equal_brute_force():
+    rng = np.random.RandomState(11)
+    for trial in range(60):
+        n, base = rng.randint(1, 30), rng.randint(0, 400, rng.randint(1, 150))
+        found = [np.unique(np.append(base[rng.rand(len(base)) > rng.rand() * 0.3], rng.randint(0, 2000, rng.randint(0, 15)))) for _ in range(n)]
+        found = [s if rng.rand() > 0.05 else s[:0] for s in found]
+        label = rng.randint(0, max(1, n // 2), n) if trial % 2 else np.arange(n)
+        outside, met = rng.rand(n) < 0.5, rng.rand(n) < 0.7
+        sizes = np.array([len(s) for s in found])
+        links = list(zip(*(x.tolist() for x in minhash.outside_links(np.concatenate(found), sizes, label, outside, met, 80))))
+        both = {(a, b): len(np.intersect1d(found[a], found[b])) for a in np.flatnonzero(outside) for b in np.flatnonzero(met) if a != b}
+        truth = {p for p, x in both.items() if x and 100 * x >= 80 * (sizes[p[0]] + sizes[p[1]] - x)}
+        assert truth.issuperset(links)
+
+        def joined(pairs):
+            at = label.copy()
+            for _ in range(n):
+                for a, b in pairs:
+                    at[a] = at[b] = min(at[a], at[b])
+                    at = np.array([at[label == v].min() for v in label])
+            return at.tolist()
+
+        assert joined(links) == joined(truth)
+
+
+def test_words_hash_alike_at_any_place():
+    rng = random.Random(3)
+    for _ in range(300):
+        text = bytes(rng.choice(b"abcdABC\x00\x0b \t\n  \xc3\xa9\xff\x85\x1c") for _ in range(rng.randrange(60)))
+        text = text.replace(b"c", b"c" * rng.choice([1, 7, 8, 9, 16, 127, 130]))
+        words = text.lower().split()
+        starts, hashes = minhash.word_hashes(text)
+        assert [text.lower()[i:i + len(w)] for i, w in zip(starts, words)] == words
+        assert hashes.tolist() == [minhash.word_hashes(b"\n" + w + b" x")[1][0] for w in words]
+        assert len(set(hashes.tolist())) == len(set(words))
+    texts = [None, b"", b" \n", b"a", b"a b", b"a b c d a B c d", b"x" * 700_000 + b" y z", b"p q r s"]
+    assert [len(s) for s in minhash.shingle_sets(texts, 3)] == [0, 0, 0, 1, 1, 4, 1, 2]
+    assert [s.tolist() for s in minhash.shingle_sets(texts, 3)] == [next(minhash.shingle_sets([t], 3)).tolist() for t in texts]
