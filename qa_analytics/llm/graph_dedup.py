op6_graph_near_dedup: search expands all nodes in range in rounds, next node by the largest of a row

Symptom: a few search tasks of op6 take far longer than the rest, most of all those whose shard holds a large group of near copies.
Evidence: the profiler, 51,282 vectors: search stage median 8.6 s, longest 18 s (undivided 19.6 and 41.5); the hot-key input, undivided: median 2.06 s, longest 2.52 s. Outside the tool, a cell of the hot-key input with 2789 vectors, whose audit widens the search, took 36.7 s of CPU and a middle cell 2.1 s: each step partially sorted all nodes for every query, and a query in the group took a step for every 16 of its links.
Fix: while on its way, a query takes the largest of its row; then all nodes in range are expanded in rounds, each node once for its 512 queries, so rounds follow the graph's depth, not the group's size. Order does not matter there, so the same nodes are found. Neighbour lists are no longer padded to the longest, and cosines are taken 16,384 pairs at a time.
Effect: at 0.6 GB of input CPU 481 -> 353 s, shuffle 0.45 -> 0.45 GB, spill 0.00 -> 0.00 GB, read 0.31 -> 0.31 GB, longest task 25 -> 9 s, most memory of a task 68 -> 68 MB; at 6 GB of input CPU 8987 -> 4671 s, shuffle 18.32 -> 18.32 GB, spill 0.00 -> 0.00 GB, read 3.64 -> 3.64 GB, longest task 69 -> 35 s, most memory of a task 287 -> 287 MB; with hot keys, at 0.6 GB of input CPU 1695 -> 338 s, shuffle 0.36 -> 0.36 GB, spill 0.00 -> 0.00 GB, read 0.25 -> 0.25 GB, longest task 491 -> 12 s, most memory of a task 68 -> 68 MB.

@@ -41,7 +41,7 @@ SAMPLE, SAMPLE_VALUES = 20_000, 8_000_000
 CELL, PART, MOST_CELLS = 1024, 4096, 2048
 MARGIN = 0.05
 CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
-BEAM, AT_ONCE, QUERIES, AUDITED, FLOOR, WIDEST = 24, 16, 512, 256, 0.98, 96
+BEAM, QUERIES, PAIRS, AUDITED, FLOOR, WIDEST = 24, 512, 16_384, 256, 0.98, 96
 
 
 def unit(rows):
@@ -130,45 +130,59 @@ def medoid(x):
 
 def search(x, lists, queries, low, beam):
     """Flags (query, node) of the nodes within range `low` that range-expanding greedy search finds."""
-    n, width = len(x), max(map(len, lists), default=0)
-    links = np.full((n, max(width, 1)), n)
-    for i, own in enumerate(lists):
-        links[i, :len(own)] = own
+    n = len(x)
     found = np.zeros((len(queries), n), bool)
     if not n:
         return found
+    sizes, flat = np.array([len(own) for own in lists]), np.concatenate(lists)
+    starts = sizes.cumsum() - sizes
     start = medoid(x)
     for at in range(0, len(queries), QUERIES):
         q = queries[at:at + QUERIES]
         # Similarity of the nodes met so far; expanded nodes are taken out of `left`.
-        met = np.full((len(q), n + 1), -np.inf)
+        met = np.full((len(q), n), -np.inf)
         left = met.copy()
         met[:, start] = left[:, start] = q @ x[start]
-        active, turns = np.arange(len(q)), 0
-        while len(active):
-            # One node at a time while the search is still on its way, several once it is in range.
-            some = min(1 if turns < beam else AT_ONCE, n)
-            best = np.argpartition(-left[active], some - 1, axis=1)[:, :some]
-            value = np.take_along_axis(left[active], best, 1)
-            go = (value > -np.inf) & ((value >= low) | (turns < beam))
-            turns += 1
-            keep = go.any(1)
-            active, best, go = active[keep], best[keep], go[keep]
-            if not len(active):
+        # One node at a time while the search is still on its way.
+        for _ in range(beam):
+            best = left.argmax(1)
+            row = np.flatnonzero(left[np.arange(len(q)), best] > -np.inf)
+            if not len(row):
                 break
-            row, col = np.nonzero(go)
-            left[active[row], best[row, col]] = -np.inf
-            # Neighbours not met before, each once per query.
-            a, b = np.repeat(active[row], links.shape[1]), links[best[row, col]].ravel()
-            fresh = (b < n) & (met[a, b] == -np.inf)
-            pairs = np.unique(a[fresh] * np.int64(n + 1) + b[fresh])
-            a, b = pairs // (n + 1), pairs % (n + 1)
-            s = np.einsum("pd,pd->p", q[a], x[b])
-            met[a, b] = left[a, b] = s
-        found[at:at + QUERIES] = met[:, :n] >= low
+            best = best[row]
+            left[row, best] = -np.inf
+            size = sizes[best]
+            a = np.repeat(row, size)
+            b = flat[np.arange(len(a)) + np.repeat(starts[best] - (size.cumsum() - size), size)]
+            fresh = met[a, b] == -np.inf
+            a, b = a[fresh], b[fresh]
+            met[a, b] = left[a, b] = similarities(q, x, a, b)
+        # Then every node in range is expanded, for all queries together; their order does not matter.
+        front, unmet = (left >= low).T, (met == -np.inf).T
+        while front.any():
+            reached = np.zeros((n, len(q)), bool)
+            for node in np.flatnonzero(front.any(1)):
+                reached[lists[node]] |= front[node]
+            reached &= unmet
+            unmet &= ~reached
+            b, a = np.nonzero(reached)
+            s = similarities(q, x, a, b)
+            met[a, b] = s
+            front = np.zeros((n, len(q)), bool)
+            front[b[s >= low], a[s >= low]] = True
+        found[at:at + QUERIES] = met >= low
     return found
 
 
+def similarities(q, x, a, b):
+    """Cosines of the pairs (q[a], x[b]), a bounded number of them at a time."""
+    s = np.empty(len(a))
+    for at in range(0, len(a), PAIRS):
+        some = slice(at, at + PAIRS)
+        s[some] = np.einsum("pd,pd->p", q[a[some]], x[b[some]])
+    return s
+
+
 def _matrix(column, n):
     return unit(np.concatenate([np.asarray(v) for v in column]).reshape(n, -1))
 
